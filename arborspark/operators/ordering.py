@@ -96,22 +96,28 @@ def quantiles(
     value: str,
     probs: dict[str, float],
     rows: int | None = None,
+    builtin: bool = True,
 ) -> DataFrame:
-    """Exact linearly interpolated quantiles per key."""
+    """Exact linearly interpolated quantiles per key.
+
+    With a small known row bound the built-in aggregate is used (it keeps every
+    distinct value of a key in one buffer); otherwise ranks come from running
+    counts.  ``builtin=False`` asks for the latter at any size.
+    """
     keys = list(keys)
-    if rows is not None and rows <= HOT_ROWS:
+    if builtin and rows is not None and rows <= HOT_ROWS:
         v = F.col(value).cast("double")
         grid = F.percentile(F.when(~F.isnan(v), v), F.array(*[F.lit(float(p)) for p in probs.values()]))
         out = df.groupBy(*keys).agg(grid.alias("_q"))
         return out.select(*keys, *[F.col("_q")[i].alias(n) for i, n in enumerate(probs)])
     counted = value_counts(df, keys, value)
-    ranked = running(counted, keys, [value], {"_cum": F.col("_c")})
+    ranked = running(counted, keys, [value], {"_cum": F.col("_c")}, rows)
     sizes = counted.groupBy(*keys).agg(F.sum("_c").alias("_n"))
     ranked = ranked.join(sizes, keys) if keys else ranked.crossJoin(F.broadcast(sizes))
     v = F.col(value).cast("double")
     picks = []
     for name, p in probs.items():
-        at = (F.col("_n") - 1) * F.lit(float(p))
+        at = F.round((F.col("_n") - 1) * F.lit(float(p)), 9)
         lo, hi = F.floor(at), F.least(F.floor(at) + 1, F.col("_n") - 1)
         holds = lambda r: (r >= F.col("_cum") - F.col("_c")) & (r < F.col("_cum"))
         picks += [

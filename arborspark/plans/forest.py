@@ -23,7 +23,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _once(spark: SparkSession, folder: str, name: str, build) -> DataFrame:
+def once(spark: SparkSession, folder: str, name: str, build) -> DataFrame:
     key = (spark.sparkContext.applicationId, folder, name)
     if key not in _LANDED:
         _LANDED[key] = land(build(), name)
@@ -66,7 +66,7 @@ def _forest(spark: SparkSession, folder: str) -> DataFrame:
 
 def forest(spark: SparkSession, folder: str) -> DataFrame:
     """Node table: neuron, id, row_idx, type, x, y, z, radius, parent (nm)."""
-    return _once(spark, folder, "forest", lambda: _forest(spark, folder))
+    return once(spark, folder, "forest", lambda: _forest(spark, folder))
 
 
 def typed_forest(spark: SparkSession, folder: str) -> DataFrame:
@@ -128,7 +128,7 @@ def synapses(spark: SparkSession, folder: str) -> DataFrame:
             ((F.col("o_custkey") % 997).cast("double") * 100.0).alias("z"),
         )
 
-    return _once(spark, folder, "synapses", build)
+    return once(spark, folder, "synapses", build)
 
 
 def soma_metadata(spark: SparkSession, folder: str) -> DataFrame:
