@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arborspark.operators import (
-    morphology, neuropil, ordering, qc, release_report, repair, statistics, synapse, topology,
+    morphology, neuropil, ordering, qc, release_report, relink, repair, soma, statistics, synapse, topology,
 )
 from arborspark.plans import forest as inputs
 
@@ -516,3 +516,50 @@ def operation_rates(spark, folder):
         F.col("s_name").alias("Unnamed: 0"),
     )
     return tidy(release_report.operation_rates(release_report.clean_metadata(sheet)))
+
+
+# ------------------------------------------------- relinking and soma pruning
+
+@query
+def relink_multifurcations(spark, folder):
+    nodes = inputs.tangled_forest(spark, folder)
+    out, _, _ = relink.relink(nodes, rows=inputs.forest(spark, folder).count())
+    return out.select("neuron", "id", "parent", "type", "position")
+
+
+@query
+def relink_steps(spark, folder):
+    return tidy(relink.relink_steps(inputs.tangled_forest(spark, folder)))
+
+
+@query
+def relink_source_summary(spark, folder):
+    nodes = inputs.tangled_forest(spark, folder)
+    _, _, log = relink.relink(nodes, rows=inputs.forest(spark, folder).count())
+    return qc.source_summary(log.withColumn("source_group", F.concat(F.lit("source_"), (F.col("neuron") % 3).cast("string"))))
+
+
+@query
+def relink_validation(spark, folder):
+    nodes = inputs.tangled_forest(spark, folder)
+    out, _, _ = relink.relink(nodes, rows=inputs.forest(spark, folder).count())
+    return relink.validate(nodes, out)
+
+
+@query
+def soma_prune(spark, folder):
+    out, _, _ = soma.prune_somas(inputs.soma_forest(spark, folder), rows=inputs.forest(spark, folder).count())
+    return out.select("neuron", "id", "parent", "type")
+
+
+@query
+def soma_prune_log(spark, folder):
+    return tidy(soma.prune_somas(inputs.soma_forest(spark, folder), rows=inputs.forest(spark, folder).count())[1])
+
+
+@query
+def radius_states(spark, folder):
+    nodes = inputs.soma_forest(spark, folder)
+    roots = soma.soma_roots(nodes)
+    facts = soma.node_facts(nodes, roots, rows=inputs.forest(spark, folder).count())
+    return facts.select("neuron", "id", soma.radius_state(F.col("ratio"), F.col("type") == 1).alias("radius_state"))

@@ -77,14 +77,19 @@ def typed_forest(spark: SparkSession, folder: str) -> DataFrame:
 
 def tangled_forest(spark: SparkSession, folder: str) -> DataFrame:
     """The forest with more Type-5 nodes of several children, to relink."""
-    i = F.col("id")
+    i, n = F.col("id"), F.col("neuron")
     parent = (
         F.when(i == 1, F.lit(-1))
-        .when((i % 5 == 0) & (i > 12), i - 1 - (i % 3) - 5 * (i % 2))
+        .when((i % 20 == 15) & (i > 15), i - 11)
+        .when((i % 20 == 0) & (i > 20), i - 16)
+        .when((i % 60 == 17) & (i > 17), i - 13)
         .otherwise(i - 1)
     )
-    kind = F.when((i == 1) & (F.col("neuron") % 4 != 0), 1).otherwise(
-        F.when(i % 10 == 8, 6).when(i % 5 == 4, 5).otherwise(0)
+    kind = (
+        F.when((i == 1) & (n % 4 != 0), 1)
+        .when(i % 5 == 4, 5)
+        .when((i % 10 == 8) | (n % 10 == 7), 6)
+        .otherwise(0)
     )
     walk = lambda c, a, b: (F.col(c) / 40.0 + i * F.lit(a) - F.floor(i / 50) * F.lit(b))
     return forest(spark, folder).select(
@@ -95,20 +100,29 @@ def tangled_forest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def soma_forest(spark: SparkSession, folder: str) -> DataFrame:
-    """The forest drawn around a thick first stretch, to exercise soma pruning."""
-    i, n = F.col("id"), F.col("neuron")
+    """The forest redrawn around a soma, to exercise soma pruning: nodes 2-14 are
+    thick, four thin stubs of six nodes leave them, and node 39 starts the trunk.
+
+    By ``neuron % 7``: 0 has no soma, 4 a huge one, 5 one that is not the root,
+    and in 2 one stub runs far away.
+    """
+    i, m = F.col("id"), F.col("neuron") % 7
+    stub = F.floor((i - 15) / 6)
     parent = (
         F.when(i == 1, F.lit(-1))
-        .when(i % 40 == 0, 1 + (i * 7 + n) % 12)
-        .when(i % 9 == 0, F.greatest(F.lit(1), i - 4))
+        .when((i >= 15) & (i <= 38) & ((i - 15) % 6 == 0), 4 + 2 * stub)
+        .when(i == 39, F.lit(3))
+        .when((i > 80) & (i % 40 == 0), i - 30)
         .otherwise(i - 1)
     )
-    thick = F.when(i <= 14, F.lit(400.0)).otherwise(F.lit(50.0)) + F.col("radius")
-    far = F.col("id") * 120.0
+    soma_at = F.when(m == 0, 0).when(m == 5, 2).otherwise(1)
+    thick = F.when(i <= 14, F.when(m == 4, F.lit(9000.0)).otherwise(F.lit(300.0))).otherwise(F.lit(50.0)) + F.col("radius")
+    along = F.when(i > 38, (i - 38) * 300.0).otherwise(i * 20.0)
+    away = F.when((i >= 15) & (i <= 20) & (m == 2), (i - 14) * 9000.0).otherwise(0.0)
     return forest(spark, folder).select(
         "neuron", "id", "row_idx",
-        F.when(i == 1, 1).when(i % 5 == 4, 5).otherwise(0).cast("int").alias("type"),
-        (F.col("x") / 25.0 + far * (1 + n % 3)).alias("x"), (F.col("y") / 50.0 + far).alias("y"), (F.col("z") / 50.0).alias("z"),
+        F.when(i == soma_at, 1).when(i % 5 == 4, 5).otherwise(0).cast("int").alias("type"),
+        (F.col("x") / 100.0 + along).alias("x"), (F.col("y") / 200.0 + away).alias("y"), (F.col("z") / 200.0).alias("z"),
         thick.alias("radius"), parent.cast("bigint").alias("parent"),
     )
 

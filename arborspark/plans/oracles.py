@@ -358,7 +358,8 @@ SELECT anc.neuron, anc.a AS id, {r('sum(coalesce(len, 0))', 'cable_length', 4)},
 FROM anc LEFT JOIN edge ON edge.neuron = anc.neuron AND edge.id = anc.id GROUP BY 1, 2""")
 _TANGLED = FOREST.replace("forest AS (", "base AS (") + """,
 forest AS (SELECT * REPLACE (
-    CASE WHEN id = 1 THEN -1 WHEN id % 5 = 0 AND id > 12 THEN id - 1 - (id % 3) - 5 * (id % 2) ELSE id - 1 END AS parent) FROM base)"""
+    CASE WHEN id = 1 THEN -1 WHEN id % 20 = 15 AND id > 15 THEN id - 11 WHEN id % 20 = 0 AND id > 20 THEN id - 16
+      WHEN id % 60 = 17 AND id > 17 THEN id - 13 ELSE id - 1 END AS parent) FROM base)"""
 put("parent_first_order", _TANGLED, """
 paths AS (SELECT neuron, id, [id] AS path FROM forest WHERE parent = -1
   UNION ALL SELECT f.neuron, f.id, list_append(p.path, f.id) FROM paths p JOIN forest f ON f.neuron = p.neuron AND f.parent = p.id)""",
