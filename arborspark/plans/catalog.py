@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from arborspark.operators import (
-    morphology, neuropil, ordering, qc, release_report, relink, repair, soma, statistics, synapse, topology,
+    mesh, morphology, neuropil, qc, release_report, relink, repair, retrieval, soma, statistics, synapse, topology,
 )
 from arborspark.plans import forest as inputs
 
@@ -563,3 +563,135 @@ def radius_states(spark, folder):
     roots = soma.soma_roots(nodes)
     facts = soma.node_facts(nodes, roots, rows=inputs.forest(spark, folder).count())
     return facts.select("neuron", "id", soma.radius_state(F.col("ratio"), F.col("type") == 1).alias("radius_state"))
+
+
+# ------------------------------------------------------------- surface meshes
+
+def _samples(spark, folder):
+    """Centre samples 20 um apart: the derived edges are tens of micrometres long."""
+    return mesh.edge_samples(inputs.forest(spark, folder), spacing=20_000.0, most=4)
+
+
+@query
+def edge_samples(spark, folder):
+    return tidy(_samples(spark, folder).drop("edge_row", "n_samples"))
+
+
+@query
+def weighted_quantile(spark, folder):
+    s = _samples(spark, folder)
+    out = mesh.weighted_quantiles(
+        s, ["neuron"], "radius", "weight", {"q50": 0.5, "q90": 0.9, "q95": 0.95}, ["child_id", "k"], rows=4 * inputs.forest(spark, folder).count()
+    )
+    return tidy(out, 3)
+
+
+@query
+def mesh_center_distance(spark, folder):
+    faces = inputs.box_mesh(inputs.neuron_boxes(spark, folder), "neuron")
+    return tidy(mesh.to_surface(_samples(spark, folder), faces, cell=20_000.0).drop("face_id"))
+
+
+def _agreement(spark, folder):
+    boxes = inputs.neuron_boxes(spark, folder)
+    faces, surface = inputs.box_mesh(boxes, "neuron"), inputs.box_lattice(boxes)
+    samples = _samples(spark, folder)
+    center, back = mesh.measure(samples, faces, surface, cell=20_000.0)
+    return samples, faces, center, back
+
+
+@query
+def mesh_agreement(spark, folder):
+    nodes = inputs.forest(spark, folder)
+    samples, faces, center, back = _agreement(spark, folder)
+    out = mesh.compare(nodes, samples, faces, center, back, thresholds=(2000, 5000, 10000), rows=4 * nodes.count())
+    return tidy(out, 3)
+
+
+@query
+def edge_diagnostics(spark, folder):
+    _, _, center, back = _agreement(spark, folder)
+    return tidy(mesh.edge_diagnostics(center, back, rows=4 * inputs.forest(spark, folder).count()), 3)
+
+
+@query
+def surface_samples(spark, folder):
+    faces = inputs.box_mesh(inputs.neuron_boxes(spark, folder), "neuron")
+    points = mesh.sample_surface(faces, count=200, rows=12 * inputs.table(spark, folder, "supplier").count())
+    return points.groupBy("neuron").agg(F.count(F.lit(1)).alias("n_points"), F.countDistinct("point_id").alias("n_ids"))
+
+
+@query
+def mesh_overlap(spark, folder):
+    faces = inputs.box_mesh(inputs.neuron_boxes(spark, folder).withColumn("hi_x", F.col("hi_x") - (F.col("neuron") % 5) * 9000.0), "neuron")
+    return tidy(mesh.overlap(_samples(spark, folder), faces), 4)
+
+
+@query
+def point_in_mesh(spark, folder):
+    points = inputs.typed_forest(spark, folder).select(
+        F.struct("neuron", "id").alias("pid"), *[(F.col(a) / 1000.0).alias(f"p{a}") for a in "xyz"]
+    )
+    faces = inputs.box_mesh(inputs.region_boxes(spark, folder), "region")
+    return neuropil.regions_of_points(points, faces).select("pid.neuron", "pid.id", "region")
+
+
+# ---------------------------------------------------------------- retrieval
+
+def _retrieval_nodes(spark, folder):
+    """Raw skeletons and repaired ones that lost every eleventh node."""
+    raw = inputs.forest(spark, folder)
+    return raw, raw.filter("id % 11 <> 10")
+
+
+@query
+def minhash_signature(spark, folder):
+    sig = retrieval.signatures(retrieval.voxels(inputs.forest(spark, folder)))
+    return sig.select("neuron", F.posexplode("signature").alias("i", "h"))
+
+
+def _pairs(spark, folder):
+    raw, fixed = _retrieval_nodes(spark, folder)
+    q, c = (inputs.land(retrieval.signatures(retrieval.voxels(n)), "signatures") for n in (fixed, raw))
+    return retrieval.with_pair(q, c, retrieval.top_candidates(q, c, 30))
+
+
+@query
+def minhash_top_candidates(spark, folder):
+    return tidy(_pairs(spark, folder))
+
+
+def _jaccard_ranks(spark, folder):
+    raw, fixed = _retrieval_nodes(spark, folder)
+    scored = retrieval.exact_jaccard(_pairs(spark, folder), retrieval.voxels(fixed), retrieval.voxels(raw))
+    return retrieval.ranked(scored.withColumn("jaccard", F.round("jaccard", 9)), "jaccard")
+
+
+@query
+def voxel_jaccard_topk(spark, folder):
+    return tidy(_jaccard_ranks(spark, folder).select("query", "candidate", "shared", "jaccard", "exact_rank"))
+
+
+@query
+def rerank_rank(spark, folder):
+    return tidy(retrieval.search_summary(_jaccard_ranks(spark, folder), "jaccard"))
+
+
+@query
+def retrieval_retention(spark, folder):
+    summary = retrieval.search_summary(_jaccard_ranks(spark, folder), "jaccard")
+    return tidy(retrieval.retention(summary, rows=inputs.table(spark, folder, "supplier").count()))
+
+
+@query
+def shape_rerank(spark, folder):
+    raw, fixed = (n.withColumns({a: F.col(a) / 50.0 for a in "xyz"}) for n in _retrieval_nodes(spark, folder))
+    # removing nodes leaves pieces; every piece is resampled from its own top
+    tops = fixed.join(fixed.select("neuron", F.col("id").alias("parent"), F.lit(True).alias("_p")), ["neuron", "parent"], "left")
+    fixed = tops.withColumn("parent", F.when(F.col("_p"), F.col("parent")).otherwise(F.lit(-1))).select(*raw.columns)
+    qd, cd = (inputs.land(retrieval.dotprops(retrieval.resampled(n)), "dotprops") for n in (fixed, raw))
+    pairs = inputs.land(_pairs(spark, folder), "pairs")
+    w = Window.partitionBy("query").orderBy(F.desc("is_same_name_original"), F.desc("minhash_jaccard"), "candidate")
+    few = pairs.withColumn("_n", F.row_number().over(w)).filter("_n <= 4").drop("_n")
+    ranks = retrieval.ranked(retrieval.shape_scores(few, qd, cd))
+    return tidy(retrieval.search_summary(ranks))

@@ -176,7 +176,7 @@ def region_boxes(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def box_mesh(boxes: DataFrame) -> DataFrame:
+def box_mesh(boxes: DataFrame, key: str) -> DataFrame:
     """The twelve triangles of every box as a face table."""
     corner = lambda i: [F.col(("hi_" if i >> axis & 1 else "lo_") + c) for axis, c in enumerate("xyz")]
     # Two triangles per box side, corners numbered by bit (x=1, y=2, z=4).
@@ -185,8 +185,33 @@ def box_mesh(boxes: DataFrame) -> DataFrame:
     faces = [
         F.struct(
             F.lit(f).cast("bigint").alias("face_id"),
-            *[v.alias(f"{v_name}{c}") for v_name, i in zip("abc", side) for c, v in zip("xyz", corner(i))],
+            *[value.alias(f"{name}{c}") for name, i in zip("uvw", side) for c, value in zip("xyz", corner(i))],
         )
         for f, side in enumerate(sides)
     ]
-    return boxes.select("region", F.inline(F.array(*faces)))
+    return boxes.select(key, F.inline(F.array(*faces)))
+
+
+def neuron_boxes(spark: SparkSession, folder: str) -> DataFrame:
+    """Bounding box of every neuron in the forest (nm), as its surface."""
+    return forest(spark, folder).groupBy("neuron").agg(
+        *[f(c).alias(f"{side}_{c}") for c in "xyz" for f, side in ((F.min, "lo"), (F.max, "hi"))]
+    )
+
+
+def box_lattice(boxes: DataFrame, steps: int = 4) -> DataFrame:
+    """(steps x steps) points on every box side, numbered within the box."""
+    i = F.explode(F.sequence(F.lit(0), F.lit(6 * steps * steps - 1))).alias("i")
+    p = boxes.select("*", i)
+    side = F.floor(F.col("i") / (steps * steps))
+    a = (F.floor(F.col("i") / steps) % steps + 0.5) / steps
+    b = (F.col("i") % steps + 0.5) / steps
+    along = {c: lambda t, c=c: F.col(f"lo_{c}") + t * (F.col(f"hi_{c}") - F.col(f"lo_{c}")) for c in "xyz"}
+    fixed = lambda c: F.when(side % 2 == 0, F.col(f"lo_{c}")).otherwise(F.col(f"hi_{c}"))
+    axis = F.floor(side / 2)
+    return p.select(
+        "neuron", F.col("i").cast("bigint").alias("point_id"),
+        F.when(axis == 0, fixed("x")).otherwise(along["x"](a)).alias("px"),
+        F.when(axis == 1, fixed("y")).when(axis == 0, along["y"](a)).otherwise(along["y"](b)).alias("py"),
+        F.when(axis == 2, fixed("z")).otherwise(along["z"](b)).alias("pz"),
+    )

@@ -477,3 +477,102 @@ SELECT CASE WHEN s_nationkey % 6 <> 0 THEN 'class_' || (s_nationkey % 6) ELSE 'U
   {r('avg(CASE WHEN s_suppkey % 3 = 0 THEN 1 ELSE 0 END) * 100', 'remove_soma_branches_automatically')}, {r('avg(CASE WHEN s_suppkey % 4 = 0 THEN 1 ELSE 0 END) * 100', 'prun_soma_region')},
   {r('avg(CASE WHEN s_acctbal > 3000 THEN 1 ELSE 0 END) * 100', '"Multifurcation_Binarization"')}, {r('avg(CASE WHEN s_acctbal > 0 THEN 1 ELSE 0 END) * 100', '"Assign_synapse"')}
 FROM supplier GROUP BY 1""")
+
+# ------------------------------------------------------------- surface meshes
+_SAMPLES = """
+smp AS (
+  SELECT e.neuron, e.id AS child_id, e.parent AS parent_id, k, p.x + (k+0.5)/n*(e.x-p.x) AS sx, p.y + (k+0.5)/n*(e.y-p.y) AS sy, p.z + (k+0.5)/n*(e.z-p.z) AS sz,
+    p.radius + (k+0.5)/n*(e.radius-p.radius) AS radius, len/n AS weight, len AS length_nm, e.type = 1 OR p.type = 1 AS soma_edge
+  FROM (SELECT f.*, len*1000 AS len, least(4, greatest(1, CAST(ceil(len/20) AS INTEGER))) AS n FROM forest f JOIN edge USING (neuron, id)) e
+  JOIN forest p ON p.neuron = e.neuron AND p.id = e.parent, LATERAL (SELECT CAST(range AS INTEGER) AS k FROM range(0, e.n)) WHERE len > 0)"""
+_NBOX = """
+nbox AS (SELECT neuron, min(x) AS lo_x, max(x) AS hi_x, min(y) AS lo_y, max(y) AS hi_y, min(z) AS lo_z, max(z) AS hi_z FROM forest GROUP BY neuron)"""
+put("edge_samples", FOREST, EDGE, _SAMPLES, select=f"""
+SELECT neuron, child_id, parent_id, k, {r('sx', 'sx')}, {r('sy', 'sy')}, {r('sz', 'sz')}, {r('radius', 'radius')}, {r('weight', 'weight')}, {r('length_nm', 'length_nm')}, soma_edge FROM smp""")
+
+
+def wquant(value: str, source: str, probs: dict[str, float], tie: str = "child_id, k") -> str:
+    def one(p: float) -> str:
+        a, b = f"max({{'c': c, 'v': v}}) FILTER (c <= {p})", f"min({{'c': c, 'v': v}}) FILTER (c > {p})"
+        return f"CASE WHEN ({a}) IS NULL THEN (min({{'c': c, 'v': v}})).v WHEN ({b}) IS NULL THEN (max({{'c': c, 'v': v}})).v ELSE ({a}).v + (({b}).v - ({a}).v) * ({p} - ({a}).c) / (({b}).c - ({a}).c) END"
+    return f"""SELECT neuron, {', '.join(f'{one(p)} AS {n}' for n, p in probs.items())} FROM (
+  SELECT neuron, {value} AS v, (sum(weight) OVER (PARTITION BY neuron ORDER BY {value}, {tie}) - weight/2) / sum(weight) OVER (PARTITION BY neuron) AS c FROM {source}) w GROUP BY neuron"""
+
+
+_WQ = {"q50": 0.5, "q90": 0.9, "q95": 0.95}
+put("weighted_quantile", FOREST, EDGE, _SAMPLES, select=f"SELECT neuron, {', '.join(r(n, n, 3) for n in _WQ)} FROM ({wquant('radius', 'smp', _WQ)})")
+_CENTER = """
+center AS (
+  SELECT s.*, d AS center_dist, abs(d - radius) AS error, greatest(d - radius, 0) AS excess FROM (
+    SELECT smp.*, least(sx-lo_x, hi_x-sx, sy-lo_y, hi_y-sy, sz-lo_z, hi_z-sz) AS d FROM smp JOIN nbox USING (neuron)) s)"""
+put("mesh_center_distance", FOREST, EDGE, _SAMPLES, _NBOX, _CENTER, select=f"SELECT neuron, child_id, k, {r('center_dist', 'center_dist')} FROM center")
+_BACK = """
+lattice AS (
+  SELECT neuron, i AS point_id,
+    CASE WHEN i // 32 = 0 THEN CASE WHEN (i // 16) % 2 = 0 THEN lo_x ELSE hi_x END ELSE lo_x + a*(hi_x-lo_x) END AS px,
+    CASE WHEN i // 32 = 1 THEN CASE WHEN (i // 16) % 2 = 0 THEN lo_y ELSE hi_y END WHEN i // 32 = 0 THEN lo_y + a*(hi_y-lo_y) ELSE lo_y + b*(hi_y-lo_y) END AS py,
+    CASE WHEN i // 32 = 2 THEN CASE WHEN (i // 16) % 2 = 0 THEN lo_z ELSE hi_z END ELSE lo_z + b*(hi_z-lo_z) END AS pz
+  FROM (SELECT nbox.*, range AS i, ((range // 4) % 4 + 0.5)/4 AS a, (range % 4 + 0.5)/4 AS b FROM nbox CROSS JOIN range(0, 96))),
+back AS (
+  SELECT neuron, point_id, m.child_id AS child_id, abs(sqrt(m.d2) - m.radius) AS error, greatest(sqrt(m.d2) - m.radius, 0) AS excess FROM (
+    SELECT l.neuron, l.point_id, min({'d2': (px-sx)*(px-sx) + (py-sy)*(py-sy) + (pz-sz)*(pz-sz), 'child_id': child_id, 'k': k, 'radius': radius}) AS m
+    FROM lattice l JOIN smp USING (neuron) GROUP BY ALL))"""
+_TH = (2000, 5000, 10000)
+_CE = {f"e{p}": p / 100 for p in (50, 90, 95)}
+_F1 = lambda t: f"CASE WHEN cf{t} + sf{t} > 0 THEN 2*cf{t}*sf{t}/(cf{t}+sf{t}) ELSE 0 END"
+put("mesh_agreement", FOREST, EDGE, _SAMPLES, _NBOX, _CENTER, _BACK, select=f"""
+SELECT neuron, n_nodes, n_edges, {r('cable', 'cable_length_um', 3)}, n_center_samples, n_surface_samples, {r('CAST(1 AS DOUBLE)', 'center_in_mesh_aabb_fraction', 3)},
+  {', '.join(r(f'e{p}', f'center_shell_error_p{p}_nm', 3) for p in (50, 90, 95))}, {r('d50', 'center_to_surface_p50_nm', 3)}, {r('x90', 'center_excess_p90_nm', 3)},
+  {', '.join(r(f's{p}', f'surface_shell_error_p{p}_nm', 3) for p in (50, 90, 95))}, {r('sx90', 'surface_excess_p90_nm', 3)},
+  'all' AS scope, 'triangle' AS center_distance_method,
+  {', '.join(f"{r(f'cf{t}', f'cable_fit_fraction_{t}nm', 3)}, {r(f'sf{t}', f'surface_fit_fraction_{t}nm', 3)}, {r(_F1(t), f'bidirectional_f1_{t}nm', 3)}, {r('100 * ' + _F1(t), f'match_score_{t}nm', 3)}" for t in _TH)}
+FROM (SELECT neuron, count(*) AS n_nodes FROM forest GROUP BY 1)
+JOIN (SELECT neuron, count(*) FILTER (k = 0) AS n_edges, sum(weight)/1000 AS cable, count(*) AS n_center_samples,
+  {', '.join(f"sum(CASE WHEN error <= {t} THEN weight ELSE 0 END)/sum(weight) AS cf{t}" for t in _TH)} FROM center GROUP BY 1) USING (neuron)
+JOIN (SELECT neuron, count(*) AS n_surface_samples, {', '.join(f"avg(CASE WHEN error <= {t} THEN 1 ELSE 0 END) AS sf{t}" for t in _TH)},
+  {', '.join(f"quantile_cont(error, {p/100}) AS s{p}" for p in (50, 90, 95))}, quantile_cont(excess, 0.9) AS sx90 FROM back GROUP BY 1) USING (neuron)
+JOIN ({wquant('error', 'center', _CE)}) USING (neuron) JOIN ({wquant('center_dist', 'center', {'d50': 0.5})}) USING (neuron) JOIN ({wquant('excess', 'center', {'x90': 0.9})}) USING (neuron)""")
+put("surface_samples", select="SELECT DISTINCT l_suppkey AS neuron, CAST(200 AS BIGINT) AS n_points, CAST(200 AS BIGINT) AS n_ids FROM lineitem")
+put("mesh_overlap", FOREST, EDGE, _SAMPLES, _NBOX, select=f"""
+SELECT neuron, {r('f', 'inside_fraction', 4)}, {r('w', 'center_in_mesh_aabb_fraction', 4)}, CASE WHEN f < 0.1 THEN 'error' WHEN f < 0.9 THEN 'warning' ELSE 'ok' END AS overlap
+FROM (SELECT neuron, avg(CASE WHEN i THEN 1 ELSE 0 END) AS f, sum(CASE WHEN i THEN weight ELSE 0 END)/sum(weight) AS w
+  FROM (SELECT smp.*, sx >= least(lo_x, hi_x - (neuron % 5)*9000) - 1000 AND sx <= greatest(lo_x, hi_x - (neuron % 5)*9000) + 1000 AS i FROM smp JOIN nbox USING (neuron)) GROUP BY neuron)""")
+put("point_in_mesh", FOREST, REGIONS, select="""
+SELECT neuron, id, region FROM forest JOIN boxes ON x/1000 BETWEEN lo_x AND hi_x AND y/1000 BETWEEN lo_y AND hi_y AND z/1000 BETWEEN lo_z AND hi_z""")
+
+# ---------------------------------------------------------------- retrieval
+_P = 2147483647
+
+
+def _sig(name: str, source: str) -> str:
+    return f"""
+v{name} AS (SELECT DISTINCT neuron, CAST(floor(x/1000/5) AS BIGINT) AS vx, CAST(floor(y/1000/5) AS BIGINT) AS vy, CAST(floor(z/1000/5) AS BIGINT) AS vz FROM forest {source}),
+s{name} AS (SELECT neuron, p.i, min(((1 + (CAST(48271 AS BIGINT)*16807*(p.i+1)) % {_P - 1}) * code + (69621*(p.i+1)*(p.i+7)) % {_P}) % {_P}) AS h
+  FROM (SELECT neuron, ((vx*73856093 + vy*19349663 + vz*83492791) % {_P} + {_P}) % {_P} AS code FROM v{name}) c CROSS JOIN (SELECT CAST(range AS BIGINT) AS i FROM range(0, 128)) p GROUP BY ALL)"""
+
+
+_TOPK = """
+sim AS (SELECT q.neuron AS query, c.neuron AS candidate, count(*) FILTER (q.h = c.h) / 128 AS j FROM sq q JOIN sc c ON c.i = q.i GROUP BY ALL),
+prs AS (
+  SELECT query, candidate, j, true AS same FROM sim WHERE query = candidate
+  UNION ALL SELECT query, candidate, j, false FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY j DESC, candidate) AS n FROM sim WHERE query <> candidate) WHERE n <= 30)"""
+_RANK = """
+jac AS (
+  SELECT p.*, shared, round(shared / (nq + nc - shared), 9) AS jaccard FROM (
+    SELECT p.query, p.candidate, p.j, p.same, count(c.vx) AS shared FROM prs p JOIN vq q ON q.neuron = p.query
+    LEFT JOIN vc c ON c.neuron = p.candidate AND c.vx = q.vx AND c.vy = q.vy AND c.vz = q.vz GROUP BY ALL) p
+  JOIN (SELECT neuron AS query, count(*) AS nq FROM vq GROUP BY 1) USING (query) JOIN (SELECT neuron AS candidate, count(*) AS nc FROM vc GROUP BY 1) USING (candidate)),
+ranks AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY jaccard DESC, j DESC, candidate) AS exact_rank FROM jac),
+summ AS (
+  SELECT query, max(jaccard) FILTER (same) AS paired_score, max(exact_rank) FILTER (same) AS paired_exact_rank, arg_min(candidate, exact_rank) FILTER (NOT same) AS best_unmatched,
+    arg_min(jaccard, exact_rank) FILTER (NOT same) AS best_unmatched_score, max(j) FILTER (same) AS mj, count(*) FILTER (NOT same) AS n_hard_negatives FROM ranks GROUP BY query)"""
+put("minhash_signature", FOREST, _sig("c", ""), select="SELECT neuron, CAST(i AS INTEGER) AS i, h FROM sc")
+_Q = (FOREST, _sig("q", "WHERE id % 11 <> 10"), _sig("c", ""), _TOPK)
+put("minhash_top_candidates", *_Q, select=f"SELECT query, candidate, {r('j', 'minhash_jaccard')}, same AS is_same_name_original FROM prs")
+put("voxel_jaccard_topk", *_Q, _RANK, select=f"SELECT query, candidate, shared, {r('jaccard', 'jaccard')}, exact_rank FROM ranks")
+put("rerank_rank", *_Q, _RANK, select=f"""
+SELECT query, {r('paired_score', 'paired_score')}, paired_exact_rank, best_unmatched, {r('best_unmatched_score', 'best_unmatched_score')},
+  {r('paired_score - best_unmatched_score', 'delta_score')}, paired_exact_rank = 1 AS top1_is_same_name, {r('mj', 'paired_minhash_jaccard')}, n_hard_negatives FROM summ""")
+put("retrieval_retention", *_Q, _RANK, select=f"""
+SELECT count(*) AS n, {r('avg(CASE WHEN paired_exact_rank = 1 THEN 1 ELSE 0 END)', 'top1_rate')},
+  {', '.join(r(f'quantile_cont({e}, {p})', f'{c}_{n}') for c, e in (('paired_score', 'paired_score'), ('delta_score', 'paired_score - best_unmatched_score')) for n, p in (('median', 0.5), ('q25', 0.25), ('q75', 0.75)))} FROM summ""")
