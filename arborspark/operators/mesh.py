@@ -75,37 +75,49 @@ def _dot(a, b) -> Column:
     return a[0] * b[0] + a[1] * b[1] + a[2] * b[2]
 
 
+def _prepared(faces: DataFrame) -> DataFrame:
+    """Faces with their bounds, unit normal and the products the distance needs."""
+    corner = lambda f, c: f(f"u{c}", f"v{c}", f"w{c}")
+    e, f, g = _sub("v", "u"), _sub("w", "u"), _sub("w", "v")
+    normal = [e[1] * f[2] - e[2] * f[1], e[2] * f[0] - e[0] * f[2], e[0] * f[1] - e[1] * f[0]]
+    out = faces.select("neuron", "face_id", *[f"{v}{c}" for v in "uvw" for c in "xyz"])
+    columns = {f"l{c}": corner(F.least, c) for c in "xyz"} | {f"h{c}": corner(F.greatest, c) for c in "xyz"}
+    columns |= {f"e{c}": x for c, x in zip("xyz", e)} | {f"f{c}": x for c, x in zip("xyz", f)} | {f"m{c}": x for c, x in zip("xyz", normal)}
+    columns |= {"ee": _dot(e, e), "ef": _dot(e, f), "ff": _dot(f, f), "gg": _dot(g, g), "mm": _dot(normal, normal)}
+    out = out.withColumns(columns)
+    unit = {f"n{c}": F.when(F.col("mm") > 0, F.col(f"m{c}") / F.sqrt("mm")).otherwise(0.0) for c in "xyz"}
+    det = F.col("ee") * F.col("ff") - F.col("ef") * F.col("ef")
+    return out.withColumns(unit | {"inv": F.when(det > 0, 1 / F.nullif(det, F.lit(0.0)))}).drop("mx", "my", "mz", "mm", "wx", "wy", "wz", "vx", "vy", "vz")
+
+
 def triangle_distance2() -> Column:
-    """Squared distance from (px, py, pz) to the triangle u, v, w.
+    """Squared distance from (px, py, pz) to a prepared face.
 
     The foot of the perpendicular counts when it falls inside the triangle,
-    otherwise the closest of the three sides does.
+    otherwise the closest of the three sides does.  Everything is written in the
+    three products of p - u with itself and the two sides, to stay short.
     """
-    def side(a: str, b: str) -> Column:
-        ab, ap = _sub(b, a), _sub("p", a)
-        t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), _dot(ap, ab) / F.nullif(_dot(ab, ab), F.lit(0.0))))
-        t = F.coalesce(t, F.lit(0.0))
-        rest = [p - t * e for p, e in zip(ap, ab)]
-        return _dot(rest, rest)
-
-    e, f, d = _sub("v", "u"), _sub("w", "u"), _sub("p", "u")
-    ee, ef, ff, de, df = _dot(e, e), _dot(e, f), _dot(f, f), _dot(d, e), _dot(d, f)
-    det = F.nullif(ee * ff - ef * ef, F.lit(0.0))
-    s, t = (ff * de - ef * df) / det, (ee * df - ef * de) / det
-    foot = [x - s * a - t * b for x, a, b in zip(d, e, f)]
-    inside = F.coalesce((s >= 0) & (t >= 0) & (s + t <= 1), F.lit(False))
-    return F.when(inside, _dot(foot, foot)).otherwise(F.least(side("u", "v"), side("v", "w"), side("w", "u")))
+    c, axis = F.col, lambda name: [F.col(f"{name}{x}") for x in "xyz"]
+    d = _sub("p", "u")
+    dd, de, df, height = _dot(d, d), _dot(d, axis("e")), _dot(d, axis("f")), _dot(d, axis("n"))
+
+    def side(square: Column, along: Column, norm: str) -> Column:
+        t = F.when(along <= 0, 0.0).when(along >= c(norm), 1.0).otherwise(along / c(norm))
+        return square - t * (2 * along - t * c(norm))
+
+    s = c("ff") * de - c("ef") * df
+    t = c("ee") * df - c("ef") * de
+    inside = c("inv").isNotNull() & (s >= 0) & (t >= 0) & ((s + t) * c("inv") <= 1)
+    far = df - de - c("ef") + c("ee")
+    sides = F.least(side(dd, de, "ee"), side(dd, df, "ff"), side(dd - 2 * de + c("ee"), far, "gg"))
+    return F.when(inside, height * height).otherwise(F.greatest(sides, F.lit(0.0)))
 
 
 def to_surface(samples: DataFrame, faces: DataFrame, cell: float = 2000.0) -> DataFrame:
     """Distance of every centre sample to the closest face of the same neuron."""
     probes = samples.select("neuron", F.struct("child_id", "k").alias("pid"), *[F.col(f"s{c}").alias(f"p{c}") for c in "xyz"])
-    corner = lambda f, c: f(f"u{c}", f"v{c}", f"w{c}")
-    items = faces.select("neuron", "face_id", *[f"{v}{c}" for v in "uvw" for c in "xyz"]).withColumns(
-        {f"l{c}": corner(F.least, c) for c in "xyz"} | {f"h{c}": corner(F.greatest, c) for c in "xyz"}
-    )
     hit = nearest(
-        probes, items, ["neuron"], cell=cell, lo=("lx", "ly", "lz"), hi=("hx", "hy", "hz"), distance2=triangle_distance2(), tie="face_id"
+        probes, land(_prepared(faces), "faces"), ["neuron"], cell=cell, lo=("lx", "ly", "lz"), hi=("hx", "hy", "hz"), distance2=triangle_distance2(), tie="face_id"
     )
     return hit.select("neuron", "pid.child_id", "pid.k", F.col("distance").alias("center_dist"), "face_id")
 
@@ -125,7 +137,7 @@ def to_samples(surface: DataFrame, samples: DataFrame, cell: float = 2000.0) ->
     items = samples.select(
         "neuron", F.struct("edge_row", "k").alias("row_idx"), "child_id", *[F.col(f"s{c}").alias(c) for c in "xyz"], "radius"
     )
-    hit = nearest(probes, items, ["neuron"], cell=cell)
+    hit = nearest(probes, items, ["neuron"], cell=cell, carry=("child_id", "radius"))
     return hit.select("neuron", F.col("pid").alias("point_id"), "child_id", "radius", F.col("distance").alias("surface_dist"))
 
 

@@ -1,11 +1,11 @@
 """Exact k-nearest-neighbour join over a pyramid of cells.
 
 Items are summarised into cubic cells (count and tight bounding box) and the
-cells into cells four times larger, up to a handful per key.  Probes walk down
-the pyramid level by level; at each level a probe keeps only the cells whose
-closest possible distance does not exceed the farthest distance that already
-guarantees ``k`` items.  Every step is an equi-join on (key, cell), so one hot
-key spreads over its cells, and no probe is ever paired with all items.
+cells into cells four times larger, up to eight per key.  Probes walk down the
+pyramid level by level; at each level a probe keeps only the cells whose closest
+possible distance does not exceed the farthest distance that already guarantees
+``k`` items.  Every step is an equi-join on (key, cell), so one hot key spreads
+over its cells, and no probe is ever paired with all items.
 """
 
 from __future__ import annotations
@@ -18,19 +18,39 @@ from pyspark.sql import functions as F
 from arborspark.session import land
 
 FACTOR = 4
+LEAF_ITEMS = 8
 AXES = ("x", "y", "z")
+CELL = ["_cx", "_cy", "_cz"]
+BOX = [f"_{side}{a}" for a in AXES for side in ("lo", "hi")]
 
 
-def _gap(axis: str) -> Column:
-    p = F.col(f"p{axis}")
-    g = F.greatest(F.col(f"_lo{axis}") - p, p - F.col(f"_hi{axis}"), F.lit(0.0))
-    return g * g
+def _lower() -> Column:
+    """Squared distance from the probe to the closest point of the cell's box."""
+    gaps = [F.greatest(F.col(f"_lo{a}") - F.col(f"p{a}"), F.col(f"p{a}") - F.col(f"_hi{a}"), F.lit(0.0)) for a in AXES]
+    return gaps[0] * gaps[0] + gaps[1] * gaps[1] + gaps[2] * gaps[2]
 
 
-def _reach(axis: str) -> Column:
-    p = F.col(f"p{axis}")
-    g = F.greatest(F.abs(p - F.col(f"_lo{axis}")), F.abs(p - F.col(f"_hi{axis}")))
-    return g * g
+def _upper() -> Column:
+    """Squared distance from the probe to the farthest point of the cell's box."""
+    far = [F.greatest(F.abs(F.col(f"p{a}") - F.col(f"_lo{a}")), F.abs(F.col(f"p{a}") - F.col(f"_hi{a}"))) for a in AXES]
+    return far[0] * far[0] + far[1] * far[1] + far[2] * far[2]
+
+
+def _coarser(level: DataFrame, keys: list[str], factor: int) -> DataFrame:
+    up = [F.floor(F.col(c) / factor).alias(c) for c in CELL]
+    return level.groupBy(*keys, *up).agg(
+        F.sum("_n").alias("_n"), *[(F.min if b.startswith("_lo") else F.max)(b).alias(b) for b in BOX]
+    )
+
+
+def _leaf_factor(level: DataFrame, keys: list[str], width: int) -> int:
+    """Widening of the leaf cells until they hold a few items on average."""
+    factor = 1
+    items, cells = level.agg(F.sum("_n"), F.count(F.lit(1))).first()
+    while cells and items / cells < LEAF_ITEMS and width // factor > 2:
+        factor *= 2
+        cells = level.select(*keys, *[F.floor(F.col(c) / factor).alias(c) for c in CELL]).distinct().count()
+    return factor
 
 
 def point_distance2() -> Column:
@@ -48,66 +68,69 @@ def nearest(
     hi: Sequence[str] = AXES,
     distance2: Column | None = None,
     tie: str = "row_idx",
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """The ``k`` closest items of the same key for every probe.
 
     ``probes`` carries the keys, a unique ``pid`` and ``px, py, pz``; ``items``
     carries the keys, the tie-breaking column and either points or boxes
-    (``lo``/``hi`` columns).  Returns keys, pid, all item columns, ``distance``
-    and ``nth`` (1..k).  Probes whose key has no items are absent.
+    (``lo``/``hi`` columns).  Returns keys, pid, the tie column, the item columns
+    in ``carry``, ``distance`` and ``nth`` (1..k).  Probes whose key has no items
+    are absent.
     """
     keys = list(keys)
-    distance2 = point_distance2() if distance2 is None else distance2
-    cells = ["_cx", "_cy", "_cz"]
-    box = [f"_{side}{a}" for a in AXES for side in ("lo", "hi")]
-    placed = items.withColumns({f"_c{a}": F.floor(F.col(c) / F.lit(cell)) for a, c in zip(AXES, lo)})
-    level = land(
-        placed.groupBy(*keys, *cells).agg(
+    by_point = distance2 is None
+    distance2 = point_distance2() if by_point else distance2
+    cell_of = lambda size: {f"_c{a}": F.floor(F.col(c) / F.lit(size)) for a, c in zip(AXES, lo)}
+    finest = land(
+        items.withColumns(cell_of(cell)).groupBy(*keys, *CELL).agg(
             F.count(F.lit(1)).alias("_n"),
             *[F.min(c).alias(f"_lo{a}") for a, c in zip(AXES, lo)],
             *[F.max(c).alias(f"_hi{a}") for a, c in zip(AXES, hi)],
         ),
         "cells",
     )
-    span = level.agg(*[(F.max(c) - F.min(c)).alias(c) for c in cells]).first()
-    width = max([s or 0 for s in span]) + 1
+    # widest extent of any single key, in cells
+    extent = finest.groupBy(*keys).agg(*[(F.max(c) - F.min(c)).alias(c) for c in CELL])
+    spans = extent.agg(*[F.max(c) for c in CELL]).first()
+    width = max(s or 0 for s in spans) + 1
+    factor = _leaf_factor(finest, keys, width)
+    level = _coarser(finest, keys, factor) if factor > 1 else finest
+    placed = items.withColumns(cell_of(cell * factor))
+    width = -(-width // factor) + 1 if factor > 1 else width
     pyramid = [level]
     while width > 2:
-        up = [F.floor(F.col(c) / FACTOR).alias(c) for c in cells]
-        level = level.groupBy(*keys, *up).agg(
-            F.sum("_n").alias("_n"),
-            *[(F.min if b.startswith("_lo") else F.max)(b).alias(b) for b in box],
-        )
+        level = _coarser(level, keys, FACTOR)
         pyramid.append(level)
-        width = -(-width // FACTOR) + 1 if width > FACTOR else 1
+        width = -(-width // FACTOR) + 1 if width > FACTOR else 2
 
     probe = [*keys, "pid", "px", "py", "pz"]
+    # at most two cells per axis are left at the top
     front = probes.select(*probe).join(pyramid[-1], keys)
     per_probe = Window.partitionBy(*keys, "pid")
     for depth in range(len(pyramid) - 1, -1, -1):
-        front = front.withColumns({"_lb": _gap("x") + _gap("y") + _gap("z"), "_ub": _reach("x") + _reach("y") + _reach("z")})
+        front = front.withColumns({"_lb": _lower(), "_ub": _upper()})
         if k == 1:
             bound = F.min("_ub").over(per_probe)
         else:
             near_first = per_probe.orderBy("_ub").rowsBetween(Window.unboundedPreceding, 0)
             front = front.withColumn("_have", F.sum("_n").over(near_first))
             bound = F.coalesce(F.min(F.when(F.col("_have") >= k, F.col("_ub"))).over(per_probe), F.lit(float("inf")))
-        front = front.withColumn("_bound", bound).filter(F.col("_lb") <= F.col("_bound") * (1 + 1e-9) + 1e-12)
-        front = front.select(*probe, *cells)
+        front = front.withColumn("_bound", bound * (1 + 1e-9) + 1e-12).filter(F.col("_lb") <= F.col("_bound"))
+        front = front.select(*probe, *CELL, *([] if depth else ["_bound"]))
         if depth:
-            below = pyramid[depth - 1]
-            finer = below.select(
-                *keys, *[F.col(c).alias(f"{c}f") for c in cells], *[F.floor(F.col(c) / FACTOR).alias(c) for c in cells], "_n", *box
+            finer = pyramid[depth - 1].select(
+                *keys, *[F.col(c).alias(f"{c}f") for c in CELL], *[F.floor(F.col(c) / FACTOR).alias(c) for c in CELL], "_n", *BOX
             )
-            front = front.join(finer, [*keys, *cells]).drop(*cells).withColumnsRenamed({f"{c}f": c for c in cells})
-    met = front.join(placed, [*keys, *cells]).withColumn("_d2", distance2)
-    carried = [c for c in items.columns if c not in keys]
-    entry = F.struct("_d2", tie, *[c for c in carried if c != tie])
+            front = front.join(finer, [*keys, *CELL]).drop(*CELL).withColumnsRenamed({f"{c}f": c for c in CELL})
+    met = front.join(placed, [*keys, *CELL]).withColumn("_d2", distance2)
+    if by_point:
+        # only items within the guaranteed distance can be among the k closest; a
+        # long distance expression would be evaluated twice by this filter
+        met = met.filter(F.col("_d2") <= F.col("_bound"))
+    met = met.select(*keys, "pid", F.struct("_d2", tie, *carry).alias("_m"))
     if k == 1:
-        best = met.groupBy(*keys, "pid").agg(F.min(entry).alias("_m")).withColumn("nth", F.lit(1))
+        best = met.groupBy(*keys, "pid").agg(F.min("_m").alias("_m")).withColumn("nth", F.lit(1))
     else:
-        ranked = met.withColumn("nth", F.row_number().over(per_probe.orderBy("_d2", tie)))
-        best = ranked.filter(F.col("nth") <= k).select(*keys, "pid", entry.alias("_m"), "nth")
-    return best.select(
-        *keys, "pid", *[F.col(f"_m.{c}").alias(c) for c in carried], F.sqrt("_m._d2").alias("distance"), "nth"
-    )
+        best = met.withColumn("nth", F.row_number().over(per_probe.orderBy("_m"))).filter(F.col("nth") <= k)
+    return best.select(*keys, "pid", *[F.col(f"_m.{c}").alias(c) for c in (tie, *carry)], F.sqrt("_m._d2").alias("distance"), "nth")

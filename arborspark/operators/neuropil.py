@@ -17,30 +17,36 @@ MIN_ORDER, MAX_ORDER = 1, 60
 # Face tables hold region (or another key), face_id and corners u, v, w:
 # ux, uy, uz, vx, ..., wz.
 
-def _crosses() -> Column:
-    """Does the ray from (px, py, pz) towards +x pass through the face?
+def _prepared(faces: DataFrame) -> DataFrame:
+    """Per face: its three sides in one fixed direction and its plane.
 
-    The (y, z) projection is tested by the hand of the point at each side, and
-    every side is taken in one fixed direction so that the two faces sharing it
-    agree even for a point exactly on it.
+    Side s runs from (s_y, s_z) along (s_dy, s_dz); ``s_turned`` tells whether
+    the direction was reversed.  Two faces sharing a side see the same numbers,
+    so they agree even about a point exactly on it.
     """
     c = F.col
-
-    def hand(a: str, b: str) -> Column:
+    columns = {}
+    for a, b in ("uv", "vw", "wu"):
         turned = (c(f"{a}y") > c(f"{b}y")) | ((c(f"{a}y") == c(f"{b}y")) & (c(f"{a}z") > c(f"{b}z")))
         pick = lambda axis, first, second: F.when(turned, c(f"{second}{axis}")).otherwise(c(f"{first}{axis}"))
-        y0, z0, y1, z1 = pick("y", a, b), pick("z", a, b), pick("y", b, a), pick("z", b, a)
-        positive = (y1 - y0) * (c("pz") - z0) - (z1 - z0) * (c("py") - y0) >= 0
-        return positive != turned
-
-    uv, vw, wu = hand("u", "v"), hand("v", "w"), hand("w", "u")
+        columns |= {
+            f"{a}{b}_turned": turned, f"{a}{b}_y": pick("y", a, b), f"{a}{b}_z": pick("z", a, b),
+            f"{a}{b}_dy": pick("y", b, a) - pick("y", a, b), f"{a}{b}_dz": pick("z", b, a) - pick("z", a, b),
+        }
     e = {a: c(f"v{a}") - c(f"u{a}") for a in "xyz"}
     f = {a: c(f"w{a}") - c(f"u{a}") for a in "xyz"}
-    nx = e["y"] * f["z"] - e["z"] * f["y"]
-    ny = e["z"] * f["x"] - e["x"] * f["z"]
-    nz = e["x"] * f["y"] - e["y"] * f["x"]
-    met = c("ux") - (ny * (c("py") - c("uy")) + nz * (c("pz") - c("uz"))) / F.when(nx != 0, nx)
-    return (uv == vw) & (vw == wu) & (nx != 0) & (met > c("px"))
+    columns |= {
+        "nx": e["y"] * f["z"] - e["z"] * f["y"], "ny": e["z"] * f["x"] - e["x"] * f["z"], "nz": e["x"] * f["y"] - e["y"] * f["x"]
+    }
+    return faces.withColumns(columns).filter("nx <> 0")
+
+
+def _crosses() -> Column:
+    """Does the ray from (px, py, pz) towards +x pass through the prepared face?"""
+    c = F.col
+    hand = lambda s: (c(f"{s}_dy") * (c("pz") - c(f"{s}_z")) - c(f"{s}_dz") * (c("py") - c(f"{s}_y")) >= 0) != c(f"{s}_turned")
+    met = c("ux") - (c("ny") * (c("py") - c("uy")) + c("nz") * (c("pz") - c("uz"))) / c("nx")
+    return (hand("uv") == hand("vw")) & (hand("vw") == hand("wu")) & (met > c("px"))
 
 
 def regions_of_points(points: DataFrame, faces: DataFrame, cell: float = 8.0) -> DataFrame:
@@ -53,7 +59,7 @@ def regions_of_points(points: DataFrame, faces: DataFrame, cell: float = 8.0) ->
     span = lambda a: F.sequence(
         F.floor(F.least(f"u{a}", f"v{a}", f"w{a}") / cell), F.floor(F.greatest(f"u{a}", f"v{a}", f"w{a}") / cell)
     )
-    listed = faces.withColumn("gy", F.explode(span("y"))).withColumn("gz", F.explode(span("z")))
+    listed = land(_prepared(faces).withColumn("gy", F.explode(span("y"))).withColumn("gz", F.explode(span("z"))), "faces")
     placed = points.withColumns({"gy": F.floor(F.col("py") / cell), "gz": F.floor(F.col("pz") / cell)})
     hits = placed.join(listed, ["gy", "gz"]).filter(_crosses())
     return hits.groupBy("pid", "region").agg(F.count(F.lit(1)).alias("n")).filter("n % 2 = 1").select("pid", "region")

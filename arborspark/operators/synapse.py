@@ -19,7 +19,7 @@ def assign(nodes: DataFrame, synapses: DataFrame, cell_um: float = 4.0) -> DataF
     um = lambda c: F.col(c) / F.lit(NM_PER_UM)
     probes = synapses.select("neuron", F.col("syn_id").alias("pid"), *[um(a).alias(f"p{a}") for a in "xyz"])
     items = nodes.select("neuron", "row_idx", "id", "type", *[um(a).alias(a) for a in "xyz"])
-    hit = nearest(probes, items, ["neuron"], cell=cell_um)
+    hit = nearest(probes, items, ["neuron"], cell=cell_um, carry=("id", "type", "x", "y", "z"))
     points = synapses.select(
         "neuron", F.col("syn_id").alias("pid"), "syn_type", *[um(a).alias(f"syn_{a}_um") for a in "xyz"]
     )
