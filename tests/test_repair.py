@@ -165,7 +165,7 @@ def thick_core(stub_um=3.0, soma_type=1, stubs=4):
 def test_soma_pruning(make):
     broken = [(9999, 0, 1, 1, 1, 1, 8888)]
     nodes = make({
-        "cut": thick_core() + broken, "nosoma": thick_core(soma_type=0), "long": thick_core(stub_um=60.0),
+        "cut": thick_core() + broken, "nosoma": thick_core(soma_type=0), "long": thick_core(stub_um=60.0, stubs=1),
         "shifted": [(0, 0, -1000, 0, 0, 200, -1)] + [(*r[:6], 0) if r[0] == 1 else r for r in thick_core()], "lone": [(1, 1, 0, 0, 0, 1, -1)],
         "bare": [(1, 1, 0, 0, 0, 200, -1), (2, 0, 500, 0, 0, 1, 1), (3, 0, 900, 0, 0, 1, 2)],
     })
@@ -179,7 +179,7 @@ def test_soma_pruning(make):
     assert kept == {1, 2, 3} | set(range(1000, 1300))
     assert got["cut"].deleted_nodes == 2 + 32 + 1 and got["cut"].soma_core_nodes >= 5
     assert got["cut"].retained_major_exit_ids == str(got["cut"].primary_exit_id)
-    assert out.filter("neuron = 'long'").count() == len(thick_core())
+    assert out.filter("neuron = 'long'").count() == len(thick_core(stubs=1))
     orphans = out.filter("neuron = 'cut' AND parent <> -1").select(F.col("parent").alias("id")).subtract(out.filter("neuron = 'cut'").select("id"))
     assert orphans.count() == 0
 
