@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 from arborspark.operators import (
     mesh, morphology, neuropil, qc, release_report, relink, repair, retrieval, soma, statistics, synapse, topology,
 )
+from arborspark.functions.text import root_id
 from arborspark.plans import forest as inputs
+from arborspark.sources.swc import node_line, to_nm
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -695,3 +697,71 @@ def shape_rerank(spark, folder):
     few = pairs.withColumn("_n", F.row_number().over(w)).filter("_n <= 4").drop("_n")
     ranks = retrieval.ranked(retrieval.shape_scores(few, qd, cd))
     return tidy(retrieval.search_summary(ranks))
+
+
+# ------------------------------------------------------- listings and totals
+
+@query
+def order_matrix(spark, folder):
+    return neuropil.order_matrix(neuropil.full_grid(_profiles(spark, folder)))
+
+
+@query
+def release_log_totals(spark, folder):
+    log = repair.release_log(repair.release_types(inputs.forest(spark, folder), F.col("neuron") % 2 == 1))
+    return qc.log_totals(log, ["n_nodes", "type1_final", "root_to_type1", "type1_removed", "type0_branch_to_type5"], "error")
+
+
+@query
+def operation_totals(spark, folder):
+    sheet = inputs.table(spark, folder, "supplier").select(
+        F.lit("all").alias("classify"),
+        F.when(F.col("s_suppkey") % 3 == 0, "TRUE").otherwise("False").alias("remove_soma_branches_automatically"),
+        F.when(F.col("s_suppkey") % 4 == 0, "1").alias("prun_soma_region"),
+        F.when(F.col("s_acctbal") > 3000, "true").otherwise("0").alias("Multifurcation_Binarization"),
+        F.when(F.col("s_acctbal") > 0, "1").otherwise("no").alias("Assign_synapse"),
+    )
+    return tidy(release_report.operation_totals(release_report.clean_metadata(sheet)))
+
+
+@query
+def listing_fingerprint(spark, folder):
+    sizes = inputs.forest(spark, folder).groupBy("neuron").agg(F.count(F.lit(1)).alias("n"))
+    return qc.fingerprint(sizes, ["neuron", "n"])
+
+
+@query
+def seeded_sample(spark, folder):
+    names = inputs.forest(spark, folder).select("neuron").distinct()
+    return qc.sample_names(names, "neuron", 50, 42)
+
+
+@query
+def long_segment_sort(spark, folder):
+    out = qc.long_child_screen(inputs.forest(spark, folder)).filter("matched")
+    return out.orderBy(F.desc("n_matching_parents"), F.desc("n_matching_long_segments"), "neuron").select(
+        "neuron", "n_matching_parents", "n_matching_long_segments"
+    )
+
+
+@query
+def root_id_from_name(spark, folder):
+    c = inputs.table(spark, folder, "customer")
+    k = F.col("c_custkey")
+    digits = (F.lit(720575940600000000) + k).cast("string")
+    name = (
+        F.when(k % 4 == 0, digits).when(k % 4 == 1, F.concat(F.lit("cell_"), digits, F.lit("_v2")))
+        .when(k % 4 == 2, F.concat(digits, F.lit("-"), digits)).otherwise(F.col("c_name"))
+    )
+    return c.select(k.alias("c_custkey"), root_id(name).alias("root_id"))
+
+
+@query
+def unit_scaling(spark, folder):
+    out = to_nm(inputs.forest(spark, folder), "voxel", "um")
+    return tidy(out.select("neuron", "id", "x", "y", "z", "radius"), 4)
+
+
+@query
+def swc_text_lines(spark, folder):
+    return inputs.forest(spark, folder).select("neuron", "id", node_line(3).alias("line"))

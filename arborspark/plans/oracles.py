@@ -576,3 +576,24 @@ SELECT query, {r('paired_score', 'paired_score')}, paired_exact_rank, best_unmat
 put("retrieval_retention", *_Q, _RANK, select=f"""
 SELECT count(*) AS n, {r('avg(CASE WHEN paired_exact_rank = 1 THEN 1 ELSE 0 END)', 'top1_rate')},
   {', '.join(r(f'quantile_cont({e}, {p})', f'{c}_{n}') for c, e in (('paired_score', 'paired_score'), ('delta_score', 'paired_score - best_unmatched_score')) for n, p in (('median', 0.5), ('q25', 0.25), ('q75', 0.75)))} FROM summ""")
+
+# ------------------------------------------------------- listings and totals
+put("order_matrix", LABELLED, _kept("2, 3, 4"), recursive=True, select=f"""
+SELECT node_type, neuropil, {', '.join(f'CAST(sum(node_count) FILTER (branch_order = {o}) AS BIGINT) AS "{o}"' for o in range(1, 61))} FROM grid GROUP BY ALL""")
+put("release_log_totals", FOREST, KIDS, _RELEASE, select="""
+SELECT count(DISTINCT neuron) AS files, CAST(0 AS BIGINT) AS errors, count(*) AS n_nodes, count(*) FILTER (final_type = 1) AS type1_final, count(*) FILTER (root_to_type1) AS root_to_type1,
+  count(*) FILTER (type1_removed) AS type1_removed, count(*) FILTER (type0_branch_to_type5) AS type0_branch_to_type5 FROM released""")
+_FLAGS = {"remove_soma_branches_automatically": "s_suppkey % 3 = 0", "prun_soma_region": "s_suppkey % 4 = 0", "Multifurcation_Binarization": "s_acctbal > 3000", "Assign_synapse": "s_acctbal > 0"}
+put("operation_totals", select=" UNION ALL ".join(
+    f"SELECT count(*) AS files, '{n}' AS operation, count(*) FILTER ({c}) AS n, {r(f'count(*) FILTER ({c}) * 100.0 / count(*)', 'percent')} FROM supplier" for n, c in _FLAGS.items()))
+put("listing_fingerprint", select="""
+WITH s AS (SELECT l_suppkey || '|' || count(*) AS line FROM lineitem GROUP BY l_suppkey),
+t AS (SELECT count(*) AS n, sum(CAST(('0x' || substr(sha256(line), 1, 13)) AS HUGEINT)) AS total FROM s)
+SELECT n AS n_files, sha256(n || '|' || total) AS signature FROM t""")
+put("long_segment_sort", FOREST, EDGE, _SCREEN, select="SELECT neuron, n_matching_parents, n_matching_long_segments FROM screen WHERE matched")
+put("root_id_from_name", select="""
+SELECT c_custkey, CASE WHEN c_custkey % 4 IN (0, 1) THEN CAST(720575940600000000 + c_custkey AS VARCHAR)
+  WHEN c_custkey % 4 = 3 AND regexp_matches(c_name, '^[0-9]+$') THEN c_name END AS root_id FROM customer""")
+put("unit_scaling", FOREST, select=f"SELECT neuron, id, {r('x*4', 'x', 4)}, {r('y*4', 'y', 4)}, {r('z*40', 'z', 4)}, {r('greatest(radius*1000, 0)', 'radius', 4)} FROM forest")
+put("swc_text_lines", FOREST, select="""
+SELECT neuron, id, printf('%d %d %.3f %.3f %.3f %.3f %d', id, type, x, y, z, radius, parent) AS line FROM forest""")
