@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from arborspark.session import land
 
 FACTOR = 4
-LEAF_ITEMS = 8
+LEAF_ITEMS, CROWDED_ITEMS, MAX_REFINEMENTS, MAX_DOUBLINGS = 8, 32, 8, 10
 AXES = ("x", "y", "z")
 CELL = ["_cx", "_cy", "_cz"]
 BOX = [f"_{side}{a}" for a in AXES for side in ("lo", "hi")]
@@ -43,14 +43,43 @@ def _coarser(level: DataFrame, keys: list[str], factor: int) -> DataFrame:
     )
 
 
-def _leaf_factor(level: DataFrame, keys: list[str], width: int) -> int:
-    """Widening of the leaf cells until they hold a few items on average."""
+def _cells(items: DataFrame, keys: list[str], size: float, lo: Sequence[str], hi: Sequence[str]) -> DataFrame:
+    placed = items.withColumns(_cell_of(size, lo))
+    return land(
+        placed.groupBy(*keys, *CELL).agg(
+            F.count(F.lit(1)).alias("_n"),
+            *[F.min(c).alias(f"_lo{a}") for a, c in zip(AXES, lo)],
+            *[F.max(c).alias(f"_hi{a}") for a, c in zip(AXES, hi)],
+        ),
+        "cells",
+    )
+
+
+def _cell_of(size: float, lo: Sequence[str]) -> dict[str, Column]:
+    return {f"_c{a}": F.floor(F.col(c) / F.lit(size)) for a, c in zip(AXES, lo)}
+
+
+def _fitted_leaves(items: DataFrame, keys: list[str], size: float, lo, hi) -> tuple[DataFrame, float]:
+    """Cell table and cell size holding a few items per cell on average.
+
+    Crowded cells are cut to a quarter until it no longer separates items;
+    sparse ones are doubled, from the cell table alone.
+    """
+    level = _cells(items, keys, size, lo, hi)
+    total, cells = level.agg(F.sum("_n"), F.count(F.lit(1))).first()
+    for _ in range(MAX_REFINEMENTS):
+        if not cells or total / cells <= CROWDED_ITEMS:
+            break
+        finer = _cells(items, keys, size / FACTOR, lo, hi)
+        n = finer.count()
+        if n < 1.5 * cells:
+            break
+        level, cells, size = finer, n, size / FACTOR
     factor = 1
-    items, cells = level.agg(F.sum("_n"), F.count(F.lit(1))).first()
-    while cells and items / cells < LEAF_ITEMS and width // factor > 2:
+    while cells and total / cells < LEAF_ITEMS and factor < 1 << MAX_DOUBLINGS:
         factor *= 2
         cells = level.select(*keys, *[F.floor(F.col(c) / factor).alias(c) for c in CELL]).distinct().count()
-    return factor
+    return (_coarser(level, keys, factor), size * factor) if factor > 1 else (level, size)
 
 
 def point_distance2() -> Column:
@@ -81,23 +110,12 @@ def nearest(
     keys = list(keys)
     by_point = distance2 is None
     distance2 = point_distance2() if by_point else distance2
-    cell_of = lambda size: {f"_c{a}": F.floor(F.col(c) / F.lit(size)) for a, c in zip(AXES, lo)}
-    finest = land(
-        items.withColumns(cell_of(cell)).groupBy(*keys, *CELL).agg(
-            F.count(F.lit(1)).alias("_n"),
-            *[F.min(c).alias(f"_lo{a}") for a, c in zip(AXES, lo)],
-            *[F.max(c).alias(f"_hi{a}") for a, c in zip(AXES, hi)],
-        ),
-        "cells",
-    )
+    level, size = _fitted_leaves(items, keys, cell, lo, hi)
+    placed = items.withColumns(_cell_of(size, lo))
     # widest extent of any single key, in cells
-    extent = finest.groupBy(*keys).agg(*[(F.max(c) - F.min(c)).alias(c) for c in CELL])
+    extent = level.groupBy(*keys).agg(*[(F.max(c) - F.min(c)).alias(c) for c in CELL])
     spans = extent.agg(*[F.max(c) for c in CELL]).first()
     width = max(s or 0 for s in spans) + 1
-    factor = _leaf_factor(finest, keys, width)
-    level = _coarser(finest, keys, factor) if factor > 1 else finest
-    placed = items.withColumns(cell_of(cell * factor))
-    width = -(-width // factor) + 1 if factor > 1 else width
     pyramid = [level]
     while width > 2:
         level = _coarser(level, keys, FACTOR)
