@@ -20,26 +20,33 @@ from arborspark.schema import VOXEL_NM
 COLUMNS = ("id", "type", "x", "y", "z", "radius", "parent")
 
 
-def read_lines(spark: SparkSession, root: str | Sequence[str], glob: str = "*.[sS][wW][cC]", source_group: str | None = None) -> DataFrame:
-    """Raw lines below ``root``: neuron (file stem), relative_path, row_idx, raw, fields."""
-    lines = (
-        spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).text(root)
-        .select("value", "_metadata.file_path", "_metadata.file_block_start")
-    )
-    inside = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
-    base = root if isinstance(root, str) else ""
-    prefix = F.regexp_replace(F.lit(base.rstrip("/")), r"^file:/*", "/")
-    relative = F.regexp_replace(F.url_decode(F.regexp_replace("file_path", r"^file:/*", "/")), F.concat(F.lit("^\\Q"), prefix, F.lit("\\E/*")), F.lit(""))
-    raw = F.regexp_replace("value", "\r$", "")
+SPLIT_COLUMNS = ("value", "_metadata.file_path", "_metadata.file_block_start")
+
+
+def line_order() -> Column:
+    """Position of a line in its file: start of the input split plus the place inside."""
+    return F.col("file_block_start") + F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+
+
+def split_lines(lines: DataFrame, relative_path: Column) -> DataFrame:
+    """Numbered raw lines with their fields (null for blank lines and comments)."""
     out = lines.select(
         stem(F.url_decode("file_path")).alias("neuron"),
-        relative.alias("relative_path"),
-        (F.col("file_block_start") + inside).alias("row_idx"),
-        raw.alias("raw"),
+        relative_path.alias("relative_path"),
+        line_order().alias("row_idx"),
+        F.regexp_replace("value", "\r$", "").alias("raw"),
     )
     text = F.trim(F.regexp_replace("raw", r"\s+", " "))
-    fields = F.when((text == "") | text.startswith("#"), F.lit(None)).otherwise(F.split(text, " "))
-    out = out.withColumn("fields", fields)
+    return out.withColumn("fields", F.when((text == "") | text.startswith("#"), F.lit(None)).otherwise(F.split(text, " ")))
+
+
+def read_lines(spark: SparkSession, root: str | Sequence[str], glob: str = "*.[sS][wW][cC]", source_group: str | None = None) -> DataFrame:
+    """Raw lines below ``root``: neuron (file stem), relative_path, row_idx, raw, fields."""
+    lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).text(root).select(*SPLIT_COLUMNS)
+    plain = lambda c: F.regexp_replace(c, r"^file:/*", "/")
+    base = plain(F.lit(root.rstrip("/") if isinstance(root, str) else ""))
+    relative = F.regexp_replace(F.url_decode(plain(F.col("file_path"))), F.concat(F.lit("^\\Q"), base, F.lit("\\E/*")), F.lit(""))
+    out = split_lines(lines, relative)
     return out.withColumn("source_group", F.lit(source_group)) if source_group else out
 
 

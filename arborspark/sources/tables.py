@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arborspark.functions.text import stem
+from arborspark.operators import ordering
+from arborspark.sources.swc import SPLIT_COLUMNS, line_order
 
 
 def read_soma_metadata(spark: SparkSession, path: str) -> DataFrame:
@@ -22,11 +24,10 @@ def read_synapses(spark: SparkSession, path: str, syn_type: str) -> DataFrame:
     """Synapse text files (five or more columns, 3-5 are x y z in nm); the file stem
     is the neuron.  Files with unreadable rows contribute their readable ones."""
     lines = spark.read.option("recursiveFileLookup", "true").text(path).select(
-        "value", "_metadata.file_path", "_metadata.file_block_start"
+        *SPLIT_COLUMNS
     )
     fields = F.split(F.trim(F.regexp_replace("value", r"\s+", " ")), " ")
-    index = F.col("file_block_start") + F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
-    out = lines.select(stem(F.col("file_path")).alias("neuron"), index.alias("syn_index"), fields.alias("f"))
+    out = lines.select(stem(F.col("file_path")).alias("neuron"), line_order().alias("syn_index"), fields.alias("f"))
     number = [F.try_element_at("f", F.lit(i)).try_cast("double").alias(a) for i, a in zip((3, 4, 5), "xyz")]
     typed = out.filter(F.size("f") >= 5).select("neuron", F.lit(syn_type).alias("syn_type"), "syn_index", *number)
     return typed.dropna(subset=["x", "y", "z"])
@@ -38,14 +39,11 @@ def read_obj_meshes(spark: SparkSession, path: str, key: str = "region") -> Data
     Vertex numbers count the ``v`` lines of a file, so vertices are numbered by a
     running count and joined to the faces.
     """
-    from arborspark.operators import ordering
-
     lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[oO][bB][jJ]").text(path).select(
-        "value", "_metadata.file_path", "_metadata.file_block_start"
+        *SPLIT_COLUMNS
     )
     fields = F.split(F.trim(F.regexp_replace("value", r"\s+", " ")), " ")
-    at = F.col("file_block_start") + F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
-    rows = lines.select(stem(F.col("file_path")).alias(key), at.alias("at"), fields.alias("f"))
+    rows = lines.select(stem(F.col("file_path")).alias(key), line_order().alias("at"), fields.alias("f"))
     number = lambda i: F.try_element_at("f", F.lit(i)).try_cast("double")
     v = rows.filter(F.col("f")[0] == "v").select(key, "at", *[number(i).alias(a) for i, a in zip((2, 3, 4), "xyz")])
     v = ordering.row_number(v, [key], ["at"], "n")

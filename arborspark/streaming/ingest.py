@@ -10,25 +10,17 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from arborspark.functions.text import stem
 from arborspark.sources import swc
 
 
 def ingest(spark: SparkSession, folder: str, target: str, checkpoint: str) -> StreamingQuery:
     """Parse all files that arrived since the last run and append their nodes."""
-    lines = (
-        spark.readStream.format("text").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[sS][wW][cC]").load(folder)
-        .select("value", "_metadata.file_path", "_metadata.file_block_start")
-    )
+    arriving = spark.readStream.format("text").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[sS][wW][cC]")
+    lines = arriving.load(folder).select(*swc.SPLIT_COLUMNS)
 
     def append(batch, batch_id: int) -> None:
-        inside = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
-        text = F.trim(F.regexp_replace("value", r"\s+", " "))
-        rows = batch.select(
-            stem(F.url_decode("file_path")).alias("neuron"), F.col("file_path").alias("relative_path"),
-            (F.col("file_block_start") + inside).alias("row_idx"), F.col("value").alias("raw"),
-            F.when((text == "") | text.startswith("#"), F.lit(None)).otherwise(F.split(text, " ")).alias("fields"),
-        )
+        rows = swc.split_lines(batch, F.col("file_path"))
+        # a batch replayed after a failure overwrites its own folder only
         swc.nodes(swc.parse(rows, "coerce")).write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
 
     return (
