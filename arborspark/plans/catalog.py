@@ -613,7 +613,9 @@ def mesh_agreement(spark, folder):
 @query
 def edge_diagnostics(spark, folder):
     _, _, center, back = _agreement(spark, folder)
-    return tidy(mesh.edge_diagnostics(center, back, rows=4 * inputs.forest(spark, folder).count()), 3)
+    out = mesh.edge_diagnostics(center, back, rows=4 * inputs.forest(spark, folder).count())
+    # exact decimals reach the seventh place in the means, lengths are irrational
+    return tidy(out.withColumn("length_nm", F.round("length_nm", 3)), 7)
 
 
 @query

@@ -491,12 +491,12 @@ put("edge_samples", FOREST, EDGE, _SAMPLES, select=f"""
 SELECT neuron, child_id, parent_id, k, {r('sx', 'sx')}, {r('sy', 'sy')}, {r('sz', 'sz')}, {r('radius', 'radius')}, {r('weight', 'weight')}, {r('length_nm', 'length_nm')}, soma_edge FROM smp""")
 
 
-def wquant(value: str, source: str, probs: dict[str, float], tie: str = "child_id, k") -> str:
+def wquant(value: str, source: str, probs: dict[str, float], tie: str = "child_id, k", key: str = "neuron") -> str:
     def one(p: float) -> str:
         a, b = f"max({{'c': c, 'v': v}}) FILTER (c <= {p})", f"min({{'c': c, 'v': v}}) FILTER (c > {p})"
         return f"CASE WHEN ({a}) IS NULL THEN (min({{'c': c, 'v': v}})).v WHEN ({b}) IS NULL THEN (max({{'c': c, 'v': v}})).v ELSE ({a}).v + (({b}).v - ({a}).v) * ({p} - ({a}).c) / (({b}).c - ({a}).c) END"
-    return f"""SELECT neuron, {', '.join(f'{one(p)} AS {n}' for n, p in probs.items())} FROM (
-  SELECT neuron, {value} AS v, (sum(weight) OVER (PARTITION BY neuron ORDER BY {value}, {tie}) - weight/2) / sum(weight) OVER (PARTITION BY neuron) AS c FROM {source}) w GROUP BY neuron"""
+    return f"""SELECT {key}, {', '.join(f'{one(p)} AS {n}' for n, p in probs.items())} FROM (
+  SELECT {key}, {value} AS v, (sum(weight) OVER (PARTITION BY {key} ORDER BY {value}, {tie}) - weight/2) / sum(weight) OVER (PARTITION BY {key}) AS c FROM {source}) w GROUP BY {key}"""
 
 
 _WQ = {"q50": 0.5, "q90": 0.9, "q95": 0.95}
@@ -597,3 +597,18 @@ SELECT c_custkey, CASE WHEN c_custkey % 4 IN (0, 1) THEN CAST(720575940600000000
 put("unit_scaling", FOREST, select=f"SELECT neuron, id, {r('x*4', 'x', 4)}, {r('y*4', 'y', 4)}, {r('z*40', 'z', 4)}, {r('greatest(radius*1000, 0)', 'radius', 4)} FROM forest")
 put("swc_text_lines", FOREST, select="""
 SELECT neuron, id, printf('%d %d %.3f %.3f %.3f %.3f %d', id, type, x, y, z, radius, parent) AS line FROM forest""")
+
+put("edge_diagnostics", FOREST, EDGE, _SAMPLES, _NBOX, _CENTER, _BACK, select=f"""
+SELECT neuron, child_id, parent_id, {r('length_nm', 'length_nm', 3)}, CAST(n AS INTEGER) AS n_samples, soma_edge, {r('em', 'center_shell_error_mean_nm', 7)}, {r('xm', 'center_excess_mean_nm', 7)},
+  {r('fit', 'center_fit_fraction_500nm', 7)}, {r('c90', 'center_shell_error_p90_nm', 7)}, points AS surface_points_assigned, {r('sm', 'surface_shell_error_mean_nm', 7)},
+  {r('sfit', 'surface_fit_fraction_500nm', 7)}, {r('s90', 'surface_shell_error_p90_nm', 7)}
+FROM (SELECT neuron, child_id, parent_id, any_value(length_nm) AS length_nm, count(*) AS n, bool_or(soma_edge) AS soma_edge, sum(weight*error)/sum(weight) AS em,
+    sum(weight*excess)/sum(weight) AS xm, sum(CASE WHEN error <= 500 THEN weight ELSE 0 END)/sum(weight) AS fit FROM center GROUP BY neuron, child_id, parent_id)
+JOIN ({wquant('error', 'center', {'c90': 0.9}, 'k', 'neuron, child_id')}) USING (neuron, child_id)
+LEFT JOIN (SELECT neuron, child_id, count(*) AS points, avg(error) AS sm, avg(CASE WHEN error <= 500 THEN 1 ELSE 0 END) AS sfit, quantile_cont(error, 0.9) AS s90 FROM back GROUP BY ALL) USING (neuron, child_id)""")
+put("radius_states", FOREST, """
+thick AS (SELECT neuron, id, id = CASE neuron % 7 WHEN 0 THEN 0 WHEN 5 THEN 2 ELSE 1 END AS is_soma,
+    ((CASE WHEN id <= 14 THEN CASE WHEN neuron % 7 = 4 THEN 9000 ELSE 300 END ELSE 50 END)::DOUBLE + radius) / 1000 AS r FROM forest),
+base AS (SELECT neuron, quantile_cont(r, 0.5) AS m FROM thick WHERE NOT is_soma AND neuron % 7 NOT IN (0, 5) GROUP BY neuron)""", select="""
+SELECT neuron, id, CASE WHEN is_soma THEN 'soma_seed' WHEN m IS NULL THEN 'uncertain' WHEN r/m <= 1.5 THEN 'neurite_like' WHEN r/m >= 2 THEN 'soma_like' ELSE 'uncertain' END AS radius_state
+FROM thick LEFT JOIN base USING (neuron)""")
