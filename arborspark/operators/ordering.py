@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from arborspark.session import land
+
 HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 1000
 SPLITS = 256
@@ -79,6 +81,28 @@ def running(
     )
 
 
+def prefix_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str], sums: dict[str, Column]) -> DataFrame:
+    """Inclusive running sums per key in ``order``, whatever the size of a key.
+
+    Rows are range-partitioned by key and order, so a key of any size spreads
+    over partitions; sums run inside (partition, key) and are shifted by the
+    totals of the key's earlier partitions, a table of about one row per
+    partition and key.  ``keys`` must not be null and (keys, order) should tell
+    all rows apart, else equal rows stay together.  The cut is landed, because
+    its bounds are drawn from a sample.
+    """
+    keys = list(keys)
+    cut = df.select("*", *[e.alias(f"_v_{n}") for n, e in sums.items()])
+    cut = land(cut.repartitionByRange(*keys, *order).withColumn("_part", F.spark_partition_id()), "cut")
+    cell = ["_part", *keys]
+    w = Window.partitionBy(*cell).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    inner = cut.select(*df.columns, "_part", *[F.sum(f"_v_{n}").over(w).alias(f"_s_{n}") for n in sums])
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    totals = cut.groupBy(*cell).agg(*[F.sum(f"_v_{n}").alias(f"_v_{n}") for n in sums])
+    offsets = totals.select(*cell, *[F.coalesce(F.sum(f"_v_{n}").over(before), F.lit(0)).alias(f"_o_{n}") for n in sums])
+    return inner.join(offsets, cell).select(*df.columns, *[(F.col(f"_s_{n}") + F.col(f"_o_{n}")).alias(n) for n in sums])
+
+
 def row_number(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, rows: int | None = None) -> DataFrame:
     return running(df, keys, order, {name: F.lit(1).cast("bigint")}, rows)
 
