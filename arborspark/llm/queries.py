@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arborspark.llm import bpe_codec, chat, token_counts
+from arborspark.llm import bpe_codec, chat, langid, licenses, mixing, token_counts, warc
 from arborspark.session import land
 
 TOKENIZER_FILE = "word_bpe_49k.json"
@@ -49,6 +49,26 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count("text").alias("size"))
+    return mixing.mix(docs, weights=(1, 2, 3), cap=3).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op4_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as records against a second replica in which some records were turned, cut or lost."""
+    html, kind = F.coalesce("html", F.lit("")), F.length(F.coalesce("html", F.lit(""))) % 97
+    turned = F.concat(F.substring(html, 2, 1 << 30), F.substring(html, 1, 1))
+    other = F.when(kind == 3, turned).when(kind == 4, F.concat(html, F.lit("?"))).otherwise(html)
+    pages = table(spark, sf_dir, "pages").select(
+        F.col("page_id").alias("record_id"), F.octet_length(warc.record(F.col("url"), html)).cast("long").alias("n_bytes"),
+        F.sha2(warc.record(F.col("url"), html), 256).alias("digest"), F.when(kind != 5, F.sha2(warc.record(F.col("url"), other), 256)).alias("copy"),
+    )
+    laid = land(warc.lay_out(pages), "archive")
+    primary = laid.select("record_id", "offset", "digest")
+    replica = laid.filter("copy is not null").select("record_id", "offset", F.col("copy").alias("digest"))
+    return warc.audit(primary, replica).select(F.col("record_id").alias("page_id"), "offset", "leaf", "status", "digest_a", "digest_b")
+
+
 def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path()
     coded = bpe_codec.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path).select("doc_id", "ids")
@@ -56,10 +76,26 @@ def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.scan(docs).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", F.size("spans").cast("long").alias("n_fuzzy"))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.fit(docs.filter(~langid.held_out(F.col("doc_id"))))
+    held = docs.select("doc_id", "text", langid.held_out(F.col("doc_id")).alias("held_out"))
+    return langid.identify(held, model).select("doc_id", "held_out", "lang_pred", "score")
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_chat_format": op2_chat_format,
+    "op3_mixing": op3_mixing,
+    "op4_warc_audit": op4_warc_audit,
     "op6_bpe_codec": op6_bpe_codec,
+    "op7_license_scan": op7_license_scan,
+    "op8_language_id": op8_language_id,
 }
 
 ORACLES = {
@@ -74,4 +110,14 @@ SELECT CAST(conv_id AS BIGINT) AS conv_id, count(*) AS n_turns,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
   CAST(sum(n) AS BIGINT) AS formatted_chars
 FROM esc GROUP BY conv_id""",
+    "op4_warc_audit": r"""
+WITH p AS (SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html, length(coalesce(html, '')) % 97 AS k FROM pages),
+o AS (SELECT *, CASE k WHEN 3 THEN substr(html, 2) || substr(html, 1, 1) WHEN 4 THEN html || '?' ELSE html END AS other FROM p),
+r AS (SELECT page_id, k,
+  'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Target-URI: ' || url || chr(13) || chr(10) || 'Content-Length: ' || strlen(html) || chr(13) || chr(10) || chr(13) || chr(10) || html || chr(13) || chr(10) || chr(13) || chr(10) AS a,
+  'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Target-URI: ' || url || chr(13) || chr(10) || 'Content-Length: ' || strlen(other) || chr(13) || chr(10) || chr(13) || chr(10) || other || chr(13) || chr(10) || chr(13) || chr(10) AS b FROM o),
+l AS (SELECT page_id, sha256(a) AS digest_a, CASE WHEN k <> 5 THEN sha256(b) END AS digest_b,
+  CAST(sum(strlen(a)) OVER (ORDER BY page_id, sha256(a)) - strlen(a) AS BIGINT) AS "offset" FROM r)
+SELECT page_id, "offset", "offset" // 65536 AS leaf, CASE WHEN digest_b IS NULL THEN 'missing' ELSE 'changed' END AS status, digest_a, digest_b
+FROM l WHERE digest_b IS NULL OR digest_a <> digest_b""",
 }
