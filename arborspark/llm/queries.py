@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arborspark.llm import bpe_codec, chat, langid, licenses, mixing, token_counts, warc
+from arborspark.llm import bpe_codec, chat, langid, licenses, mixing, quality, token_counts, warc
 from arborspark.session import land
 
 TOKENIZER_FILE = "word_bpe_49k.json"
@@ -88,6 +88,12 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(held, model).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    judged = quality.judge(docs, table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.array_join("failed_rules", ",").alias("failed_rules"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_chat_format": op2_chat_format,
@@ -96,6 +102,7 @@ QUERIES = {
     "op6_bpe_codec": op6_bpe_codec,
     "op7_license_scan": op7_license_scan,
     "op8_language_id": op8_language_id,
+    "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLES = {
