@@ -16,15 +16,18 @@ def measured_bytes(small: DataFrame) -> int:
     return small.agg(F.sum(size.cast("long"))).first()[0] or 0
 
 
+def within_bound(small: DataFrame) -> DataFrame:
+    """``small`` (a landed table), marked for broadcast if it is within ``BROADCAST_BYTES``."""
+    return F.broadcast(small) if measured_bytes(small) <= BROADCAST_BYTES else small
+
+
 def lookup(df: DataFrame, small: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
     """``df`` joined with ``small`` on ``on``, nulls equal; ``small`` should be a landed table.
 
     A hot key costs nothing while ``small`` is within ``BROADCAST_BYTES``;
     beyond, the adaptive join splits it.
     """
-    renamed = small.select(*[F.col(c).alias(f"_on_{c}") if c in on else F.col(c) for c in small.columns])
-    if measured_bytes(small) <= BROADCAST_BYTES:
-        renamed = F.broadcast(renamed)
+    renamed = within_bound(small.select(*[F.col(c).alias(f"_on_{c}") if c in on else F.col(c) for c in small.columns]))
     same = [df[c].eqNullSafe(renamed[f"_on_{c}"]) for c in on]
     joined = df.join(renamed, same, how)
     return joined.drop(*[f"_on_{c}" for c in on])

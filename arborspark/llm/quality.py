@@ -102,8 +102,8 @@ def cutoffs(labelled: DataFrame, stratum: str, rules: Sequence[str], grid: Seque
     return safe.groupBy(stratum, "rule").agg(F.min("cutoff").alias("cutoff"))
 
 
-def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", grid: Sequence[float] = GRID, risk: float = RISK, delta: float = DELTA, text: str = "text") -> DataFrame:
-    """``docs`` plus the counts of ``measure``, base_failed, failed_rules and kept.
+def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", grid: Sequence[float] = GRID, risk: float = RISK, delta: float = DELTA, text: str = "text", keep_text: bool = False) -> DataFrame:
+    """``docs`` (without its text unless ``keep_text``) plus the counts of ``measure``, base_failed, failed_rules and kept.
 
     ``labels`` (doc_id, quality) marks good documents with quality 1; a
     document labelled twice counts as good only if all its labels say so, other
@@ -113,7 +113,7 @@ def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", grid: Seque
     risk per stratum is at most ``risk`` per rule.  A null stratum is one of
     its own; repeated rows are judged each.
     """
-    measured = land(measure(docs, text).drop(text), "measured")
+    measured = land(measure(docs, text) if keep_text else measure(docs, text).drop(text), "measured")
     shared = shares()
     scored = measured.select("*", *[v.alias(f"_{r}") for r, v in shared.items()])
     marks = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("_q"))

@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arborspark.llm import bpe_codec, chat, langid, licenses, mixing, quality, token_counts, warc
+from arborspark.llm import bpe_codec, chat, jaccard, langid, licenses, mixing, quality, token_counts, vectors, warc
 from arborspark.session import land
 
 TOKENIZER_FILE = "word_bpe_49k.json"
@@ -69,6 +69,10 @@ def op4_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.audit(primary, replica).select(F.col("record_id").alias("page_id"), "offset", "leaf", "status", "digest_a", "digest_b")
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar(table(spark, sf_dir, "documents"), width=3, percent=90)
+
+
 def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path()
     coded = bpe_codec.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path).select("doc_id", "ids")
@@ -88,6 +92,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(held, model).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     judged = quality.judge(docs, table(spark, sf_dir, "labels"))
@@ -99,9 +107,11 @@ QUERIES = {
     "op2_chat_format": op2_chat_format,
     "op3_mixing": op3_mixing,
     "op4_warc_audit": op4_warc_audit,
+    "op5_jaccard_join": op5_jaccard_join,
     "op6_bpe_codec": op6_bpe_codec,
     "op7_license_scan": op7_license_scan,
     "op8_language_id": op8_language_id,
+    "op9_embedding_dedup": op9_embedding_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
 
@@ -117,6 +127,22 @@ SELECT CAST(conv_id AS BIGINT) AS conv_id, count(*) AS n_turns,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
   CAST(sum(n) AS BIGINT) AS formatted_chars
 FROM esc GROUP BY conv_id""",
+    "op5_jaccard_join": r"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+  ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM w),
+t AS (SELECT doc_id, len(s) AS n, unnest(s) AS tok FROM s),
+o AS (SELECT a.doc_id AS x, b.doc_id AS y, any_value(a.n) AS n, any_value(b.n) AS m, count(*) AS c FROM t a JOIN t b ON a.tok = b.tok AND a.doc_id <> b.doc_id GROUP BY ALL),
+link AS (SELECT x, y FROM o WHERE 100 * c >= 90 * (n + m - c)),
+reach(a, b) AS (SELECT doc_id, doc_id FROM s UNION SELECT r.a, l.y FROM reach r JOIN link l ON l.x = r.b)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, min(r.b) AS component_id FROM s JOIN reach r ON r.a = s.doc_id GROUP BY s.doc_id, s.s""",
+    "op9_embedding_dedup": r"""
+WITH RECURSIVE ok AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.95),
+reach(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN link l ON l.a = r.b)
+SELECT e.vec_id, (SELECT count(*) FROM link l WHERE l.a = e.vec_id) AS n_links, min(r.b) AS component_id, min(r.b) = e.vec_id AS kept
+FROM embeddings e JOIN reach r ON r.a = e.vec_id GROUP BY e.vec_id""",
     "op4_warc_audit": r"""
 WITH p AS (SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html, length(coalesce(html, '')) % 97 AS k FROM pages),
 o AS (SELECT *, CASE k WHEN 3 THEN substr(html, 2) || substr(html, 1, 1) WHEN 4 THEN html || '?' ELSE html END AS other FROM p),

@@ -3,15 +3,64 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from arborspark.llm import bpe_codec, jaccard, langid, mixing, quality
+from arborspark.llm.lookup import within_bound
+from arborspark.llm.queries import table, tokenizer_path
 from arborspark.session import land
 
-STAGES: list = []
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules and the risk-controlled cutoffs keep."""
+    judged = quality.judge(docs, table(spark, sf_dir, "labels"), keep_text=True)
+    return judged.filter("kept").select(docs.columns)
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a recognised language; a missing lang is filled in."""
+    model = langid.fit(docs.select("doc_id", "text", "lang"))
+    told = langid.identify(docs, model).filter(F.col("lang_pred") != langid.UNKNOWN)
+    return told.withColumn("lang", F.coalesce("lang", "lang_pred")).select(docs.columns)
+
+
+def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every group of near-duplicates: five words, similarity 0.8 or more.
+
+    The smallest doc_id of a group stays, once; documents without doc_id stay.
+    """
+    found = land(jaccard.similar(docs, width=5, percent=80), "classes")
+    doubles = land(found.filter("doc_id <> component_id").select("doc_id").distinct(), "doubles")
+    left = docs.join(within_bound(doubles), "doc_id", "left_anti")
+    repeated = land(found.filter("doc_id = component_id").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated")
+    if not repeated.isEmpty():
+        once = left.join(within_bound(repeated), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+        left = left.join(within_bound(repeated), "doc_id", "left_anti").unionByName(once)
+    return left.select(docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them; sources weigh 1, 2, 3 in turn."""
+    rows = land(docs.withColumn("_mix_row", F.monotonically_increasing_id()), "rows")
+    sized = rows.select(F.col("_mix_row").alias("doc_id"), "source", mixing.word_count("text").alias("size"))
+    copies = land(mixing.mix(sized, weights=(1, 2, 3), cap=3).select(F.col("doc_id").alias("_mix_row"), F.col("copies").alias("_copies")).filter("_copies > 0"), "copies")
+    taken = rows.join(within_bound(copies), "_mix_row")
+    return taken.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_copy")).drop("_copy")
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every whole text, with the digest of their decoded text."""
+    path = tokenizer_path()
+    coded = bpe_codec.decode(bpe_codec.encode(docs.select("doc_id", "lang", "source", "text"), path).drop("text"), path)
+    return coded.select("doc_id", "lang", "source", "ids", F.size("ids").cast("long").alias("n_tokens"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+STAGES = [("quality_rules", quality_rules), ("language_id", language_id), ("jaccard_join", jaccard_join), ("mix_sources", mix_sources), ("bpe_codec", encode)]
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = land(stage(spark, docs, sf_dir), name)
     return docs
