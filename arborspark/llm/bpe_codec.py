@@ -15,8 +15,11 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from arborspark.llm.bpe import END, MEMO_WORDS, WordBpe
 
@@ -142,23 +145,43 @@ class Speculator:
         ]
 
 
-def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """``docs`` plus an ``array<int>`` of token ids of the whole text.
+def _strings(rows: list[np.ndarray], table: np.ndarray) -> list[str]:
+    return [" ".join(table[row[(row >= 0) & (row < len(table))]].tolist()) for row in rows]
+
+
+def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str | None = None, keep_text: bool = True) -> DataFrame:
+    """``docs`` plus an ``array<int>`` of token ids of the whole text and, if named, the ids' decoded text.
 
     Ids are those of the library's ``encode(text, add_special_tokens=False)``;
     special strings inside texts are special tokens.  A null or empty text has
     an empty array; repeated rows are encoded each; an empty table stays empty;
-    a column named as ``ids`` is replaced.
+    columns named as ``ids`` or ``decoded`` are replaced.  Rows come back in
+    slices of about a million characters, so memory follows one slice, the
+    memo and the longest text.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(WordBpe(path))
+    book = WordBpe(path)
+    shared = docs.sparkSession.sparkContext.broadcast(book)
+    kept = [c for c in docs.columns if c not in (ids, decoded) and (keep_text or c != text)]
+    fields = [docs.schema[c] for c in kept] + [T.StructField(ids, T.ArrayType(T.IntegerType()))] + ([T.StructField(decoded, T.StringType())] if decoded else [])
+    source = docs.select(*kept, F.col(text).alias("_coded_text"))
 
-    @F.pandas_udf("array<int>")
-    def to_ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         speculator = Speculator(shared.value)
-        for texts in batches:
-            yield pd.Series(speculator.encode([t if isinstance(t, str) else None for t in texts]), dtype=object)
-
-    return docs.withColumn(ids, to_ids(F.col(text)))
+        table = np.array(shared.value.strings, dtype=object)
+        for batch in batches:
+            sizes = pc.fill_null(pc.binary_length(batch.column("_coded_text")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            slot = (np.cumsum(sizes) - sizes) >> 20
+            cuts = np.flatnonzero(np.r_[True, slot[1:] != slot[:-1], True]) if len(slot) else []
+            for lo, hi in zip(cuts, cuts[1:]):
+                part = batch.slice(int(lo), int(hi - lo))
+                rows = speculator.encode(part.column("_coded_text").to_pylist())
+                ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
+                columns = [part.column(c) for c in kept] + [pa.ListArray.from_arrays(ends, np.concatenate([*rows, np.empty(0, np.int32)]).astype(np.int32))]
+                if decoded:
+                    columns.append(pa.array(_strings(rows, table), pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in fields])
+
+    return source.mapInArrow(run, T.StructType(fields))
 
 
 def decode(docs: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -167,20 +190,12 @@ def decode(docs: DataFrame, path: str, ids: str = "ids", text: str = "decoded")
     A null array gives null, an empty one an empty text; an id outside the
     vocabulary is skipped, as the library does.
     """
-    strings = np.array(WordBpe(path).strings, dtype=object)
-    shared = docs.sparkSession.sparkContext.broadcast(strings)
+    shared = docs.sparkSession.sparkContext.broadcast(np.array(WordBpe(path).strings, dtype=object))
 
     @F.pandas_udf("string")
     def to_text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        table = shared.value
         for rows in batches:
-            out = []
-            for row in rows:
-                if row is None:
-                    out.append(None)
-                    continue
-                known = np.asarray(row, dtype=np.int64)
-                out.append(" ".join(table[known[(known >= 0) & (known < len(table))]].tolist()))
-            yield pd.Series(out, dtype=object)
+            held = rows.map(lambda r: np.empty(0, np.int64) if r is None else np.asarray(r, dtype=np.int64))
+            yield pd.Series(_strings(held.tolist(), shared.value), dtype=object).where(rows.notna().to_numpy(), None)
 
     return docs.withColumn(text, to_text(F.col(ids)))

@@ -74,9 +74,8 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = tokenizer_path()
-    coded = bpe_codec.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path).select("doc_id", "ids")
-    back = bpe_codec.decode(coded, path)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    back = bpe_codec.encode(docs, tokenizer_path(), decoded="decoded", keep_text=False)
     return back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -50,8 +50,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every whole text, with the digest of their decoded text."""
-    path = tokenizer_path()
-    coded = bpe_codec.decode(bpe_codec.encode(docs.select("doc_id", "lang", "source", "text"), path).drop("text"), path)
+    coded = bpe_codec.encode(docs.select("doc_id", "lang", "source", "text"), tokenizer_path(), decoded="decoded", keep_text=False)
     return coded.select("doc_id", "lang", "source", "ids", F.size("ids").cast("long").alias("n_tokens"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

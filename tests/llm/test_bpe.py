@@ -38,6 +38,11 @@ def test_ids_and_round_trip_equal_the_library(spark, library):
         want = library.encode(text or "", add_special_tokens=False).ids
         assert row.ids == want
         assert row.decoded == library.decode(want, skip_special_tokens=False)
+    fused = encode(docs, PATH, decoded="decoded", keep_text=False).orderBy("doc_id").collect()
+    assert [(r.ids, r.decoded) for r in fused] == [(r.ids, r.decoded) for r in rows] and "text" not in fused[0]
+    odd = spark.createDataFrame([(None,), ([],), ([5, 10**7, -1],)], "ids array<int>")
+    assert [r.decoded for r in decode(odd, PATH).collect()] == [None, "", library.decode([5], skip_special_tokens=False)]
+    assert encode(docs.limit(0), PATH).count() == 0
 
 
 def test_counts_equal_the_library(spark, library):
