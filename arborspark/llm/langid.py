@@ -14,14 +14,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from arborspark.llm.words import slices
 from arborspark.session import land
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 #: Beyond so many words, a worker's memo of word scores is emptied.
-MEMO_WORDS = 1 << 19
+MEMO_WORDS = 1 << 18
 UNKNOWN = "und"
 
 
@@ -185,14 +188,19 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("struct<lang_pred:string,score:double>")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        own = shared.value
-        for texts in batches:
-            yield pd.DataFrame(own.predict(texts.tolist()), columns=["lang_pred", "score"])
-
     others = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    return docs.select(*[F.col(c) for c in others], run(F.col(text)).alias("_p")).select(*others, "_p.*")
+    schema = T.StructType([docs.schema[c] for c in others] + [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        for batch in batches:
+            for start, texts in slices(batch.column(text)):
+                told = own.predict([b.decode("utf-8", "replace") for b in texts])
+                part = batch.slice(start, len(texts))
+                yield pa.RecordBatch.from_arrays([*map(part.column, others), pa.array([x for x, _ in told], pa.string()), pa.array([p for _, p in told], pa.float64())], names=schema.names)
+        own._forget()
+
+    return docs.select(others).mapInArrow(run, schema)
 
 
 def held_out(doc_id: Column) -> Column:

@@ -10,6 +10,8 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 SLICE_BYTES = 1 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -38,18 +40,15 @@ def _tables(size: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers, _inverses
 
 
-def slices(texts: Sequence[str | None]) -> Iterator[tuple[int, list[bytes]]]:
-    """Runs of consecutive texts as bytes, a null as empty: (first position, texts)."""
-    start, held, size = 0, [], 0
-    for i, t in enumerate(texts):
-        b = t.encode("utf-8", "surrogatepass") if isinstance(t, str) else b""
-        if held and size + len(b) > SLICE_BYTES:
-            yield start, held
-            start, held, size = i, [], 0
-        held.append(b)
-        size += len(b) + 1
-    if held:
-        yield start, held
+def slices(texts: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
+    """Runs of consecutive texts of an Arrow column as bytes, a null as empty: (first position, texts)."""
+    if not len(texts):
+        return
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    place = (np.cumsum(sizes + 1) - sizes - 1) // SLICE_BYTES
+    cuts = np.flatnonzero(np.r_[True, place[1:] != place[:-1], True])
+    for lo, hi in zip(cuts, cuts[1:]):
+        yield int(lo), [b or b"" for b in texts.slice(int(lo), int(hi - lo)).cast(pa.binary()).to_pylist()]
 
 
 def word_hashes(texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
