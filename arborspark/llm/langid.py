@@ -167,7 +167,7 @@ def fit(docs: DataFrame, max_docs: int = 2000, longest: int = 5, least_words: in
     each = [F.sum(F.when(F.col("lang") == x, F.col("n")).otherwise(0)).alias(f"c{i}") for i, x in enumerate(languages)]
     wide = land(spread.groupBy("size", "item").agg(*each, F.sum("n").alias("all")), "counts")
     sums = {r.size: r for r in wide.groupBy("size").agg(*[F.sum(f"c{i}").alias(f"c{i}") for i in range(len(languages))]).collect()}
-    kept = wide.filter(F.col("all") >= F.when(F.col("size") == 0, least_words).otherwise(least_grams)).drop("all").toPandas().sort_values("item")
+    kept = wide.filter(F.col("all") >= F.when(F.col("size") == 0, least_words).otherwise(least_grams)).drop("all").toArrow().to_pandas().sort_values("item")
     columns = [f"c{i}" for i in range(len(languages))]
     tables = []
     for n in range(longest + 1):

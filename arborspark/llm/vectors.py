@@ -106,7 +106,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, sample_rows: in
     for width, count in sizes:
         own = same.filter(F.col("width") == width)
         last = own.select(F.xxhash64("id").alias("h")).orderBy("h").limit(sample_rows).agg(F.max("h")).first()[0]
-        drawn = own.filter(F.xxhash64("id") <= last).select("v").limit(2 * sample_rows).toPandas()["v"]
+        drawn = own.filter(F.xxhash64("id") <= last).select("v").limit(2 * sample_rows).toArrow().to_pandas()["v"]
         mean, matrix = train(_units(drawn, width)[0], rotations)
         length = bits or min(30, max(8, math.ceil(math.log2(count + 1))))
         length = min(length, matrix.shape[1])
