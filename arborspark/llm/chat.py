@@ -47,12 +47,11 @@ def jumps(messages: DataFrame) -> tuple[list[DataFrame], DataFrame]:
         if up.filter("anc is not null").isEmpty() or 2 ** len(levels) > 2 * total:  # beyond every depth only cycles are left
             break
         far = up.select("tree", F.col("node").alias("anc"), F.col("anc").alias("_anc"), F.col("depth").alias("_depth"), F.col("total").alias("_total"))
-        up = land(
-            up.join(far, ["tree", "anc"], "left").select(
-                "tree", "node", F.col("_anc").alias("anc"), (F.col("depth") + F.coalesce("_depth", F.lit(0))).alias("depth"), (F.col("total") + F.coalesce("_total", F.lit(0.0))).alias("total")
-            ),
-            "up",
+        # messages that have met their root are carried on, not joined again
+        still = up.filter("anc is not null").join(far, ["tree", "anc"], "left").select(
+            "tree", "node", F.col("_anc").alias("anc"), (F.col("depth") + F.coalesce("_depth", F.lit(0))).alias("depth"), (F.col("total") + F.coalesce("_total", F.lit(0.0))).alias("total")
         )
+        up = land(still.union(up.filter("anc is null").select("tree", "node", "anc", "depth", "total")), "up")
     return levels[:-1], up.filter("anc is null").select("tree", "node", "depth", "total")
 
 
