@@ -31,16 +31,16 @@ def _signed_rank_counts(n: int) -> list[int]:
     return ways
 
 
-def signed_rank_p(n: int, w_plus: float, w_minus: float, tie_term: float) -> float:
-    """Two-sided Wilcoxon signed-rank p-value; zeros already dropped.
+def signed_rank_p(n: int, w_plus: float, w_minus: float, tie_term: float, zeros: int = 0) -> float:
+    """Two-sided Wilcoxon signed-rank p-value; ``zeros`` differences were dropped.
 
-    Exact for at most 50 untied differences, otherwise the normal approximation
-    with tie correction.
+    Exact for at most 50 untied differences none of which was zero, otherwise
+    the normal approximation with tie correction.
     """
     if n == 0:
         return 1.0
     low = min(w_plus, w_minus)
-    if n <= EXACT_SIGNED_RANK_N and tie_term == 0:
+    if n <= EXACT_SIGNED_RANK_N and tie_term == 0 and zeros == 0:
         ways = _signed_rank_counts(n)
         return min(1.0, 2.0 * sum(ways[: int(low) + 1]) / 2.0**n)
     mean = n * (n + 1) / 4.0
@@ -48,32 +48,26 @@ def signed_rank_p(n: int, w_plus: float, w_minus: float, tie_term: float) -> flo
     return normal_two_sided((low - mean) / math.sqrt(var)) if var > 0 else 1.0
 
 
-def _rank_sum_counts(n1: int, n2: int) -> list[int]:
-    """Number of arrangements per U value."""
-    table = {(0, j): [1] for j in range(n2 + 1)}
-    for i in range(1, n1 + 1):
-        for j in range(n2 + 1):
-            size = i * j + 1
-            a = table[(i - 1, j)]
-            b = table[(i, j - 1)] if j else []
-            row = [0] * size
-            for u, w in enumerate(a):
-                row[u + j] += w
-            for u, w in enumerate(b):
-                row[u] += w
-            table[(i, j)] = row
-    return table[(n1, n2)]
+def _rank_sum_tail(few: int, many: int, most: int) -> int:
+    """Arrangements whose U is at most ``most``: leading terms of a Gaussian binomial."""
+    ways = [1] + [0] * most
+    for i in range(1, few + 1):
+        for u in range(most, many + i - 1, -1):
+            ways[u] -= ways[u - many - i]
+        for u in range(i, most + 1):
+            ways[u] += ways[u - i]
+    return sum(ways)
 
 
 def rank_sum_p(n1: int, n2: int, u: float, tie_term: float) -> float:
-    """Two-sided Mann-Whitney p-value; exact for small untied samples, otherwise
-    normal with tie and continuity correction."""
+    """Two-sided Mann-Whitney p-value; exact if untied and the smaller sample is
+    small, otherwise normal with tie and continuity correction."""
     if n1 == 0 or n2 == 0:
         return float("nan")
     high = max(u, n1 * n2 - u)
-    if tie_term == 0 and min(n1, n2) <= EXACT_RANK_SUM_N and max(n1, n2) <= 200:
-        ways = _rank_sum_counts(n1, n2)
-        return min(1.0, 2.0 * sum(ways[int(high):]) / sum(ways))
+    if tie_term == 0 and min(n1, n2) <= EXACT_RANK_SUM_N:
+        tail = _rank_sum_tail(min(n1, n2), max(n1, n2), n1 * n2 - int(high))
+        return min(1.0, 2 * tail / math.comb(n1 + n2, n1))
     n = n1 + n2
     var = n1 * n2 / 12.0 * ((n + 1) - tie_term / (n * (n - 1)))
     if var <= 0:
@@ -82,17 +76,43 @@ def rank_sum_p(n1: int, n2: int, u: float, tie_term: float) -> float:
     return min(1.0, max(0.0, math.erfc(z / math.sqrt(2.0))))
 
 
+def _beta_fraction(a: float, b: float, x: float) -> float:
+    """Continued fraction 1 + d1 / (1 + d2 / (1 + ...)) of the incomplete beta function, from the front."""
+    value, c, d = 1.0, 1.0, 0.0
+    for step in range(1, 100_000):
+        m, odd = divmod(step, 2)
+        if odd:
+            term = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
+        else:
+            term = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
+        d = 1.0 / (1.0 + term * d)
+        c = 1.0 + term / c
+        value *= c * d
+        if abs(c * d - 1.0) < 1e-15:
+            break
+    return value
+
+
+def incomplete_beta(a: float, b: float, x: float) -> float:
+    """Regularised incomplete beta function."""
+    if x <= 0 or x >= 1:
+        return float(x >= 1)
+    if x > (a + 1) / (a + b + 2):
+        return 1.0 - incomplete_beta(b, a, 1.0 - x)
+    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x))
+    return front / _beta_fraction(a, b, x) / a
+
+
 def correlation_p(n: int, rho: float) -> float:
-    """Two-sided p-value of a correlation, large-sample normal form of the t test."""
+    """Two-sided p-value of a correlation by the t distribution with n - 2 degrees of freedom."""
     if n < 3 or abs(rho) >= 1:
         return 0.0 if abs(rho) >= 1 else float("nan")
-    t = rho * math.sqrt((n - 2) / (1 - rho * rho))
-    return normal_two_sided(t * (1 - 1 / (4 * max(n - 2, 1))) / math.sqrt(1 + t * t / (2 * max(n - 2, 1))))
+    return incomplete_beta((n - 2) / 2, 0.5, 1 - rho * rho)
 
 
 @F.pandas_udf(T.DoubleType())
-def signed_rank_p_col(n: pd.Series, w_plus: pd.Series, w_minus: pd.Series, tie_term: pd.Series) -> pd.Series:
-    return pd.Series([signed_rank_p(int(a), b, c, d) for a, b, c, d in zip(n, w_plus, w_minus, tie_term)], dtype=float)
+def signed_rank_p_col(n: pd.Series, w_plus: pd.Series, w_minus: pd.Series, tie_term: pd.Series, zeros: pd.Series) -> pd.Series:
+    return pd.Series([signed_rank_p(int(a), b, c, d, int(e)) for a, b, c, d, e in zip(n, w_plus, w_minus, tie_term, zeros)], dtype=float)
 
 
 @F.pandas_udf(T.DoubleType())

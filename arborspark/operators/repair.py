@@ -79,9 +79,18 @@ def soma_scan(nodes: DataFrame) -> DataFrame:
     )
 
 
+def last_listed(listed: DataFrame, key: str) -> DataFrame:
+    """One row per ``key``: the last by ``row_idx``, or the greatest where the list has no order."""
+    others = F.struct(*[c for c in listed.columns if c not in (key, "row_idx")])
+    last = F.max_by(others, "row_idx") if "row_idx" in listed.columns else F.max(others)
+    return listed.groupBy(key).agg(last.alias("_last")).select(key, "_last.*")
+
+
 def trusted_somas(metadata: DataFrame) -> DataFrame:
-    """Listed soma positions in micrometres, rows with a missing value dropped."""
-    return metadata.dropna(subset=["root_id", "soma_x", "soma_y", "soma_z"]).select(
+    """Listed soma positions in micrometres, rows with a missing value dropped; of several rows the last counts."""
+    place = ["root_id", "soma_x", "soma_y", "soma_z"]
+    whole = metadata.dropna(subset=place).select(*place, *[c for c in ("row_idx",) if c in metadata.columns])
+    return last_listed(whole, "root_id").select(
         F.col("root_id").alias("neuron"),
         *[(F.col(f"soma_{a}") / F.lit(d)).alias(f"meta_{a}_um") for a, d in zip("xyz", META_SOMA_DIVISOR)],
     )

@@ -59,7 +59,7 @@ def signed_rank(pairs: DataFrame, first: str, second: str, rows: int | None = No
     return n_pairs.crossJoin(F.broadcast(agg)).select(  # one row each
         "n_pairs", "n", "w_plus", "w_minus", F.least("w_plus", "w_minus").alias("w"),
         F.when(total > 0, (F.col("w_plus") - F.col("w_minus")) / total).otherwise(0.0).alias("rank_biserial"),
-        stats.signed_rank_p_col("n", "w_plus", "w_minus", "tie_term").alias("p_value"),
+        stats.signed_rank_p_col("n", "w_plus", "w_minus", "tie_term", F.col("n_pairs") - F.col("n")).alias("p_value"),
     )
 
 

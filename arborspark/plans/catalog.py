@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arborspark.operators import (
@@ -695,9 +695,7 @@ def shape_rerank(spark, folder):
     fixed = tops.withColumn("parent", F.when(F.col("_p"), F.col("parent")).otherwise(F.lit(-1))).select(*raw.columns)
     qd, cd = (inputs.land(retrieval.dotprops(retrieval.resampled(n)), "dotprops") for n in (fixed, raw))
     pairs = inputs.land(_pairs(spark, folder), "pairs")
-    w = Window.partitionBy("query").orderBy(F.desc("is_same_name_original"), F.desc("minhash_jaccard"), "candidate")
-    few = pairs.withColumn("_n", F.row_number().over(w)).filter("_n <= 4").drop("_n")
-    ranks = retrieval.ranked(retrieval.shape_scores(few, qd, cd))
+    ranks = retrieval.ranked(retrieval.shape_scores(pairs, qd, cd))
     return tidy(retrieval.search_summary(ranks))
 
 

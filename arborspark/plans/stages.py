@@ -27,7 +27,8 @@ def release(raw: DataFrame, metadata: DataFrame, synapses: DataFrame, review: Da
     """All repairs, synapse assignment and final types.
 
     ``review`` (neuron, target_group) carries manual decisions and overrides the
-    automatic category.  ``strict_text`` rounds coordinates to three decimals
+    automatic category; of several decisions on a neuron the last by ``row_idx``
+    counts, without that column the greatest.  ``strict_text`` rounds coordinates to three decimals
     between the stages that would have gone through a text file.
     """
     text = rounded if strict_text else (lambda t: t)
@@ -38,7 +39,8 @@ def release(raw: DataFrame, metadata: DataFrame, synapses: DataFrame, review: Da
     repaired = land(text(repaired), "repaired")
     logs["long_children"] = qc.long_child_screen(repaired)
     if review is not None:
-        repaired = repaired.join(review, "neuron", "left").withColumn("category", F.coalesce("target_group", "category")).drop("target_group")
+        decided = repair.last_listed(review.select("neuron", "target_group", *[c for c in ("row_idx",) if c in review.columns]), "neuron")
+        repaired = repaired.join(decided, "neuron", "left").withColumn("category", F.coalesce("target_group", "category")).drop("target_group")
         repaired = land(repaired, "reviewed")
     groups = repaired.select("neuron", "category").distinct()
     unipolar = repaired.filter("category = 'unipolar'").select(*columns)

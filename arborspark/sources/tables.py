@@ -13,23 +13,24 @@ from arborspark.sources.swc import SPLIT_COLUMNS, line_order
 
 
 def read_soma_metadata(spark: SparkSession, path: str) -> DataFrame:
-    """Tab-separated soma list; ids stay text so that no digit is lost."""
-    raw = spark.read.option("header", "true").option("sep", "\t").csv(path)
+    """Tab-separated soma list; ids stay text so that no digit is lost.  ``row_idx`` keeps the order of the list."""
+    raw = spark.read.option("header", "true").option("sep", "\t").csv(path).select("*", "_metadata.file_block_start")
     number = [F.col(f"soma_{a}").try_cast("double").alias(f"soma_{a}") for a in "xyz"]
     keep = ["nucleus_id"] if "nucleus_id" in raw.columns else []
-    return raw.select(F.regexp_replace("root_id", r"\.0+$", "").alias("root_id"), *keep, *number)
+    return raw.select(F.regexp_replace("root_id", r"\.0+$", "").alias("root_id"), *keep, *number, line_order().alias("row_idx"))
 
 
 def read_synapses(spark: SparkSession, path: str, syn_type: str) -> DataFrame:
-    """Synapse text files (five or more columns, 3-5 are x y z in nm); the file stem
-    is the neuron.  Files with unreadable rows contribute their readable ones."""
+    """Synapse text files (five or more columns, 3-5 are x y z in nm); the decoded file stem
+    is the neuron.  Lines that begin with # are comments; files with unreadable
+    rows contribute their readable ones."""
     lines = spark.read.option("recursiveFileLookup", "true").text(path).select(
         *SPLIT_COLUMNS
     )
     fields = F.split(F.trim(F.regexp_replace("value", r"\s+", " ")), " ")
-    out = lines.select(stem(F.col("file_path")).alias("neuron"), line_order().alias("syn_index"), fields.alias("f"))
+    out = lines.select(stem(F.url_decode("file_path")).alias("neuron"), line_order().alias("syn_index"), fields.alias("f"))
     number = [F.try_element_at("f", F.lit(i)).try_cast("double").alias(a) for i, a in zip((3, 4, 5), "xyz")]
-    typed = out.filter(F.size("f") >= 5).select("neuron", F.lit(syn_type).alias("syn_type"), "syn_index", *number)
+    typed = out.filter((F.size("f") >= 5) & ~F.col("f")[0].startswith("#")).select("neuron", F.lit(syn_type).alias("syn_type"), "syn_index", *number)
     return typed.dropna(subset=["x", "y", "z"])
 
 
@@ -37,21 +38,21 @@ def read_obj_meshes(spark: SparkSession, path: str, key: str = "region") -> Data
     """Face table of OBJ files; polygons are cut into triangle fans.
 
     Vertex numbers count the ``v`` lines of a file, so vertices are numbered by a
-    running count and joined to the faces.
+    running count and joined to the faces; negative ones count back from the face.
     """
     lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[oO][bB][jJ]").text(path).select(
         *SPLIT_COLUMNS
     )
     fields = F.split(F.trim(F.regexp_replace("value", r"\s+", " ")), " ")
-    rows = lines.select(stem(F.col("file_path")).alias(key), line_order().alias("at"), fields.alias("f"))
+    rows = lines.select(stem(F.url_decode("file_path")).alias(key), line_order().alias("at"), fields.alias("f")).filter(F.col("f")[0].isin("v", "f"))
+    rows = ordering.running(rows, [key], ["at"], {"n": F.when(F.col("f")[0] == "v", 1).otherwise(0)})
     number = lambda i: F.try_element_at("f", F.lit(i)).try_cast("double")
-    v = rows.filter(F.col("f")[0] == "v").select(key, "at", *[number(i).alias(a) for i, a in zip((2, 3, 4), "xyz")])
-    v = ordering.row_number(v, [key], ["at"], "n")
+    v = rows.filter(F.col("f")[0] == "v").select(key, "n", *[number(i).alias(a) for i, a in zip((2, 3, 4), "xyz")])
     corners = F.transform(F.slice("f", 2, F.size("f")), lambda t: F.regexp_extract(t, r"^-?\d+", 0).cast("bigint"))
-    f = rows.filter(F.col("f")[0] == "f").select(key, "at", corners.alias("c"))
+    f = rows.filter(F.col("f")[0] == "f").select(key, "at", F.transform(corners, lambda c: F.when(c < 0, F.col("n") + 1 + c).otherwise(c)).alias("c"))
     fans = f.select(key, "at", F.col("c")[0].alias("u"), F.posexplode(F.slice("c", 2, F.size("c"))).alias("i", "v"), "c")
     tri = fans.filter(F.col("i") + 2 < F.size("c")).select(
-        key, (F.col("at") * 1024 + F.col("i")).alias("face_id"), "u", "v", F.col("c")[F.col("i") + 2].alias("w")
+        key, F.shiftleft("at", 20).bitwiseOR(F.col("i")).alias("face_id"), "u", "v", F.col("c")[F.col("i") + 2].alias("w")
     )
     for corner in "uvw":
         place = v.select(key, F.col("n").alias(corner), *[F.col(a).alias(f"{corner}{a}") for a in "xyz"])

@@ -1,5 +1,7 @@
 """Soma repair, relinking and soma pruning on small trees."""
 
+import itertools
+import math
 import random
 
 import numpy as np
@@ -206,6 +208,19 @@ def test_rank_tests(spark):
     # exact distributions by enumeration of tiny cases
     assert stats.rank_sum_p(2, 2, 4, 0) == pytest.approx(2 / 6)
     assert stats.signed_rank_p(3, 6, 0, 0) == pytest.approx(2 / 8)
+    assert stats.signed_rank_p(3, 6, 0, 0, zeros=1) == pytest.approx(math.erfc(3 / math.sqrt(3.5) / math.sqrt(2)))
+    # every arrangement of three among five
+    us = [sum(x) - 6 for x in itertools.combinations(range(1, 9), 3)]
+    for u in range(16):
+        assert stats.rank_sum_p(3, 5, u, 0) == pytest.approx(min(1, 2 * sum(x >= max(u, 15 - u) for x in us) / len(us)))
+    assert stats.rank_sum_p(1, 999, 0, 0) == pytest.approx(2 / 1000)
+    # t tails with closed forms: one, two and four degrees of freedom
+    for rho in (0.05, -0.3, 0.8, 0.999):
+        r = abs(rho)
+        assert stats.correlation_p(3, rho) == pytest.approx(1 - 2 / math.pi * math.asin(r), rel=1e-9)
+        assert stats.correlation_p(4, rho) == pytest.approx(1 - r, rel=1e-9)
+        assert stats.correlation_p(6, rho) == pytest.approx(1 - r * (3 - r * r) / 2, rel=1e-9)
+    assert stats.correlation_p(2_000_000, 0.001) == pytest.approx(math.erfc(1), rel=1e-4)
     pairs = spark.createDataFrame([(1.0, 2.0), (2.0, 2.0), (3.0, 1.0), (4.0, 9.0)], "x double, y double")
     w = statistics.signed_rank(pairs, "x", "y").first()
     assert (w.n_pairs, w.n, w.w_plus, w.w_minus) == (4, 3, 4.0, 2.0)

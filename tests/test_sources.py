@@ -62,7 +62,9 @@ def test_metadata_synapses_log(spark, tmp_path):
     meta = tables.read_soma_metadata(spark, str(tmp_path / "m.tsv"))
     got = repair.trusted_somas(meta).collect()
     assert [tuple(r) for r in got] == [("720575940600000001", 1.0, 2.0, 1.0)]
-    write(tmp_path / "syn" / "5.txt", "a b 1 2 3\n1 2 3\n0 0 4 5 6 9\n")
+    twice = spark.createDataFrame([("7", 250.0, 0.0, 0.0, 2), ("7", 500.0, 0.0, 0.0, 9), ("7", 750.0, 0.0, 0.0, 4)], "root_id string, soma_x double, soma_y double, soma_z double, row_idx long")
+    assert [r.meta_x_um for r in repair.trusted_somas(twice).collect()] == [2.0]
+    write(tmp_path / "syn" / "5.txt", "#1 2 100 200 300\na b 1 2 3\n1 2 3\n0 0 4 5 6 9\n")
     syn = tables.read_synapses(spark, str(tmp_path / "syn"), "pre").orderBy("syn_index").collect()
     assert [(r.neuron, r.x, r.z) for r in syn] == [("5", 1.0, 3.0), ("5", 4.0, 6.0)]
     log = spark.createDataFrame([("a.swc", None), ("b.swc", "boom")], "relative_path string, error string")
@@ -94,6 +96,13 @@ def test_obj_mesh_containment(spark, tmp_path):
     assert got == {1: "CUBE|TETRA", 2: "TETRA", 3: "CUBE|TETRA", 4: "OUTSIDE", 5: "TETRA"}
 
 
+def test_obj_relative_corners(spark, tmp_path):
+    """Negative vertex numbers count back from their face, also between later vertices."""
+    write(tmp_path / "mesh" / "A b.obj", "v 0 0 0\nv 1 0 0\nv 0 1 0\nf -3 -2 -1\nv 0 0 7\nf -1 1 2 -2\n")
+    got = tables.read_obj_meshes(spark, str(tmp_path / "mesh")).orderBy("face_id")
+    assert [(r.region, r.ux, r.uz, r.vx, r.vy, r.wx, r.wy) for r in got.collect()] == [("A b", 0, 0, 1, 0, 0, 1), ("A b", 0, 7, 0, 0, 1, 0), ("A b", 0, 7, 1, 0, 0, 1)]
+
+
 def test_stream_ingest(spark, tmp_path):
     write(tmp_path / "in" / "11.swc", BODY)
     run = lambda: ingest(spark, str(tmp_path / "in"), str(tmp_path / "nodes"), str(tmp_path / "cp")).awaitTermination()
