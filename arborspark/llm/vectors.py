@@ -2,7 +2,9 @@
 
 Rotations are learnt on a bounded sample so that the signs of a rotated vector
 are balanced bits that keep angles.  The bits are cut into tables of ``bits``
-bits each; vectors that agree in any table meet.  Buckets of any size are cut
+bits each; vectors that agree in any table meet.  Longer keys agree less often,
+so the number of tables follows from the bits: rotations are added until pairs
+planted at the threshold meet as often as stated.  Buckets of any size are cut
 into blocks and block pairs, so no task sees more than two blocks, and every
 pair is judged in the first table where it meets by the cosine of the original
 vectors in double precision.
@@ -23,6 +25,8 @@ from arborspark.session import land
 
 BLOCK = 256
 PAIRS = 1 << 16
+#: Keys are shortened rather than cut into more tables than this.
+MAX_TABLES = 256
 
 
 def train(sample: np.ndarray, rotations: int, rounds: int = 30, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
@@ -46,9 +50,59 @@ def train(sample: np.ndarray, rotations: int, rounds: int = 30, seed: int = 7) -
     return mean, np.hstack(found)
 
 
-def table_keys(unit: np.ndarray, mean: np.ndarray, matrix: np.ndarray, bits: int) -> np.ndarray:
-    """Key of every row in every table: consecutive groups of ``bits`` sign bits."""
-    signs = (unit - mean) @ matrix >= 0
+def tables_needed(cosine: float, bits: int, recall: float) -> float:
+    """Tables of ``bits`` random signs in one of which a pair at ``cosine`` agrees with probability ``recall``."""
+    agree = (1 - math.acos(min(1.0, max(-1.0, cosine))) / math.pi) ** bits
+    return 1 if agree >= recall else math.ceil(math.log1p(-recall) / math.log1p(-agree)) if agree > 1e-9 else math.inf
+
+
+def planted(unit: np.ndarray, cosine: float, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
+    """(rows, partners at ``cosine``): each row once with a random direction, once towards another row."""
+    draw, c = np.random.default_rng(seed), min(1.0, max(-1.0, cosine))
+    rows = np.vstack([unit, unit])
+    turn = np.vstack([draw.normal(size=unit.shape), unit[draw.permutation(len(unit))]])
+    turn = turn - (turn * rows).sum(axis=1)[:, None] * rows
+    size = np.linalg.norm(turn, axis=1)[:, None]
+    return rows, np.where(size > 1e-6, c * rows + math.sqrt(1 - c * c) * turn / np.maximum(size, 1e-6), rows)
+
+
+def learn(sample: np.ndarray, cosine: float, bits: int, recall: float, rotations: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """(offset, matrix, bits): ``rotations`` or more, until both kinds of planted pairs meet with ``recall``.
+
+    The pairs are planted on every fourth row of the sample, which the rotations
+    do not see: rows that were learnt from agree more often.  Where learnt bits still miss pairs at twice the columns that random signs
+    need (data close to its mean, few dimensions), random signs about the origin
+    follow: they agree by the angle alone, whatever the data.
+    """
+    while bits and tables_needed(cosine, bits, recall) > MAX_TABLES:
+        bits -= 1
+    width = sample.shape[1]
+    if not bits:
+        return np.zeros(0), np.zeros((width, 0)), 0
+    apart = np.arange(len(sample)) % 4 == 3 if len(sample) > 3 else np.ones(len(sample), bool)
+    a, b = planted(sample[apart], cosine)
+    sample = sample[~apart] if len(sample) > 3 else sample
+    need, met, kinds = int(tables_needed(cosine, bits, recall)) * bits, np.zeros(len(a), bool), len(a) // 2
+    mean, matrix = train(sample, rotations)
+    seen = 0
+    while True:
+        upto = matrix.shape[1] // bits * bits
+        fresh = matrix[:, seen:upto]
+        met |= (table_keys(a, mean @ fresh, fresh, bits) == table_keys(b, mean @ fresh, fresh, bits)).any(axis=1)
+        seen = upto
+        if seen and min(met[:kinds].mean(), met[kinds:].mean()) >= recall:
+            return mean @ matrix, matrix, bits
+        if seen >= 2 * need:
+            free = np.random.default_rng(13).normal(size=(width, need))
+            return np.r_[mean @ matrix[:, :seen], np.zeros(need)], np.hstack([matrix[:, :seen], free]), bits
+        matrix = np.hstack([matrix, train(sample, max(1, bits // width), seed=7 + matrix.shape[1])[1]])
+
+
+def table_keys(unit: np.ndarray, offset: np.ndarray, matrix: np.ndarray, bits: int) -> np.ndarray:
+    """Key of every row in every table: consecutive groups of ``bits`` sign bits; without bits all rows share one."""
+    if not bits:
+        return np.zeros((len(unit), 1), dtype=np.int64)
+    signs = unit @ matrix >= offset
     tables = signs.shape[1] // bits
     grouped = signs[:, : tables * bits].reshape(len(unit), tables, bits)
     return grouped @ (1 << np.arange(bits, dtype=np.int64))
@@ -76,14 +130,14 @@ def _usable(vec: str):
 def _key_udf(shared):
     @F.pandas_udf("array<int>")
     def keys(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        mean, matrix, length, width = shared.value
+        offset, matrix, length, width = shared.value
         for rows in batches:
-            yield pd.Series(list(table_keys(_units(rows, width)[0], mean, matrix, length).astype(np.int32)))
+            yield pd.Series(list(table_keys(_units(rows, width)[0], offset, matrix, length).astype(np.int32)))
 
     return keys
 
 
-def near_duplicates(vectors: DataFrame, threshold: float = 0.95, sample_rows: int = 4096, rotations: int = 4, bits: int | None = None, vec_id: str = "vec_id", vec: str = "embedding") -> DataFrame:
+def near_duplicates(vectors: DataFrame, threshold: float = 0.95, sample_rows: int = 4096, rotations: int = 4, bits: int | None = None, vec_id: str = "vec_id", vec: str = "embedding", recall: float = 0.95) -> DataFrame:
     """(vec_id, n_links, component_id, kept), one row per input row.
 
     Links are pairs of vectors of equal length with cosine >= ``threshold``
@@ -93,7 +147,10 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, sample_rows: in
     but each repeated row counts as another vector in n_links.  Other columns
     are not read.  ``sample_rows`` bounds what the rotations are learnt from;
     every vector is indexed.  ``bits`` defaults to the logarithm of the number
-    of vectors (8 to 30), so buckets stay small as the table grows.
+    of vectors (8 to 30), so buckets stay small as the table grows.  A pair at
+    ``threshold`` shares a table with probability ``recall`` at every number of
+    vectors, a closer one with more: ``rotations`` is the least number and rises
+    with the bits, and keys get shorter where more than MAX_TABLES were needed.
     """
     spark = vectors.sparkSession
     base = vectors.select(F.col(vec_id).alias("vec_id"), F.col(vec).cast("array<double>").alias("v"))
@@ -107,10 +164,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, sample_rows: in
         own = same.filter(F.col("width") == width)
         last = own.select(F.xxhash64("id").alias("h")).orderBy("h").limit(sample_rows).agg(F.max("h")).first()[0]
         drawn = own.filter(F.xxhash64("id") <= last).select("v").limit(2 * sample_rows).toArrow().to_pandas()["v"]
-        mean, matrix = train(_units(drawn, width)[0], rotations)
-        length = bits or min(30, max(8, math.ceil(math.log2(count + 1))))
-        length = min(length, matrix.shape[1])
-        keys = _key_udf(spark.sparkContext.broadcast((mean, matrix, length, width)))
+        length = min(30, bits or max(8, math.ceil(math.log2(count + 1))))
+        offset, matrix, length = learn(_units(drawn, width)[0], threshold, length, recall, rotations)
+        keys = _key_udf(spark.sparkContext.broadcast((offset, matrix, length, width)))
         parts.append(own.select("row", "times", "width", "v", keys("v").alias("k")))
     links = None
     if parts:

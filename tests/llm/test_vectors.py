@@ -62,3 +62,38 @@ def test_components_of_chains(spark):
     edges = [(i, i + 1) for i in range(200)] + [(1000, 1001), (1001, 1001), (None, 3), (2000, 1500), (1500, 2000)]
     got = {r.id: r.component for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(201)}, 1000: 1000, 1001: 1000, 1500: 1500, 2000: 1500}
+
+
+def pairs_at(r, n, width, low, high):
+    a = r.normal(size=(n, width))
+    a /= np.linalg.norm(a, axis=1)[:, None]
+    b = r.normal(size=a.shape)
+    b -= (a * b).sum(axis=1)[:, None] * a
+    b /= np.linalg.norm(b, axis=1)[:, None]
+    c = r.uniform(low, high, size=n)[:, None]
+    return a, c * a + np.sqrt(1 - c * c) * b
+
+
+@pytest.mark.parametrize("bits", [20, 27])
+def test_recall_just_above_the_threshold_at_the_bits_of_large_tables(spark, bits):
+    a, b = pairs_at(np.random.default_rng(bits), 1000, 64, 0.9501, 0.96)
+    rows = [(i, v.tolist()) for i, v in enumerate(np.vstack([a, b]))]
+    found = vectors.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), bits=bits)
+    assert 0.93 * len(a) <= found.filter("n_links > 0").count() / 2 <= len(a)
+
+
+@pytest.mark.parametrize("width, shift, cosine, bits", [(64, 3.0, 0.95, 24), (2, 0.0, 0.95, 14), (16, 0.0, 0.8, 30), (64, 0.0, 0.95, 30)])
+def test_learnt_tables_keep_the_stated_recall(width, shift, cosine, bits):
+    r = np.random.default_rng(2)
+    sample = r.normal(size=(1000, width)) + shift
+    sample /= np.linalg.norm(sample, axis=1)[:, None]
+    offset, matrix, length = vectors.learn(sample, cosine, bits, 0.95, 4)
+    other = r.normal(size=(2000, width)) + shift
+    other /= np.linalg.norm(other, axis=1)[:, None]
+    a, b = vectors.planted(other, cosine, seed=3)
+    met = (vectors.table_keys(a, offset, matrix, length) == vectors.table_keys(b, offset, matrix, length)).any(axis=1)
+    assert met.mean() >= 0.93 and matrix.shape[1] // length <= 3 * vectors.MAX_TABLES + 1
+
+
+def test_a_threshold_that_no_key_can_serve_compares_all():
+    assert vectors.tables_needed(1.0, 30, 0.95) == 1 and vectors.learn(np.eye(4), -1.0, 20, 0.95, 4)[2] == 0
