@@ -4,12 +4,15 @@ A notice of which at most k edits are allowed is split into k + 1 pieces; by
 the pigeonhole principle one of them stands unchanged in every match.  One
 automaton finds the pieces of all notices, and only around those seeds the
 regex library's bounded-error matching verifies the notice and gives its span.
+Each seed has its own window, so a match hides no worse one beside it.
 Text is matched as its words joined by one space, so punctuation and line
 breaks between words cost no edits.
 """
 
 from __future__ import annotations
 
+import bisect
+import heapq
 import re
 from collections.abc import Iterator, Sequence
 from functools import cached_property
@@ -72,23 +75,46 @@ class Scanner:
 
     def fuzzy(self, joined: str) -> list[tuple[int, int, int, int]]:
         """(notice, start, end, edits) of verified matches in joined words; those of one notice never overlap."""
-        windows: dict[int, list[list[int]]] = {}
+        windows: dict[int, set[tuple[int, int]]] = {}
         for end, (size, where) in self.seeds.iter(joined):
             for i, offset in where:
                 notice, k = self.notices[i][0], self.edits(self.notices[i][0])
                 lo, hi = max(0, end + 1 - size - offset - k), end + 1 - size - offset + len(notice) + k
-                seen = windows.setdefault(i, [])
-                if seen and lo <= seen[-1][1]:
-                    seen[-1][0], seen[-1][1] = min(lo, seen[-1][0]), max(hi, seen[-1][1])
-                else:
-                    seen.append([lo, hi])
-        out = []
-        for i, spans in windows.items():
-            for lo, hi in spans:
-                for m in self.patterns[i].finditer(joined, lo, min(hi, len(joined))):
-                    out.append((i, m.start(), m.end(), sum(m.fuzzy_counts)))
+                windows.setdefault(i, set()).add((lo, min(hi, len(joined))))
+        out = [(i, *m) for i, spans in windows.items() for m in self._apart(joined, i, spans)]
         return sorted(out, key=lambda m: (m[1], m[0]))
 
+    def _apart(self, joined: str, i: int, windows: set[tuple[int, int]]) -> list[tuple[int, int, int]]:
+        """(start, end, edits) of one notice: fewest edits first, and what a match leaves of a window is searched again."""
+        notice, k = self.notices[i][0], self.edits(self.notices[i][0])
+        queue: list[tuple[int, int, int, int, int]] = []
+
+        def search(lo: int, hi: int) -> None:
+            if hi - lo < len(notice) - k:
+                return
+            at = joined.find(notice, lo, hi)
+            if at >= 0:
+                heapq.heappush(queue, (0, at, at + len(notice), lo, hi))
+            elif k and (m := self.patterns[i].search(joined, lo, hi)):
+                heapq.heappush(queue, (sum(m.fuzzy_counts), m.start(), m.end(), lo, hi))
+
+        for lo, hi in windows:
+            search(lo, hi)
+        taken: list[tuple[int, int, int]] = []  # by start, and apart, so by end too
+        while queue:
+            edits, start, end, lo, hi = heapq.heappop(queue)
+            first = bisect.bisect_right(taken, lo, key=lambda m: m[1])
+            last = bisect.bisect_left(taken, hi, key=lambda m: m[0])
+            inside = taken[first:last]
+            if all(end <= a or b <= start for a, b, _ in inside):
+                bisect.insort(taken, (start, end, edits))
+                inside = sorted([*inside, (start, end, edits)])
+            for a, b, _ in inside:
+                search(lo, a)
+                lo = b
+            search(lo, hi)
+        return taken
+
     def scan(self, text: str | None) -> tuple:
         low = (text or "").translate(_LOWER) if text and not text.islower() else text or ""
         words = _WORD.findall(low)

@@ -67,3 +67,31 @@ def test_seeds_lose_no_match():
             broken[at : at + r.randint(0, 1)] = r.choice(["", "x", broken[at] + "q"])
         broken = "".join(broken)
         assert distance(broken, notice) > scanner.edits(notice) or any(m[0] == i for m in scanner.fuzzy(f"some words {broken} and more"))
+
+
+def test_better_match_hides_no_worse_one():
+    scanner = licenses.Scanner(licenses.BASE, licenses.NOTICES, 12)
+    good, bad = "mozilla public license", "mozilla publik license"
+    for parts in ([bad, good], [good, bad], [bad, bad, good], [bad, good, bad, good], [bad, good] * 500):
+        for gap in (" ", " x "):
+            found = scanner.fuzzy(gap.join(parts))
+            assert [m[3] for m in found] == [int(p == bad) for p in parts]
+            assert all(a[2] <= b[1] for a, b in zip(found, found[1:]))
+
+
+def test_dense_notices_are_all_found():
+    import random
+
+    r, scanner = random.Random(9), licenses.Scanner(licenses.BASE, licenses.NOTICES, 12)
+    for i, (notice, _) in enumerate(scanner.notices):
+        for _ in range(20):
+            parts, allowed = [], scanner.edits(notice)
+            for _ in range(8):
+                broken = list(notice)
+                for at in r.sample(range(2, len(notice) - 2), r.randint(0, allowed)):
+                    broken[at] = "q"
+                parts.append("".join(broken))
+            found = [m for m in scanner.fuzzy(" ".join(parts)) if m[0] == i]
+            assert len(found) == len(parts)
+            for m, part in zip(found, parts):
+                assert m[3] == distance(part, notice)
