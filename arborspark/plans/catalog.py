@@ -631,6 +631,74 @@ def mesh_overlap(spark, folder):
     return tidy(mesh.overlap(_samples(spark, folder), faces), 4)
 
 
+# The same at the operators' own sizes: samples every 250 nm (at most 128 an edge), 80,000 sampled surface points a
+# neuron, thresholds of 250, 500 and 1000 nm. Too large for the SQL twins above, so they have none.
+
+def _full_samples(spark, folder):
+    return inputs.once(spark, folder, "full_samples", lambda: mesh.edge_samples(inputs.forest(spark, folder)))
+
+
+def _full_rows(spark, folder):
+    return mesh.MAX_SAMPLES * inputs.forest(spark, folder).count()
+
+
+def _full_surface(spark, folder):
+    faces = inputs.box_mesh(inputs.neuron_boxes(spark, folder), "neuron")
+    points = lambda: mesh.sample_surface(faces, rows=12 * inputs.table(spark, folder, "supplier").count())
+    return faces, inputs.once(spark, folder, "full_surface", points)
+
+
+def _full_agreement(spark, folder):
+    faces, surface = _full_surface(spark, folder)
+    samples = _full_samples(spark, folder)
+    center, back = mesh.measure(samples, faces, surface)
+    return samples, faces, center, back
+
+
+@query
+def edge_samples_full(spark, folder):
+    return tidy(_full_samples(spark, folder).drop("edge_row", "n_samples"))
+
+
+@query
+def weighted_quantile_full(spark, folder):
+    out = mesh.weighted_quantiles(
+        _full_samples(spark, folder), ["neuron"], "radius", "weight", {"q50": 0.5, "q90": 0.9, "q95": 0.95}, ["child_id", "k"], rows=_full_rows(spark, folder)
+    )
+    return tidy(out, 3)
+
+
+@query
+def mesh_center_distance_full(spark, folder):
+    faces = inputs.box_mesh(inputs.neuron_boxes(spark, folder), "neuron")
+    return tidy(mesh.to_surface(_full_samples(spark, folder), faces, cell=20_000.0).drop("face_id"))
+
+
+@query
+def mesh_agreement_full(spark, folder):
+    samples, faces, center, back = _full_agreement(spark, folder)
+    out = mesh.compare(inputs.forest(spark, folder), samples, faces, center, back, rows=_full_rows(spark, folder))
+    return tidy(out, 3)
+
+
+@query
+def edge_diagnostics_full(spark, folder):
+    _, _, center, back = _full_agreement(spark, folder)
+    out = mesh.edge_diagnostics(center, back, rows=_full_rows(spark, folder))
+    return tidy(out.withColumn("length_nm", F.round("length_nm", 3)), 7)
+
+
+@query
+def surface_samples_full(spark, folder):
+    return tidy(_full_surface(spark, folder)[1], 3)
+
+
+@query
+def mesh_overlap_full(spark, folder):
+    faces = inputs.box_mesh(inputs.neuron_boxes(spark, folder).withColumn("hi_x", F.col("hi_x") - (F.col("neuron") % 5) * 9000.0), "neuron")
+    return tidy(mesh.overlap(_full_samples(spark, folder), faces), 4)
+
+
 @query
 def point_in_mesh(spark, folder):
     points = inputs.typed_forest(spark, folder).select(

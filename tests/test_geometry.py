@@ -182,3 +182,19 @@ def test_resampling_is_even(make):
     rows = [(1, 0, 0, 0, 0, 1, -1), (2, 0, 3000, 0, 0, 1, 1), (3, 0, 10_000, 0, 0, 1, 2)]
     got = sorted(r.x for r in retrieval.resampled(make(rows)).collect())
     assert got == pytest.approx([0, 2, 4, 6, 8, 10])
+
+
+def test_full_size_mesh_queries(spark, tmp_path):
+    from arborspark.plans.catalog import QUERIES
+
+    given, folder = "/root/testdata/sf0.001", str(tmp_path)
+    lines = spark.read.parquet(f"{given}/lineitem.parquet")
+    lines.filter("l_suppkey = 1").orderBy("l_orderkey", "l_linenumber").limit(8).write.parquet(f"{folder}/lineitem.parquet")
+    spark.read.parquet(f"{given}/supplier.parquet").filter("s_suppkey = 1").write.parquet(f"{folder}/supplier.parquet")
+    edges = {r.child_id: r for r in QUERIES["edge_samples_full"](spark, folder).groupBy("child_id").agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("w"), F.max("length_nm").alias("l")).collect()}
+    assert len(edges) == 7 and max(r.n for r in edges.values()) > 4
+    for r in edges.values():
+        assert r.n == min(128, int(np.ceil(r.l / 250))) and abs(r.w - r.l) < 1e-2
+    out = QUERIES["mesh_agreement_full"](spark, folder).collect()
+    assert len(out) == 1 and out[0].n_surface_samples == 80_000 and out[0].n_center_samples == sum(r.n for r in edges.values())
+    assert 0 <= out[0].cable_fit_fraction_250nm <= out[0].cable_fit_fraction_1000nm <= 1
