@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arborspark.llm import bpe_codec, chat, jaccard, langid, licenses, mixing, quality, token_counts, vectors, warc
+from arborspark.llm import bpe_codec, chat, jaccard, langid, licenses, manifest, mixing, quality, token_counts, vectors, warc
 from arborspark.session import land
 
 TOKENIZER_FILE = "word_bpe_49k.json"
@@ -101,6 +101,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.array_join("failed_rules", ",").alias("failed_rules"))
 
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    rows = manifest.digests(table(spark, sf_dir, "documents"), "source", "doc_id", fields, [*fields[:4], F.translate("text", _UPPER, _LOWER)], tampered)
+    leaves = manifest.number_leaves(rows)
+    nodes, root = manifest.build(leaves)
+    return manifest.prove(leaves, nodes, root).withColumnRenamed("key", "doc_id")
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_chat_format": op2_chat_format,
@@ -112,6 +124,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_quality_rules": op10_quality_rules,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 
 ORACLES = {
@@ -152,4 +165,29 @@ l AS (SELECT page_id, sha256(a) AS digest_a, CASE WHEN k <> 5 THEN sha256(b) END
   CAST(sum(strlen(a)) OVER (ORDER BY page_id, sha256(a)) - strlen(a) AS BIGINT) AS "offset" FROM r)
 SELECT page_id, "offset", "offset" // 65536 AS leaf, CASE WHEN digest_b IS NULL THEN 'missing' ELSE 'changed' END AS status, digest_a, digest_b
 FROM l WHERE digest_b IS NULL OR digest_a <> digest_b""",
+    "op11_merkle_manifest": r"""
+WITH RECURSIVE part AS (SELECT doc_id, source, text, unnest([CAST(doc_id AS VARCHAR), source, lang, CAST(n_chars AS VARCHAR), text]) AS v, unnest(range(5)) AS k, row_number() OVER () AS r FROM documents),
+said AS (SELECT r, doc_id, source, k, coalesce(strlen(v) || ':' || v, '-') AS said,
+  CASE WHEN k = 4 THEN coalesce(strlen(v) || ':' || translate(v, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-') ELSE coalesce(strlen(v) || ':' || v, '-') END AS low FROM part),
+leaf AS (SELECT doc_id, source, sha256(string_agg(said, '' ORDER BY k)) AS leaf, sha256(string_agg(low, '' ORDER BY k)) AS low FROM said GROUP BY r, doc_id, source),
+crc AS (SELECT *, xor(4294967295::UBIGINT, list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)::UBIGINT)),
+  lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)::UBIGINT[]), lambda v, i: xor(v >> 1, (v & 1) * 3988292384)))) % 5 = 0 AS bad FROM leaf),
+numbered AS MATERIALIZED (SELECT *, CASE WHEN bad THEN low ELSE leaf END AS shown, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+  count(*) OVER (PARTITION BY source) AS n, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS src FROM crc),
+node(src, level, idx, n, digest) AS (SELECT src, 0, pos, n, leaf FROM numbered
+  UNION ALL SELECT src, any_value(level) + 1, idx // 16, any_value((n + 15) // 16), sha256(string_agg(digest, '' ORDER BY idx)) FROM node WHERE n > 1 GROUP BY src, idx // 16),
+subs AS MATERIALIZED (SELECT src, digest, max(src) OVER () + 1 AS n FROM node WHERE n = 1),
+top(level, idx, n, digest) AS (SELECT 0, src, n, digest FROM subs
+  UNION ALL SELECT any_value(level) + 1, idx // 16, any_value((n + 15) // 16), sha256(string_agg(digest, '' ORDER BY idx)) FROM top WHERE n > 1 GROUP BY idx // 16),
+whole AS MATERIALIZED (SELECT src, level, idx, n, digest FROM node UNION ALL SELECT -1, level, idx, n, digest FROM top),
+step(src, level, child, before, behind) AS MATERIALIZED (SELECT src, level, idx,
+  coalesce(string_agg(digest, '') OVER (PARTITION BY src, level, idx // 16 ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), ''),
+  coalesce(string_agg(digest, '') OVER (PARTITION BY src, level, idx // 16 ORDER BY idx ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') FROM whole WHERE n > 1),
+path(r, tree, home, level, idx, proof, digest, ended) AS (SELECT row_number() OVER (ORDER BY src, pos), src, src, 0, pos, '', shown, false FROM numbered
+  UNION ALL SELECT p.r, CASE WHEN s.src IS NULL THEN -1 ELSE p.tree END, p.home, CASE WHEN s.src IS NULL THEN 0 ELSE p.level + 1 END, CASE WHEN s.src IS NULL THEN p.home ELSE p.idx // 16 END,
+    p.proof || coalesce(s.before || s.behind, ''), CASE WHEN s.src IS NULL THEN p.digest ELSE sha256(s.before || p.digest || s.behind) END, s.src IS NULL AND p.tree = -1
+  FROM path p LEFT JOIN step s ON s.src = p.tree AND s.level = p.level AND s.child = p.idx WHERE NOT p.ended),
+root AS (SELECT digest FROM top WHERE n = 1)
+SELECT n.doc_id, n.leaf, s.digest AS subroot, (SELECT digest FROM root) AS root, sha256(p.proof) AS proof_sha256, p.digest AS folded_root, p.digest = (SELECT digest FROM root) AS verified
+FROM (SELECT *, row_number() OVER (ORDER BY src, pos) AS r FROM numbered) n JOIN path p ON p.r = n.r AND p.ended JOIN subs s ON s.src = n.src""",
 }
