@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arborspark.llm import bpe_codec, chat, jaccard, langid, licenses, manifest, mixing, quality, token_counts, vectors, warc
+from arborspark.llm import bpe_codec, chat, jaccard, langid, licenses, manifest, mixing, pii, quality, token_counts, vectors, warc, whitening
 from arborspark.session import land
 
 TOKENIZER_FILE = "word_bpe_49k.json"
@@ -113,6 +113,17 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.prove(leaves, nodes, root).withColumnRenamed("key", "doc_id")
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.whitened_rows(table(spark, sf_dir, "embeddings"), components=32)
+    return rows.withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))
+
+
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.scan(docs, pii.fit(docs))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_chat_format": op2_chat_format,
@@ -125,6 +136,8 @@ QUERIES = {
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_quality_rules": op10_quality_rules,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_whitening": op12_whitening,
+    "op13_pii": op13_pii,
 }
 
 ORACLES = {
