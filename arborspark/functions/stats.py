@@ -1,15 +1,13 @@
-"""P-values from aggregated test statistics, and seeded permutation tests.
+"""P-values from aggregated test statistics.
 
 The statistics themselves are Spark aggregates; what is left here works on one
-row of totals, or on a profile table whose size is bounded by the number of
-brain regions.
+row of totals.
 """
 
 from __future__ import annotations
 
 import math
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -123,21 +121,3 @@ def rank_sum_p_col(n1: pd.Series, n2: pd.Series, u: pd.Series, tie_term: pd.Seri
 @F.pandas_udf(T.DoubleType())
 def correlation_p_col(n: pd.Series, rho: pd.Series) -> pd.Series:
     return pd.Series([correlation_p(int(a), b) for a, b in zip(n, rho)], dtype=float)
-
-
-def sign_flip_test(values: np.ndarray, draws: int, seed: int) -> tuple[float, float]:
-    """Observed mean and two-sided p under random signs."""
-    rng = np.random.default_rng(seed)
-    observed = float(values.mean())
-    null = np.array([(values * rng.choice([-1, 1], len(values))).mean() for _ in range(draws)])
-    return observed, float((np.sum(np.abs(null) >= abs(observed)) + 1) / (draws + 1))
-
-
-def label_shuffle_test(similarity: np.ndarray, names: list[str], draws: int, seed: int) -> tuple[float, float]:
-    """Observed mean of the diagonal and one-sided p under shuffled labels."""
-    rng = np.random.default_rng(seed)
-    at = {n: i for i, n in enumerate(names)}
-    rows = np.arange(len(names))
-    observed = float(similarity[rows, rows].mean())
-    null = np.array([similarity[rows, [at[n] for n in rng.permutation(names)]].mean() for _ in range(draws)])
-    return observed, float((np.sum(null >= observed) + 1) / (draws + 1))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -114,35 +113,71 @@ SIGN_SEED = 0
 LABEL_SEED = 42
 
 
+def _draw_key(seed: int, draw: str, name: str) -> Column:
+    """Hash that decides what draw number ``draw`` does with row ``name``; the same in every engine with MD5."""
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(draw).cast("string"), F.col(name)))
+
+
+def _draws(draws: int) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.lit(draws - 1))).alias("draw")
+
+
+def _at_least(null: Column, observed: Column, draws: int) -> Column:
+    """Share of draws that reach the observed value, the observed one counted as a draw."""
+    return (F.count_if(F.round(null, 9) >= F.round(observed, 9)) + 1) / (F.lit(draws) + 1)
+
+
 def sign_permutation(metrics: DataFrame, value: str = "delta_post_minus_pre", draws: int = DRAWS, seed: int = SIGN_SEED) -> DataFrame:
     """Sign-flip test of the mean difference over the regions of the dictionary.
 
-    At most one row per dictionary region reaches the single group.
+    Every draw is a row group of its own: a region's sign in a draw is the top
+    bit of a hash of seed, draw and region, so draws spread over tasks and any
+    of them can be recomputed alone.  Means count as equal to nine digits.
     """
-    place = {n: i for i, n in enumerate(NEUROPIL_ORDER)}
-
-    def test(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("neuropil", key=lambda s: s.map(place))
-        observed, p = stats.sign_flip_test(pdf["value"].to_numpy(), draws, seed)
-        return pd.DataFrame({"n": [len(pdf)], "mean_delta": [observed], "permutation_p": [p]})
-
-    rows = metrics.filter(F.col("neuropil").isin(*NEUROPIL_ORDER)).select(
-        F.lit(0).alias("all"), "neuropil", F.col(value).alias("value")
+    rows = metrics.filter(F.col("neuropil").isin(*NEUROPIL_ORDER) & F.col(value).isNotNull()).select("neuropil", F.col(value).alias("value"))
+    flipped = F.when(_draw_key(seed, "draw", "neuropil") < "8", F.col("value")).otherwise(-F.col("value"))
+    per_draw = rows.select("*", _draws(draws)).groupBy("draw").agg(F.avg(flipped).alias("null"), F.avg("value").alias("observed"), F.count("value").alias("n"))
+    return per_draw.agg(
+        F.coalesce(F.max("n"), F.lit(0)).alias("n"), F.max("observed").alias("mean_delta"),
+        F.when(F.count(F.lit(1)) > 0, _at_least(F.abs("null"), F.abs("observed"), draws)).alias("permutation_p"),
     )
-    return rows.groupBy("all").applyInPandas(test, "n bigint, mean_delta double, permutation_p double")
 
 
 def label_permutation(pairs: DataFrame, draws: int = DRAWS, seed: int = LABEL_SEED) -> DataFrame:
     """Is the same-region similarity higher than under shuffled region labels?
 
-    The group holds one number per pair of regions.
+    In each draw the regions in order of name meet the regions in order of a
+    hash of seed, draw and name: one row per draw and region, joined with the
+    similarities.  ``pairs`` has every pair of the regions.
     """
+    names = pairs.filter("same_region").select(F.col("pre_region").alias("name"), F.col("similarity").alias("own"))
+    shuffled = names.select("*", _draws(draws)).withColumn("key", _draw_key(seed, "draw", "name")).groupBy("draw").agg(
+        F.array_sort(F.collect_list("name")).alias("pre"), F.array_sort(F.collect_list(F.struct("key", "name"))).alias("post"), F.avg("own").alias("observed"), F.count("own").alias("n"),
+    )
+    met = shuffled.select("draw", "observed", "n", F.inline(F.arrays_zip("pre", "post"))).select("draw", "observed", "n", F.col("pre").alias("pre_region"), F.col("post.name").alias("post_region"))
+    per_draw = met.join(pairs.select("pre_region", "post_region", "similarity"), ["pre_region", "post_region"]).groupBy("draw").agg(
+        F.avg("similarity").alias("null"), F.first("observed").alias("observed"), F.first("n").alias("n"),
+    )
+    return per_draw.agg(
+        F.coalesce(F.max("n"), F.lit(0)).alias("n_regions"), F.max("observed").alias("mean_same"),
+        F.when(F.count(F.lit(1)) > 0, _at_least(F.col("null"), F.col("observed"), draws)).alias("permutation_p"),
+    )
 
-    def test(pdf: pd.DataFrame) -> pd.DataFrame:
-        m = pdf.pivot(index="pre_region", columns="post_region", values="similarity").sort_index(axis=0).sort_index(axis=1)
-        observed, p = stats.label_shuffle_test(m.to_numpy(), list(m.index), draws, seed)
-        return pd.DataFrame({"n_regions": [len(m)], "mean_same": [observed], "permutation_p": [p]})
 
-    return pairs.select(F.lit(0).alias("all"), "pre_region", "post_region", "similarity").groupBy("all").applyInPandas(
-        test, "n_regions bigint, mean_same double, permutation_p double"
-    )
+def pooled_asymmetry(metrics: DataFrame, draws: int = DRAWS, seed: int = SIGN_SEED) -> DataFrame:
+    """Mean shift of the branch order with its permutation and signed-rank tests."""
+    signed = signed_rank(metrics.filter(F.col("neuropil").isin(*NEUROPIL_ORDER)), "pre_mean_order", "post_mean_order")
+    signed = signed.select(F.col("w").alias("wilcoxon_w"), F.col("p_value").alias("wilcoxon_p"))
+    return sign_permutation(metrics, draws=draws, seed=seed).crossJoin(F.broadcast(signed))  # one row each
+
+
+def same_or_different(pairs: DataFrame) -> DataFrame:
+    """Similarity of same-region pairs against that of different regions: rank-sum test, means and medians."""
+    rounded = pairs.withColumn("similarity", F.round("similarity", 9))
+    test = mann_whitney(rounded, "similarity", F.col("same_region"), ~F.col("same_region"))
+    middle = F.when(F.col("same_region"), "same").otherwise("different").alias("side")
+    sides = rounded.select(middle, "similarity")
+    medians = ordering.quantiles(sides, ["side"], "similarity", {"median": 0.5}).join(sides.groupBy("side").agg(F.avg("similarity").alias("mean")), "side")
+    pick = lambda side, of: F.max(F.when(F.col("side") == side, F.col(of))).alias(f"{side}_{of}")
+    told = medians.agg(*[pick(side, of) for side in ("same", "different") for of in ("median", "mean")])
+    return test.crossJoin(F.broadcast(told))  # one row each

@@ -1,27 +1,32 @@
 """Edges, child counts and tree traversal.
 
 A traversal never gathers a whole neuron.  Rows are cut into runs of
-``CHUNK_ROWS`` file rows; a NumPy pointer-doubling pass inside each run links
-every node to the top-most ancestor it can reach there.  Runs packed together
-form the Python batches, so small neurons share a batch and a huge neuron
-spreads over many.  If some neuron has more than one run, the run tops form a
-much smaller forest which is then doubled with ordinary joins on
-``(neuron, node)``: log2(depth) rounds, each landed in the workspace.
+``CHUNK_ROWS`` file rows, and a directory packs the runs into frames by their
+row counts, so the number of frames follows the data: small neurons share one,
+a huge neuron spreads over many.  In each frame NumPy pointer doubling links
+every node to the top-most ancestor of its run and, in the same pass, gathers
+sums and maxima over subtrees.  The tops of runs that hang under another run
+form a much smaller forest, closed by joins on ``(neuron, node)`` in log2(depth)
+rounds, each landed in the workspace; it is empty if every neuron is one run.
+
+A pointer that is still open after log2(n) doublings lies on or below a loop:
+such rows are marked ``looped`` and get no path and no totals.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from arborspark.operators import ordering
-from arborspark.session import land, shuffle_width
+from arborspark.session import land
 
-CHUNK_ROWS = 1 << 18
+CHUNK_ROWS = 1 << 16
+RACK_FRAMES = 64
 KEY = ["neuron", "id"]
 
 
@@ -118,20 +123,27 @@ def _gather(up: np.ndarray, sums: list[np.ndarray], maxes: list[np.ndarray]):
 
 # ------------------------------------------------------------------ plumbing
 
-def _runs(nodes: DataFrame) -> tuple[DataFrame, bool]:
-    """Nodes with their batch label, and whether any neuron has several runs."""
-    run = F.floor(F.col("row_idx") / F.lit(CHUNK_ROWS))
-    top_row = nodes.agg(F.max("row_idx")).first()[0]
-    several = top_row is not None and top_row >= CHUNK_ROWS
-    batches = 2 * shuffle_width(nodes.sparkSession)
-    labelled = nodes.withColumn("_run", run.cast("bigint")).withColumn(
-        "_batch", F.pmod(F.xxhash64("neuron", "_run"), F.lit(batches)).cast("int")
-    )
-    return labelled, several
+def frames(nodes: DataFrame) -> DataFrame:
+    """``nodes`` with ``_run`` (stretch of its file) and ``_frame``: runs packed up to ``CHUNK_ROWS`` rows.
+
+    The directory has one row per run.  Runs are dealt over racks by hash, enough
+    of them for about ``RACK_FRAMES`` frames each, and a running sum of row
+    counts within a rack tells a run's frame.
+    """
+    run = F.floor(F.col("row_idx") / F.lit(CHUNK_ROWS)).cast("bigint").alias("_run")
+    labelled = nodes.select("*", run)
+    counted = labelled.groupBy("neuron", "_run").agg(F.count(F.lit(1)).alias("_rows"))
+    racks = counted.agg(F.greatest(F.ceil(F.sum("_rows") / F.lit(RACK_FRAMES * CHUNK_ROWS)), F.lit(1)).alias("_racks"))
+    counted = counted.crossJoin(F.broadcast(racks))  # one row
+    rack = F.pmod(F.xxhash64("neuron", "_run"), F.col("_racks")).alias("_rack")
+    before = Window.partitionBy("_rack").orderBy("neuron", "_run").rowsBetween(Window.unboundedPreceding, 0)
+    place = F.floor((F.sum("_rows").over(before) - F.col("_rows") / 2) / F.lit(CHUNK_ROWS)).cast("bigint")
+    directory = counted.select("*", rack).select("neuron", "_run", F.struct("_rack", place.alias("_place")).alias("_frame"))
+    return labelled.join(directory, ["neuron", "_run"])
 
 
 def _same_run(pdf: pd.DataFrame) -> pd.Series:
-    """One label per (neuron, run) so that a batch never links across runs."""
+    """One label per (neuron, run) so that a frame never links across runs."""
     if pdf["_run"].eq(pdf["_run"].iat[0]).all():
         return pdf["neuron"]
     return pdf["neuron"].astype(str) + "\x00" + pdf["_run"].astype(str)
@@ -141,54 +153,64 @@ def _ddl(df: DataFrame, name: str) -> str:
     return df.schema[name].dataType.simpleString()
 
 
-# ---------------------------------------------------------------- root paths
+# ----------------------------------------------------------------- traversal
 
-def root_paths(
-    nodes: DataFrame, sums: Sequence[str] = (), stop: Column | None = None, carry: Sequence[str] = ()
+def traverse(
+    nodes: DataFrame, up: Mapping[str, Column] | None = None, carry: Mapping[str, Column] | None = None, stop: Column | None = None,
+    sums: Mapping[str, Column] | None = None, maxes: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """For every node: ``top`` (last node reached going up), ``hops`` to it and,
-    for each column in ``sums``, its total over the path including both ends.
-    Numeric columns in ``carry`` come back as ``top_<name>``, read at the top.
+    """Paths to the top and subtree totals of every node, in one pass over the frames.
 
+    Returns neuron, id, ``top`` (last node reached going up), ``hops`` to it, and
+    by name: ``up`` totals over the path with both ends, ``carry`` values read at
+    the top, ``sums`` and ``maxes`` over the node's subtree, the node included.
     The climb ends at a root, at a node whose parent is missing, or at a node
-    where ``stop`` holds.  ``looped`` marks nodes on or below a parent cycle.
+    where ``stop`` holds; subtrees don't end there.  Rows on or below a loop of
+    parents (``looped``) have null in all of these but the ids; a row below a
+    ``stop`` within a loop has a path, but no totals.
     """
-    sums, carry = list(sums), list(carry)
+    up, carry, sums, maxes = dict(up or {}), dict(carry or {}), dict(sums or {}), dict(maxes or {})
+    below = [*sums, *maxes]
+    halt = F.coalesce(stop, F.lit(False)) if stop is not None else F.lit(False)
     work = nodes.select(
-        "neuron", "id", "row_idx",
-        F.when(F.coalesce(stop, F.lit(False)), F.lit(-1)).otherwise(F.col("parent")).cast("bigint").alias("parent")
-        if stop is not None else F.col("parent"),
-        *[F.col(c).cast("double").alias(c) for c in sums],
-        *[F.col(c).cast("double").alias(f"top_{c}") for c in carry],
+        "neuron", "id", "row_idx", "parent", halt.alias("_halt"),
+        *[e.cast("double").alias(f"u_{n}") for n, e in up.items()], *[e.cast("double").alias(f"t_{n}") for n, e in carry.items()],
+        *[e.cast("double").alias(f"d_{n}") for n, e in [*sums.items(), *maxes.items()]],
     )
-    labelled, several = _runs(work)
-    tags = ["top", *[f"top_{c}" for c in carry]]
+    labelled = frames(work)
+    kind = _ddl(work, "neuron")
+    ups, tops, downs = [f"u_{n}" for n in up], [f"t_{n}" for n in carry], [f"d_{n}" for n in below]
+    add, peak = downs[: len(sums)], downs[len(sums) :]
 
-    def climb_batch(pdf: pd.DataFrame) -> pd.DataFrame:
+    def pass_frame(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["_run", "row_idx"], kind="stable", ignore_index=True)
         ids, parent = pdf["id"].to_numpy(), pdf["parent"].to_numpy()
-        up = np.where(parent == -1, -1, _parent_rows(_same_run(pdf), ids, parent))
-        hop = (up >= 0).astype(np.int64)
-        top, (hops, *totals), looped = _climb(up, [hop, *[pdf[c].to_numpy() for c in sums]])
-        out = {"neuron": pdf["neuron"], "id": ids, "top": ids[top], "hops": hops, "looped": looped, "link": parent[top]}
-        out.update(dict(zip(sums, totals)))
-        out.update({c: pdf[c].to_numpy()[top] for c in tags[1:]})
+        over = np.where(parent == -1, -1, _parent_rows(_same_run(pdf), ids, parent))
+        free = np.where(pdf["_halt"].to_numpy(dtype=bool), -1, over)
+        top, (hops, *totals), looped = _climb(free, [(free >= 0).astype(np.int64), *[pdf[c].to_numpy() for c in ups]])
+        link = np.where(pdf["_halt"].to_numpy(dtype=bool), -1, parent)[top]
+        out = {"neuron": pdf["neuron"], "id": ids, "_run": pdf["_run"], "top": ids[top], "hops": hops, "link": link, "looped": looped}
+        out.update(dict(zip(ups, totals)))
+        out.update({c: pdf[c].to_numpy()[top] for c in tops})
+        if downs:
+            whole_top, _, whole_loop = (top, None, looped) if (free == over).all() else _climb(over, [])
+            grown, peaks = _gather(over, [pdf[c].to_numpy() for c in add], [pdf[c].to_numpy() for c in peak])
+            out.update({"root": ids[whole_top], "root_link": parent[whole_top], "ringed": whole_loop})
+            out.update(dict(zip(downs, [*grown, *peaks])))
         return pd.DataFrame(out)
 
-    schema = f"neuron {_ddl(work, 'neuron')}, id bigint, top bigint, hops bigint, looped boolean, link bigint" + "".join(
-        f", {c} double" for c in [*sums, *tags[1:]]
+    numbers = "".join(f", {c} double" for c in [*ups, *tops])
+    below_ddl = ", root bigint, root_link bigint, ringed boolean" + "".join(f", {c} double" for c in downs) if downs else ""
+    schema = f"neuron {kind}, id bigint, _run bigint, top bigint, hops bigint, link bigint, looped boolean{numbers}{below_ddl}"
+    local = land(labelled.groupBy("_frame").applyInPandas(pass_frame, schema), "frames")
+    paths = _close_paths(local, ["hops", *ups], ["top", *tops])
+    if downs:
+        paths = _close_totals(local, labelled, paths, add, peak)
+    alive = lambda c: F.when(~F.col("looped"), F.col(c))
+    return paths.select(
+        "neuron", "id", alive("top").alias("top"), alive("hops").alias("hops"), *[alive(f"u_{n}").alias(n) for n in up], *[alive(f"t_{n}").alias(n) for n in carry],
+        *[F.when(~F.col("ringed"), F.col(f"d_{n}")).alias(n) for n in below], "looped",
     )
-    local = labelled.groupBy("_batch").applyInPandas(climb_batch, schema)
-    measures = ["hops", *sums]
-    if several:
-        local = land(local, "climb")
-        reach = _double_up(local, measures, tags)
-        far = reach.select(
-            "neuron", F.col("id").alias("_at"), F.col("looped").alias("_looped"),
-            *[F.col(c).alias(f"_{c}") for c in [*measures, *tags]],
-        )
-        met = local.withColumn("_at", F.col("top")).join(far, ["neuron", "_at"], "left")
-        local = met.select("neuron", "id", *_extended(measures, tags))
-    return local.select("neuron", "id", "top", "hops", *sums, *tags[1:], "looped")
 
 
 def _extended(measures: list[str], tags: list[str]) -> list[Column]:
@@ -200,93 +222,84 @@ def _extended(measures: list[str], tags: list[str]) -> list[Column]:
     ]
 
 
-def _run_links(local: DataFrame) -> DataFrame:
-    """Run tops whose parent row lies in another run: (neuron, id, link)."""
-    return local.filter((F.col("id") == F.col("top")) & (F.col("link") != -1) & ~F.col("looped")).select("neuron", "id", "link")
-
-
-def _double_up(local: DataFrame, measures: list[str], tags: list[str]) -> DataFrame:
-    """Close the forest of run tops: what lies above each linked run top."""
+def _close_paths(local: DataFrame, measures: list[str], tags: list[str]) -> DataFrame:
+    """Prolong every node's path by what lies above the top of its run."""
+    links = local.filter((F.col("id") == F.col("top")) & (F.col("link") != -1) & ~F.col("looped")).select("neuron", "id", "link")
     above = local.select("neuron", F.col("id").alias("link"), "looped", *measures, *tags)
-    step = _run_links(local).join(above, ["neuron", "link"])
+    step = links.join(above, ["neuron", "link"])
     step = step.withColumn("hops", F.col("hops") + 1).withColumn("jump", F.col("top")).drop("link")
     step = land(step, "tops")
-    for _ in range(step.count().bit_length() + 1):
-        far = step.select(
-            "neuron", F.col("id").alias("jump"), F.col("jump").alias("_jump"), F.col("looped").alias("_looped"),
-            *[F.col(c).alias(f"_{c}") for c in [*measures, *tags]],
-        )
+    size = step.count()
+    if size == 0:
+        return local
+    for _ in range(size.bit_length() + 1):
+        far = step.select("neuron", F.col("id").alias("jump"), F.col("jump").alias("_jump"), F.col("looped").alias("_looped"), *[F.col(c).alias(f"_{c}") for c in [*measures, *tags]])
         grown = step.join(far, ["neuron", "jump"], "left")
         step = land(grown.select("neuron", "id", F.col("_jump").alias("jump"), *_extended(measures, tags)), "tops")
         if step.filter(F.col("jump").isNotNull()).isEmpty():
-            return step
-    return step.withColumn("looped", F.col("looped") | F.col("jump").isNotNull())
+            break
+    step = step.withColumn("looped", F.col("looped") | F.col("jump").isNotNull())
+    far = step.select("neuron", F.col("id").alias("_at"), F.col("looped").alias("_looped"), *[F.col(c).alias(f"_{c}") for c in [*measures, *tags]])
+    met = local.withColumn("_at", F.col("top")).join(far, ["neuron", "_at"], "left")
+    kept = [c for c in local.columns if c not in ("looped", *measures, *tags)]
+    return met.select(*kept, *_extended(measures, tags))
 
 
-# ------------------------------------------------------------ subtree totals
+def _close_totals(local: DataFrame, labelled: DataFrame, paths: DataFrame, add: list[str], peak: list[str]) -> DataFrame:
+    """Bring the totals of runs that hang under other runs up to their ancestors.
 
-def subtree_totals(nodes: DataFrame, sums: Sequence[str] = (), maxes: Sequence[str] = ()) -> DataFrame:
-    """Totals and maxima of columns over every node's subtree, the node included."""
-    sums, maxes = list(sums), list(maxes)
-    work = nodes.select(
-        "neuron", "id", "row_idx", "parent", *[F.col(c).cast("double").alias(c) for c in [*sums, *maxes]]
+    Run tops pass their values on by doubling; runs that something hangs on are
+    gathered once more with the values of what hangs on each node added to it.
+    """
+    downs = [*add, *peak]
+    links = local.filter((F.col("id") == F.col("root")) & (F.col("root_link") != -1) & ~F.col("ringed")).select("neuron", "id", F.col("root_link").alias("link"))
+    attach = land(links.join(local.select("neuron", F.col("id").alias("link"), F.col("root").alias("jump"), "_run", F.col("ringed").alias("_under")), ["neuron", "link"]), "attach")
+    size = attach.count()
+    if size == 0:
+        return paths
+    tops = local.filter(F.col("id") == F.col("root")).select("neuron", "id", "ringed", *downs)
+    step = tops.join(attach, KEY, "left").withColumn("ringed", F.col("ringed") | F.coalesce("_under", F.lit(False))).drop("_under")
+    step = land(step, "hang")
+    for _ in range(size.bit_length() + 1):
+        rising = step.filter(F.col("jump").isNotNull()).groupBy("neuron", F.col("jump").alias("id")).agg(*[F.sum(c).alias(f"_{c}") for c in add], *[F.max(c).alias(f"_{c}") for c in peak])
+        far = step.select("neuron", F.col("id").alias("jump"), F.col("jump").alias("_jump"), F.col("ringed").alias("_ringed"))
+        grown = step.join(rising, KEY, "left").join(far, ["neuron", "jump"], "left")
+        step = land(grown.select(
+            "neuron", "id", "link", "_run", (F.col("ringed") | F.coalesce("_ringed", F.lit(False))).alias("ringed"), F.col("_jump").alias("jump"), *[(F.col(c) + F.coalesce(F.col(f"_{c}"), F.lit(0.0))).alias(c) for c in add], *[F.greatest(c, f"_{c}").alias(c) for c in peak],
+        ), "hang")
+        if step.filter(F.col("jump").isNotNull()).isEmpty():
+            break
+    # a top whose pointer never closes lies on a loop of runs, and so does all that has it as its root
+    rings = step.filter(F.col("jump").isNotNull() | F.col("ringed")).select("neuron", F.col("id").alias("root"), F.lit(True).alias("_ring")).distinct()
+    hung = step.filter(F.col("link").isNotNull() & F.col("jump").isNull())
+    extra = land(hung.groupBy("neuron", "_run", F.col("link").alias("id")).agg(*[F.sum(c).alias(f"_{c}") for c in add], *[F.max(c).alias(f"_{c}") for c in peak]), "extra")
+    busy = extra.select("neuron", "_run").distinct()
+    again = labelled.join(busy, ["neuron", "_run"], "left_semi").join(extra, ["neuron", "_run", "id"], "left")
+    again = again.select(
+        "neuron", "_run", "_frame", "row_idx", "id", "parent", *[(F.col(c) + F.coalesce(F.col(f"_{c}"), F.lit(0.0))).alias(c) for c in add], *[F.greatest(c, f"_{c}").alias(c) for c in peak],
     )
-    labelled, several = _runs(work)
-    kind = _ddl(work, "neuron")
 
-    def gather_batch(pdf: pd.DataFrame) -> pd.DataFrame:
+    def gather(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["_run", "row_idx"], kind="stable", ignore_index=True)
         ids, parent = pdf["id"].to_numpy(), pdf["parent"].to_numpy()
-        up = np.where(parent == -1, -1, _parent_rows(_same_run(pdf), ids, parent))
-        totals, peaks = _gather(up, [pdf[c].to_numpy() for c in sums], [pdf[c].to_numpy() for c in maxes])
-        top, _, looped = _climb(up, [])
-        out = {"neuron": pdf["neuron"], "id": ids, "top": ids[top], "link": parent[top], "looped": looped}
-        out.update(dict(zip([*sums, *maxes], [*totals, *peaks])))
-        return pd.DataFrame(out)
+        over = np.where(parent == -1, -1, _parent_rows(_same_run(pdf), ids, parent))
+        grown, peaks = _gather(over, [pdf[c].to_numpy() for c in add], [pdf[c].to_numpy() for c in peak])
+        return pd.DataFrame({"neuron": pdf["neuron"], "id": ids, **dict(zip([f"_{c}" for c in downs], [*grown, *peaks]))})
 
-    columns = "".join(f", {c} double" for c in [*sums, *maxes])
-    schema = f"neuron {kind}, id bigint, top bigint, link bigint, looped boolean{columns}"
-    local = labelled.groupBy("_batch").applyInPandas(gather_batch, schema)
-    if not several:
-        return local.select("neuron", "id", *sums, *maxes)
+    whole = again.groupBy("_frame").applyInPandas(gather, f"neuron {_ddl(labelled, 'neuron')}, id bigint" + "".join(f", _{c} double" for c in downs))
+    met = paths.join(whole, KEY, "left").join(rings, ["neuron", "root"], "left")
+    kept = [c for c in paths.columns if c not in ("ringed", *downs)]
+    return met.select(*kept, (F.col("ringed") | F.coalesce("_ring", F.lit(False))).alias("ringed"), *[F.coalesce(f"_{c}", c).alias(c) for c in downs])
 
-    local = land(local, "gather")
-    hung = _hang_runs(local, sums, maxes)
-    extra = hung.groupBy("neuron", F.col("link").alias("id")).agg(
-        *[F.sum(c).alias(f"_{c}") for c in sums], *[F.max(c).alias(f"_{c}") for c in maxes]
-    )
-    lifted = labelled.join(extra, KEY, "left")
-    for c in sums:
-        lifted = lifted.withColumn(c, F.col(c) + F.coalesce(F.col(f"_{c}"), F.lit(0.0)))
-    for c in maxes:
-        lifted = lifted.withColumn(c, F.greatest(c, f"_{c}"))
-    lifted = lifted.select(*labelled.columns)
-    return lifted.groupBy("_batch").applyInPandas(gather_batch, schema).select("neuron", "id", *sums, *maxes)
-
-
-def _hang_runs(local: DataFrame, sums: list[str], maxes: list[str]) -> DataFrame:
-    """Whole-subtree values of every linked run top, with the node it hangs on."""
-    links = _run_links(local)
-    attach = links.join(
-        local.select("neuron", F.col("id").alias("link"), F.col("top").alias("jump")), ["neuron", "link"]
-    )
-    tops = local.filter(F.col("id") == F.col("top")).select("neuron", "id", *sums, *maxes)
-    step = land(tops.join(attach, KEY, "left"), "hang")
-    limit = step.count().bit_length() + 1
-    for _ in range(limit):
-        rising = step.filter(F.col("jump").isNotNull()).groupBy("neuron", F.col("jump").alias("id")).agg(
-            *[F.sum(c).alias(f"_{c}") for c in sums], *[F.max(c).alias(f"_{c}") for c in maxes]
-        )
-        far = step.select("neuron", F.col("id").alias("jump"), F.col("jump").alias("_jump"))
-        grown = step.join(rising, KEY, "left").join(far, ["neuron", "jump"], "left")
-        grown = grown.select(
-            "neuron", "id", "link", F.col("_jump").alias("jump"),
-            *[(F.col(c) + F.coalesce(F.col(f"_{c}"), F.lit(0.0))).alias(c) for c in sums],
-            *[F.greatest(c, f"_{c}").alias(c) for c in maxes],
-        )
-        step = land(grown, "hang")
-        if step.filter(F.col("jump").isNotNull()).isEmpty():
-            break
-    return step.filter(F.col("link").isNotNull()).select("neuron", "id", "link", *sums, *maxes)
+
+def root_paths(nodes: DataFrame, sums: Sequence[str] = (), stop: Column | None = None, carry: Sequence[str] = ()) -> DataFrame:
+    """``traverse`` upwards: totals of the columns ``sums`` over each path, and ``top_<name>`` for those in ``carry``."""
+    return traverse(nodes, up={c: F.col(c) for c in sums}, carry={f"top_{c}": F.col(c) for c in carry}, stop=stop)
+
+
+def subtree_totals(nodes: DataFrame, sums: Sequence[str] = (), maxes: Sequence[str] = ()) -> DataFrame:
+    """Totals and maxima of columns over every node's subtree, the node included; null on and below loops."""
+    return traverse(nodes, sums={c: F.col(c) for c in sums}, maxes={c: F.col(c) for c in maxes}).select("neuron", "id", *sums, *maxes)
 
 
 # ------------------------------------------------------------------- orders
@@ -367,7 +380,7 @@ def rerooted(nodes: DataFrame, at: DataFrame) -> DataFrame:
     goal_top = at.join(tops, KEY).select("neuron", F.col("top").alias("goal_top"))
     flipped = flipped.join(tops, KEY).join(goal_top, "neuron", "left")
     parent = (
-        F.when(F.col("goal_top").isNull() | (F.col("top") != F.col("goal_top")), F.lit(None))
+        F.when(F.col("goal_top").isNull() | ~F.col("top").eqNullSafe(F.col("goal_top")), F.lit(None))
         .when(F.col("spine") > 0, F.coalesce("below_id", F.lit(-1)))
         .otherwise(F.col("parent"))
     )

@@ -441,12 +441,12 @@ def avg_rank_mwu(spark, folder):
         F.struct(F.lit("Other").alias("dataset"), F.col("other").alias("v")),
     )))
     out = statistics.mann_whitney(long, "v", F.col("dataset") == "Raw", F.col("dataset") == "Other")
-    return tidy(out.drop("p_value"))
+    return tidy(out)
 
 
 @query
 def signed_rank_w(spark, folder):
-    return tidy(statistics.signed_rank(_features(spark, folder), "raw", "repaired").drop("p_value"))
+    return tidy(statistics.signed_rank(_features(spark, folder), "raw", "repaired"))
 
 
 @query
@@ -462,7 +462,7 @@ def rank_test_p_values(spark, folder):
 
 @query
 def spearman(spark, folder):
-    return tidy(statistics.spearman(_distance_orders(spark, folder), "distance_um", "branch_order", "node_type").drop("p_value"))
+    return tidy(statistics.spearman(_distance_orders(spark, folder), "distance_um", "branch_order", "node_type"))
 
 
 @query
@@ -480,6 +480,16 @@ def label_permutation_p(spark, folder):
     return tidy(statistics.label_permutation(neuropil.similarity_pairs(_profiles(spark, folder, types=(2, 3)))))
 
 
+@query
+def pooled_asymmetry(spark, folder):
+    return tidy(statistics.pooled_asymmetry(neuropil.topology_metrics(_profiles(spark, folder, types=(2, 3), dictionary_only=True))))
+
+
+@query
+def same_or_different_regions(spark, folder):
+    return tidy(statistics.same_or_different(neuropil.similarity_pairs(_profiles(spark, folder, types=(2, 3)))))
+
+
 # --------------------------------------------------------------------- logs
 
 @query

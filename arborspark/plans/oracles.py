@@ -151,6 +151,15 @@ def r(expr: str, name: str, digits: int = 6) -> str:
     return f"round({expr}, {digits}) + 0.0 AS {name}"
 
 
+# two-sided normal tail of z, by the positive series of the error function
+_NORMAL_P = """(SELECT CASE WHEN x = 0 THEN 1 ELSE 1 - 2 / sqrt(pi()) * list_sum(list_transform(range(0, 500),
+  lambda k: exp(2 * k * ln(2) + (2 * k + 1) * ln(x) + lgamma(k + 1) - lgamma(2 * k + 2) - x * x))) END FROM (SELECT least(abs(z) / sqrt(2), 12) AS x))"""
+# two-sided tail of a correlation rho of n pairs by the t distribution, by the series of the incomplete beta function
+_T_P = """(SELECT CASE WHEN y = 0 THEN 1 ELSE 1 - exp(ln(y) / 2 + a * ln(1 - y) + lgamma(a + 0.5) - lgamma(a) - lgamma(1.5))
+  * list_sum(list_transform(range(0, 3000), lambda k: exp(lgamma(a + 0.5 + k) - lgamma(a + 0.5) - lgamma(1.5 + k) + lgamma(1.5) + k * ln(y)))) END
+  FROM (SELECT rho * rho AS y, (n - 2) / 2 AS a))"""
+
+
 def put(name: str, *ctes: str, select: str, recursive: bool = False) -> None:
     head = "WITH " + ("RECURSIVE " if recursive else "") + ",".join(ctes) + "\n" if ctes else ""
     ORACLES[name] = head + select.lstrip("\n")
@@ -437,9 +446,10 @@ placed AS (SELECT d.node_type, d.x, d.y, greatest((SELECT count(*) FROM edges e
 SELECT node_type, CAST(bin AS INTEGER) AS bin, count(*) AS n, {r('quantile_cont(x, 0.5)', 'median_x')}, {r('quantile_cont(y, 0.5)', 'median_y')}, {r('quantile_cont(y, 0.25)', 'q25_y')}, {r('quantile_cont(y, 0.75)', 'q75_y')}
 FROM placed GROUP BY node_type, bin""")
 put("spearman", FOREST, SYN, KIDS, ORDERS, DETAIL, _DO, recursive=True, select=f"""
-SELECT node_type, count(*) AS n, {r('corr(rx, ry)', 'rho')} FROM (
+, rho AS (SELECT node_type, count(*) AS n, corr(rx, ry) AS rho FROM (
   SELECT node_type, rank() OVER (PARTITION BY node_type ORDER BY x) + (count(*) OVER (PARTITION BY node_type, x) - 1) / 2 AS rx,
-    rank() OVER (PARTITION BY node_type ORDER BY y) + (count(*) OVER (PARTITION BY node_type, y) - 1) / 2 AS ry FROM dor) GROUP BY node_type""")
+    rank() OVER (PARTITION BY node_type ORDER BY y) + (count(*) OVER (PARTITION BY node_type, y) - 1) / 2 AS ry FROM dor) GROUP BY node_type)
+SELECT node_type, n, {r('rho', 'rho')}, {r(_T_P, 'p_value')} FROM rho""")
 
 # --------------------------------------------------------------- statistics
 _FEATURES = """
@@ -449,17 +459,61 @@ feat AS (
   LEFT JOIN (SELECT neuron, count(*) AS a FROM kids WHERE n_children >= 2 GROUP BY 1) USING (neuron)
   LEFT JOIN (SELECT neuron, count(*) AS b FROM (SELECT p.neuron, p.id FROM forest p JOIN forest c ON c.neuron = p.neuron AND c.parent = p.id
       WHERE p.id % 11 <> 10 AND c.id % 11 <> 10 GROUP BY ALL HAVING count(*) >= 2) GROUP BY 1) USING (neuron))"""
+_MWU = """
+u AS (SELECT count(*) FILTER (g = 1) AS n1, count(*) FILTER (g = 2) AS n2, sum(rk) FILTER (g = 1) - count(*) FILTER (g = 1) * (count(*) FILTER (g = 1) + 1) / 2 AS u FROM ranked),
+ties AS (SELECT sum(c ** 3 - c) AS t FROM (SELECT CAST(count(*) AS DOUBLE) AS c FROM ranked GROUP BY rk)),
+z AS (SELECT *, greatest(greatest(u, n1 * n2 - u) - n1 * n2 / 2 - 0.5, 0) / sqrt(n1 * n2 / 12 * (n1 + n2 + 1 - t / ((n1 + n2) * (n1 + n2 - 1)))) AS z FROM u, ties)"""
 put("avg_rank_mwu", FOREST, KIDS, _FEATURES, select=f"""
 , long AS (SELECT raw AS v, 1 AS g FROM feat UNION ALL SELECT other, 2 FROM feat),
-ranked AS (SELECT g, rank() OVER (ORDER BY v) + (count(*) OVER (PARTITION BY v) - 1) / 2 AS rk FROM long),
-u AS (SELECT count(*) FILTER (g = 1) AS n1, count(*) FILTER (g = 2) AS n2, sum(rk) FILTER (g = 1) - count(*) FILTER (g = 1) * (count(*) FILTER (g = 1) + 1) / 2 AS u FROM ranked)
-SELECT n1, n2, {r('u', 'u')}, {r('2 * u / (n1 * n2) - 1', 'rank_biserial')} FROM u""")
-put("signed_rank_w", FOREST, KIDS, _FEATURES, select=f"""
-, d AS (SELECT repaired - raw AS d FROM feat),
+ranked AS (SELECT g, rank() OVER (ORDER BY v) + (count(*) OVER (PARTITION BY v) - 1) / 2 AS rk FROM long),{_MWU}
+SELECT n1, n2, {r('u', 'u')}, {r('2 * u / (n1 * n2) - 1', 'rank_biserial')}, {r(_NORMAL_P, 'p_value')} FROM z""")
+_SIGNED = """
 w AS (SELECT d, rank() OVER (ORDER BY abs(d)) + (count(*) OVER (PARTITION BY abs(d)) - 1) / 2 AS rk FROM d WHERE d <> 0),
-s AS (SELECT count(*) AS n, coalesce(sum(rk) FILTER (d > 0), 0) AS wp, coalesce(sum(rk) FILTER (d < 0), 0) AS wm FROM w)
-SELECT (SELECT count(*) FROM d) AS n_pairs, n, {r('CAST(wp AS DOUBLE)', 'w_plus')}, {r('CAST(wm AS DOUBLE)', 'w_minus')}, {r('CAST(least(wp, wm) AS DOUBLE)', 'w')},
-  {r('CASE WHEN wp + wm > 0 THEN (wp - wm) / (wp + wm) ELSE 0 END', 'rank_biserial')} FROM s""")
+s AS (SELECT count(*) AS n, coalesce(sum(rk) FILTER (d > 0), 0) AS wp, coalesce(sum(rk) FILTER (d < 0), 0) AS wm, (SELECT count(*) FROM d) AS n_pairs FROM w),
+ties AS (SELECT coalesce(sum(c ** 3 - c), 0) AS t FROM (SELECT CAST(count(*) AS DOUBLE) AS c FROM w GROUP BY rk)),
+z AS (SELECT *, abs(least(wp, wm) - n * (n + 1) / 4) / sqrt(n * (n + 1) * (2 * n + 1) / 24 - t / 48) AS z FROM s, ties),
+ways(step, total, w) AS (SELECT 0, 0, CAST(1 AS DOUBLE)
+  UNION ALL SELECT step + 1, total + a * (step + 1), sum(w) FROM ways, (VALUES (0), (1)) v(a), s WHERE step < n AND n <= 50 GROUP BY 1, 2),
+exact AS (SELECT coalesce(sum(w), 0) / 2.0 ** (SELECT n FROM s) AS half FROM ways WHERE step = (SELECT n FROM s) AND total <= (SELECT least(wp, wm) FROM s))"""
+_SIGNED_P = f"CASE WHEN n = 0 THEN 1 WHEN n <= 50 AND t = 0 AND n = n_pairs THEN least(1, 2 * (SELECT half FROM exact)) ELSE {_NORMAL_P} END"
+put("signed_rank_w", FOREST, KIDS, _FEATURES, recursive=True, select=f"""
+, d AS (SELECT repaired - raw AS d FROM feat),{_SIGNED}
+SELECT n_pairs, n, {r('CAST(wp AS DOUBLE)', 'w_plus')}, {r('CAST(wm AS DOUBLE)', 'w_minus')}, {r('CAST(least(wp, wm) AS DOUBLE)', 'w')},
+  {r('CASE WHEN wp + wm > 0 THEN (wp - wm) / (wp + wm) ELSE 0 END', 'rank_biserial')}, {r(_SIGNED_P, 'p_value')} FROM z""")
+_ADJUSTED = "least(p_value * 3, 1)"
+put("rank_test_p_values", FOREST, KIDS, _FEATURES, recursive=True, select=f"""
+, d AS (SELECT other - raw AS d FROM feat),{_SIGNED},
+signed AS (SELECT 'signed_rank' AS test, CASE WHEN wp + wm > 0 THEN (wp - wm) / (wp + wm) ELSE 0 END AS rank_biserial, {_SIGNED_P} AS p_value FROM z),
+long AS (SELECT raw AS v, 1 AS g FROM feat UNION ALL SELECT other, 2 FROM feat),
+ranked AS (SELECT g, rank() OVER (ORDER BY v) + (count(*) OVER (PARTITION BY v) - 1) / 2 AS rk FROM long),
+{_MWU.replace('ties AS', 'ties2 AS').replace('z AS (', 'z2 AS (').replace('FROM u, ties)', 'FROM u, ties2)')},
+tests AS (SELECT * FROM signed UNION ALL SELECT 'rank_sum', 2 * u / (n1 * n2) - 1, {_NORMAL_P} FROM z2)
+SELECT test, {r('rank_biserial', 'rank_biserial')}, {r('p_value', 'p_value')}, {r(_ADJUSTED, 'p_adjusted')},
+  CASE WHEN {_ADJUSTED} < 0.001 THEN '***' WHEN {_ADJUSTED} < 0.01 THEN '**' WHEN {_ADJUSTED} < 0.05 THEN '*' ELSE 'ns' END AS mark FROM tests""")
+_DELTA = """
+delta AS (SELECT pre_region AS name, post_mean_order - pre_mean_order AS d FROM js WHERE pre_region = post_region)"""
+_FLIPS = """
+flips AS (SELECT draw, round(avg(CASE WHEN md5('0:' || draw || ':' || name) < '8' THEN d ELSE -d END), 9) AS null_mean, round(avg(d), 9) AS seen FROM delta, range(10000) t(draw) GROUP BY draw),
+flip AS (SELECT (SELECT count(*) FROM delta) AS n, (SELECT avg(d) FROM delta) AS mean_delta, (count(*) FILTER (abs(null_mean) >= abs(seen)) + 1) / 10001 AS p FROM flips)"""
+put("sign_permutation_p", LABELLED, _kept("2, 3", True), _DELTA, _FLIPS, recursive=True, select=f"""
+SELECT n, {r('mean_delta', 'mean_delta')}, {r('p', 'permutation_p')} FROM flip""")
+put("pooled_asymmetry", LABELLED, _kept("2, 3", True), _DELTA, _FLIPS, recursive=True, select=f"""
+, d AS (SELECT d FROM delta),{_SIGNED}
+SELECT flip.n, {r('mean_delta', 'mean_delta')}, {r('p', 'permutation_p')}, {r('CAST(least(wp, wm) AS DOUBLE)', 'wilcoxon_w')},
+  {r(_SIGNED_P.replace('n = 0', 'z.n = 0').replace('WHEN n <= 50', 'WHEN z.n <= 50').replace('n = n_pairs', 'z.n = n_pairs'), 'wilcoxon_p')} FROM z, flip""")
+_SIMILAR = """
+sim AS (SELECT pre_region, post_region, 1 - sqrt(js_divergence) AS similarity FROM js)"""
+put("label_permutation_p", LABELLED, _kept("2, 3"), _SIMILAR, recursive=True, select=f"""
+, names AS (SELECT pre_region AS name FROM sim WHERE pre_region = post_region),
+dealt AS (SELECT draw, name, row_number() OVER (PARTITION BY draw ORDER BY name) AS a, row_number() OVER (PARTITION BY draw ORDER BY md5('42:' || draw || ':' || name)) AS b FROM names, range(10000) t(draw)),
+seen AS (SELECT avg(similarity) AS same FROM sim WHERE pre_region = post_region),
+shuffled AS (SELECT x.draw, avg(similarity) AS v FROM dealt x JOIN dealt y ON x.draw = y.draw AND x.a = y.b JOIN sim ON pre_region = x.name AND post_region = y.name GROUP BY x.draw)
+SELECT (SELECT count(*) FROM names) AS n_regions, {r('max(same)', 'mean_same')}, {r('(count(*) FILTER (round(v, 9) >= round(same, 9)) + 1) / 10001', 'permutation_p')} FROM shuffled, seen""")
+put("same_or_different_regions", LABELLED, _kept("2, 3"), _SIMILAR, recursive=True, select=f"""
+, long AS (SELECT round(similarity, 9) AS v, CASE WHEN pre_region = post_region THEN 1 ELSE 2 END AS g FROM sim),
+ranked AS (SELECT g, v, rank() OVER (ORDER BY v) + (count(*) OVER (PARTITION BY v) - 1) / 2 AS rk FROM long),{_MWU}
+SELECT n1, n2, {r('u', 'u')}, {r('2 * u / (n1 * n2) - 1', 'rank_biserial')}, {r(_NORMAL_P, 'p_value')},
+  {', '.join(r(f'(SELECT {f} FROM long WHERE g = {g})', f'{side}_{name}') for g, side in ((1, 'same'), (2, 'different')) for f, name in (('quantile_cont(v, 0.5)', 'median'), ('avg(v)', 'mean')))} FROM z""")
 put("change_summary", FOREST, KIDS, _FEATURES, select=f"""
 SELECT count(*) AS n, {r('avg(abs(repaired - raw))', 'mean_abs_change')}, count(*) FILTER (repaired > raw) AS rises, count(*) FILTER (repaired < raw) AS falls,
   {r('quantile_cont(abs(repaired - raw), 0.5)', 'median_abs_change')} FROM feat""")

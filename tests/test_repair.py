@@ -1,5 +1,6 @@
 """Soma repair, relinking and soma pruning on small trees."""
 
+import hashlib
 import itertools
 import math
 import random
@@ -228,8 +229,36 @@ def test_rank_tests(spark):
     assert (same.n, same.rank_biserial, same.p_value) == (0, 0.0, 1.0)
 
 
-def test_permutations_are_seeded():
-    observed, p = stats.sign_flip_test(np.array([1.0, 2.0, 3.0]), 200, 0)
-    assert observed == 2.0 and 0 < p <= 1 and p == stats.sign_flip_test(np.array([1.0, 2.0, 3.0]), 200, 0)[1]
-    m = np.eye(4)
-    assert stats.label_shuffle_test(m, list("abcd"), 500, 42)[1] < 0.2
+def plain_sign_test(values, draws, seed):
+    names = sorted(values)
+    mean = lambda signs: round(sum(s * values[n] for s, n in zip(signs, names)) / len(names), 9)
+    flip = lambda d, n: 1 if hashlib.md5(f"{seed}:{d}:{n}".encode()).hexdigest() < "8" else -1
+    seen = abs(mean([1] * len(names)))
+    return (1 + sum(abs(mean([flip(d, n) for n in names])) >= seen for d in range(draws))) / (draws + 1)
+
+
+def plain_label_test(similarity, draws, seed):
+    names = sorted({a for a, _ in similarity})
+    seen = round(sum(similarity[n, n] for n in names) / len(names), 9)
+    hits = 0
+    for d in range(draws):
+        dealt = sorted(names, key=lambda n: hashlib.md5(f"{seed}:{d}:{n}".encode()).hexdigest())
+        hits += round(sum(similarity[a, b] for a, b in zip(names, dealt)) / len(names), 9) >= seen
+    return (1 + hits) / (draws + 1)
+
+
+def test_permutations_equal_plain_loops(spark):
+    rng = np.random.default_rng(3)
+    values = {n: float(v) for n, v in zip(("ME", "LO", "AL", "GNG", "EB", "FB", "NO"), rng.normal(0.4, 1, 7))}
+    metrics = spark.createDataFrame([*values.items(), ("ELSEWHERE", 9.0), ("PB", None)], "neuropil string, delta_post_minus_pre double")
+    row = statistics.sign_permutation(metrics, draws=300, seed=5).first()
+    assert (row.n, row.mean_delta) == (7, pytest.approx(np.mean(list(values.values())))) and row.permutation_p == pytest.approx(plain_sign_test(values, 300, 5))
+    assert statistics.sign_permutation(metrics.limit(0)).first()[:] == (0, None, None)
+    names = [f"r{i}" for i in range(6)]
+    similar = {(a, b): float(rng.uniform() + (a == b) * 0.3) for a in names for b in names}
+    pairs = spark.createDataFrame([(a, b, a == b, s) for (a, b), s in similar.items()], "pre_region string, post_region string, same_region boolean, similarity double")
+    row = statistics.label_permutation(pairs, draws=300, seed=8).first()
+    assert row.n_regions == 6 and row.permutation_p == pytest.approx(plain_label_test(similar, 300, 8))
+    assert statistics.label_permutation(pairs.limit(0)).first()[:] == (0, None, None)
+    told = statistics.same_or_different(pairs).first()
+    assert (told.n1, told.n2) == (6, 30) and told.same_mean == pytest.approx(np.mean([similar[n, n] for n in names]), abs=1e-9)

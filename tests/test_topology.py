@@ -101,6 +101,58 @@ def test_cycles_and_long_chain(make, run_length):
     assert topology.root_paths(chain).agg({"hops": "max"}).first()[0] == 2999
 
 
+def ringed_forest(seed, n=150):
+    """A forest in which a few nodes near the roots hang below their own descendants."""
+    rows = random_forest(seed, n, roots=6)
+    rng = random.Random(seed)
+    paths = walk_up(rows)
+    deep = [p for p in paths.values() if len(p) > 6]
+    for path in rng.sample(deep, 3):
+        rows = [(*r[:6], path[0]) if r[0] == path[-1] and r[6] == -1 else r for r in rows]
+    return rows
+
+
+def on_or_below_loop(rows):
+    parent, out = {r[0]: r[6] for r in rows}, set()
+    for node in parent:
+        seen, at = set(), node
+        while at in parent and parent[at] != -1 and at not in seen:
+            seen.add(at)
+            at = parent[at]
+        if at in seen:
+            out.add(node)
+    return out
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_loops_have_no_totals_and_leave_the_rest_alone(make, run_length, seed):
+    groups = {"a": ringed_forest(seed), "b": random_forest(seed + 50), "c": [(7, 0, 1, 2, 3, 1, 7), (8, 0, 1, 2, 3, 1, 7), (9, 0, 0, 0, 0, 1, -1)]}
+    nodes = make(groups)
+    lost = {(n, k) for n, rows in groups.items() for k in on_or_below_loop(rows)}
+    assert lost
+    got = {(r.neuron, r.id): r for r in topology.root_distance(nodes).collect()}
+    cables = {(r.neuron, r.id): r for r in topology.subtree_cable(nodes).collect()}
+    assert {k for k, r in got.items() if r.looped} == lost
+    for key in lost:
+        assert (got[key].root, got[key].hops, got[key].root_distance, cables[key].n_nodes, cables[key].cable_length) == (None,) * 5
+    sizes = {}
+    for n, rows in groups.items():
+        fine = [r for r in rows if (n, r[0]) not in lost]
+        for node, path in walk_up(fine).items():
+            assert got[n, node].hops == len(path) - 1
+            for a in path:
+                sizes[n, a] = sizes.get((n, a), 0) + 1
+    assert {k: r.n_nodes for k, r in cables.items() if k not in lost} == sizes
+
+
+def test_frames_follow_the_rows(make, run_length):
+    nodes = make({f"n{i:03d}": random_forest(i, n=20) for i in range(60)} | {"big": random_forest(99, n=900)})
+    packed = topology.frames(nodes).groupBy("_frame").count().collect()
+    total = sum(r["count"] for r in packed)
+    assert len(packed) >= total / (2 * run_length) and max(r["count"] for r in packed) <= 2 * max(run_length, 16)
+    assert len(packed) <= 1 + 2 * total / run_length
+
+
 def test_reroot(make, run_length):
     rows = [(1, 0, 0, 0, 0, 1, -1), (2, 0, 0, 0, 0, 1, 1), (3, 0, 0, 0, 0, 1, 2), (4, 0, 0, 0, 0, 1, 2), (9, 0, 0, 0, 0, 1, -1)]
     nodes = make(rows)
