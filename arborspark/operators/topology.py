@@ -123,21 +123,22 @@ def _gather(up: np.ndarray, sums: list[np.ndarray], maxes: list[np.ndarray]):
 
 # ------------------------------------------------------------------ plumbing
 
-def frames(nodes: DataFrame) -> DataFrame:
-    """``nodes`` with ``_run`` (stretch of its file) and ``_frame``: runs packed up to ``CHUNK_ROWS`` rows.
+def frames(nodes: DataFrame, run_rows: int | None = None) -> DataFrame:
+    """``nodes`` with ``_run`` (stretch of its file) and ``_frame``: runs packed up to ``run_rows`` (``CHUNK_ROWS``) rows.
 
     The directory has one row per run.  Runs are dealt over racks by hash, enough
     of them for about ``RACK_FRAMES`` frames each, and a running sum of row
     counts within a rack tells a run's frame.
     """
-    run = F.floor(F.col("row_idx") / F.lit(CHUNK_ROWS)).cast("bigint").alias("_run")
+    rows = run_rows or CHUNK_ROWS
+    run = F.floor(F.col("row_idx") / F.lit(rows)).cast("bigint").alias("_run")
     labelled = nodes.select("*", run)
     counted = labelled.groupBy("neuron", "_run").agg(F.count(F.lit(1)).alias("_rows"))
-    racks = counted.agg(F.greatest(F.ceil(F.sum("_rows") / F.lit(RACK_FRAMES * CHUNK_ROWS)), F.lit(1)).alias("_racks"))
+    racks = counted.agg(F.greatest(F.ceil(F.sum("_rows") / F.lit(RACK_FRAMES * rows)), F.lit(1)).alias("_racks"))
     counted = counted.crossJoin(F.broadcast(racks))  # one row
     rack = F.pmod(F.xxhash64("neuron", "_run"), F.col("_racks")).alias("_rack")
     before = Window.partitionBy("_rack").orderBy("neuron", "_run").rowsBetween(Window.unboundedPreceding, 0)
-    place = F.floor((F.sum("_rows").over(before) - F.col("_rows") / 2) / F.lit(CHUNK_ROWS)).cast("bigint")
+    place = F.floor((F.sum("_rows").over(before) - F.col("_rows") / 2) / F.lit(rows)).cast("bigint")
     directory = counted.select("*", rack).select("neuron", "_run", F.struct("_rack", place.alias("_place")).alias("_frame"))
     return labelled.join(directory, ["neuron", "_run"])
 
@@ -157,7 +158,7 @@ def _ddl(df: DataFrame, name: str) -> str:
 
 def traverse(
     nodes: DataFrame, up: Mapping[str, Column] | None = None, carry: Mapping[str, Column] | None = None, stop: Column | None = None,
-    sums: Mapping[str, Column] | None = None, maxes: Mapping[str, Column] | None = None,
+    sums: Mapping[str, Column] | None = None, maxes: Mapping[str, Column] | None = None, run_rows: int | None = None,
 ) -> DataFrame:
     """Paths to the top and subtree totals of every node, in one pass over the frames.
 
@@ -177,7 +178,7 @@ def traverse(
         *[e.cast("double").alias(f"u_{n}") for n, e in up.items()], *[e.cast("double").alias(f"t_{n}") for n, e in carry.items()],
         *[e.cast("double").alias(f"d_{n}") for n, e in [*sums.items(), *maxes.items()]],
     )
-    labelled = frames(work)
+    labelled = frames(work, run_rows)
     kind = _ddl(work, "neuron")
     ups, tops, downs = [f"u_{n}" for n in up], [f"t_{n}" for n in carry], [f"d_{n}" for n in below]
     add, peak = downs[: len(sums)], downs[len(sums) :]
@@ -292,27 +293,27 @@ def _close_totals(local: DataFrame, labelled: DataFrame, paths: DataFrame, add:
     return met.select(*kept, (F.col("ringed") | F.coalesce("_ring", F.lit(False))).alias("ringed"), *[F.coalesce(f"_{c}", c).alias(c) for c in downs])
 
 
-def root_paths(nodes: DataFrame, sums: Sequence[str] = (), stop: Column | None = None, carry: Sequence[str] = ()) -> DataFrame:
+def root_paths(nodes: DataFrame, sums: Sequence[str] = (), stop: Column | None = None, carry: Sequence[str] = (), run_rows: int | None = None) -> DataFrame:
     """``traverse`` upwards: totals of the columns ``sums`` over each path, and ``top_<name>`` for those in ``carry``."""
-    return traverse(nodes, up={c: F.col(c) for c in sums}, carry={f"top_{c}": F.col(c) for c in carry}, stop=stop)
+    return traverse(nodes, up={c: F.col(c) for c in sums}, carry={f"top_{c}": F.col(c) for c in carry}, stop=stop, run_rows=run_rows)
 
 
-def subtree_totals(nodes: DataFrame, sums: Sequence[str] = (), maxes: Sequence[str] = ()) -> DataFrame:
+def subtree_totals(nodes: DataFrame, sums: Sequence[str] = (), maxes: Sequence[str] = (), run_rows: int | None = None) -> DataFrame:
     """Totals and maxima of columns over every node's subtree, the node included; null on and below loops."""
-    return traverse(nodes, sums={c: F.col(c) for c in sums}, maxes={c: F.col(c) for c in maxes}).select("neuron", "id", *sums, *maxes)
+    return traverse(nodes, sums={c: F.col(c) for c in sums}, maxes={c: F.col(c) for c in maxes}, run_rows=run_rows).select("neuron", "id", *sums, *maxes)
 
 
 # ------------------------------------------------------------------- orders
 
-def parent_first_order(nodes: DataFrame, rows: int | None = None, order: Sequence[str] = ("row_idx",)) -> DataFrame:
+def parent_first_order(nodes: DataFrame, rows: int | None = None, order: Sequence[str] = ("row_idx",), run_rows: int | None = None) -> DataFrame:
     """Depth-first position of every node: parents before children, siblings in
     file order, roots in file order.  ``position`` is null for rows that no root
     reaches; ``problem`` names the reason."""
-    sizes = subtree_totals(nodes.withColumn("size", F.lit(1.0)), ["size"])
+    sizes = subtree_totals(nodes.withColumn("size", F.lit(1.0)), ["size"], run_rows=run_rows)
     placed = nodes.join(sizes, KEY)
     placed = ordering.running(placed, ["neuron", "parent"], list(order), {"_upto": F.col("size")}, rows)
     placed = placed.withColumn("offset", F.col("_upto") - F.col("size") + 1)
-    paths = root_paths(placed.withColumn("above", F.col("parent")), ["offset"], carry=["above"])
+    paths = root_paths(placed.withColumn("above", F.col("parent")), ["offset"], carry=["above"], run_rows=run_rows)
     out = nodes.join(paths.withColumnRenamed("offset", "position"), KEY)
     dangling = F.col("top_above") != -1
     return out.select(
@@ -322,12 +323,12 @@ def parent_first_order(nodes: DataFrame, rows: int | None = None, order: Sequenc
     )
 
 
-def branch_order(nodes: DataFrame, soma_only: bool = False) -> DataFrame:
+def branch_order(nodes: DataFrame, soma_only: bool = False, run_rows: int | None = None) -> DataFrame:
     """Branch order of every node: 0 at a soma root, 1 along the first run, plus
     one at every later node that branches and is not a soma."""
     counted = child_counts(nodes)
     step = F.when((F.col("n_children") >= 2) & (F.col("type") != 1), 1).otherwise(0)
-    out = root_paths(counted.withColumn("turns", step), ["turns"], carry=["type", "turns"])
+    out = root_paths(counted.withColumn("turns", step), ["turns"], carry=["type", "turns"], run_rows=run_rows)
     order = (
         F.when(F.col("looped"), F.lit(1))
         .when(F.col("hops") == 0, F.when(F.col("top_type") == 1, 0).otherwise(1))
@@ -341,19 +342,24 @@ def branch_order(nodes: DataFrame, soma_only: bool = False) -> DataFrame:
     return out
 
 
-def root_distance(nodes: DataFrame, scale: float = 1.0) -> DataFrame:
+def root_distance(nodes: DataFrame, scale: float = 1.0, run_rows: int | None = None) -> DataFrame:
     """Cable distance to the root, hop count and the root reached."""
-    paths = root_paths(with_edge_length(nodes, scale), ["edge_length"])
+    paths = root_paths(with_edge_length(nodes, scale), ["edge_length"], run_rows=run_rows)
     return paths.withColumnRenamed("edge_length", "root_distance").withColumnRenamed("top", "root")
 
 
-def subtree_cable(nodes: DataFrame, scale: float = 1.0) -> DataFrame:
+def subtree_cable(nodes: DataFrame, scale: float = 1.0, run_rows: int | None = None) -> DataFrame:
     """Node count and cable below (and including the edge into) every node."""
     measured = with_edge_length(nodes, scale).withColumn("n_nodes", F.lit(1.0))
-    out = subtree_totals(measured, ["edge_length", "n_nodes"])
-    return out.select(
-        "neuron", "id", F.col("edge_length").alias("cable_length"), F.col("n_nodes").cast("bigint").alias("n_nodes")
-    )
+    out = subtree_totals(measured, ["edge_length", "n_nodes"], run_rows=run_rows)
+    return out.select("neuron", "id", F.col("edge_length").alias("cable_length"), F.col("n_nodes").cast("bigint").alias("n_nodes"))
+
+
+def node_measures(nodes: DataFrame, scale: float = 1.0, run_rows: int | None = None) -> DataFrame:
+    """Root, hops and cable to it, and nodes and cable below, of every node in one traversal; null on and below loops."""
+    length = F.col("edge_length")
+    out = traverse(with_edge_length(nodes, scale), up={"root_distance": length}, sums={"n_nodes": F.lit(1.0), "cable_length": length}, run_rows=run_rows)
+    return out.select("neuron", "id", F.col("top").alias("root"), "hops", "root_distance", F.col("n_nodes").cast("bigint").alias("n_nodes"), "cable_length", "looped")
 
 
 def nearest_marked(nodes: DataFrame, mark: Column) -> DataFrame:

@@ -304,6 +304,40 @@ def parent_first_order(spark, folder):
     return topology.parent_first_order(inputs.tangled_forest(spark, folder), rows=inputs.forest(spark, folder).count()).select("neuron", "id", "position")
 
 
+SHORT_RUNS = 64  # rows a run, so that the small forest takes the path of neurons of many runs
+
+
+@query
+def branch_order_short_runs(spark, folder):
+    return topology.branch_order(inputs.forest(spark, folder), run_rows=SHORT_RUNS)
+
+
+@query
+def root_distance_short_runs(spark, folder):
+    return tidy(topology.root_distance(inputs.forest(spark, folder), 1000.0, SHORT_RUNS).select("neuron", "id", "root", "hops", "root_distance"), 4)
+
+
+@query
+def subtree_cable_short_runs(spark, folder):
+    return tidy(topology.subtree_cable(inputs.forest(spark, folder), 1000.0, SHORT_RUNS), 4)
+
+
+@query
+def parent_first_order_short_runs(spark, folder):
+    nodes = inputs.tangled_forest(spark, folder)
+    return topology.parent_first_order(nodes, rows=inputs.forest(spark, folder).count(), run_rows=SHORT_RUNS).select("neuron", "id", "position")
+
+
+@query
+def looped_forest_measures(spark, folder):
+    return tidy(topology.node_measures(inputs.looped_forest(spark, folder), 1000.0), 4)
+
+
+@query
+def looped_forest_measures_short_runs(spark, folder):
+    return tidy(topology.node_measures(inputs.looped_forest(spark, folder), 1000.0, SHORT_RUNS), 4)
+
+
 @query
 def reroot_at_node(spark, folder):
     nodes = inputs.forest(spark, folder)
@@ -334,6 +368,22 @@ def deflection_angle(spark, folder):
     return tidy(morphology.deflection_angles(inputs.forest(spark, folder)).drop("fork"), 4)
 
 
+def _close_up(spark, folder):
+    """The forest at a hundredth of its size: most edges are far below the walked distance."""
+    small = [(F.col(c) / 100.0).alias(c) for c in "xyz"]
+    return inputs.forest(spark, folder).select("neuron", "id", "row_idx", "type", *small, "radius", "parent")
+
+
+@query
+def deflection_close_up(spark, folder):
+    return tidy(morphology.deflection_angles(_close_up(spark, folder)).drop("fork"), 4)
+
+
+@query
+def deflection_close_up_short_runs(spark, folder):
+    return tidy(morphology.deflection_angles(_close_up(spark, folder), run_rows=SHORT_RUNS).drop("fork"), 4)
+
+
 @query
 def deflection_features(spark, folder):
     nodes = inputs.forest(spark, folder)

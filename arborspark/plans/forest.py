@@ -99,6 +99,15 @@ def tangled_forest(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def looped_forest(spark: SparkSession, folder: str) -> DataFrame:
+    """The forest with loops: in every fifth neuron the root hangs under node 40, node 90
+    starts a tree of its own, and node 130 is its own parent."""
+    i, n = F.col("id"), F.col("neuron")
+    odd = n % 5 == 2
+    parent = F.when(odd & (i == 1), 40).when(odd & (i == 90), -1).when(odd & (i == 130), i).otherwise(F.col("parent"))
+    return forest(spark, folder).withColumn("parent", parent.cast("bigint"))
+
+
 def soma_forest(spark: SparkSession, folder: str) -> DataFrame:
     """The forest redrawn around a soma, to exercise soma pruning: nodes 2-14 are
     thick, four thin stubs of six nodes leave them, and node 39 starts the trunk.

@@ -377,6 +377,60 @@ put("reroot_at_node", FOREST, """
 spine AS (SELECT neuron, max(id) AS id, CAST(-1 AS BIGINT) AS tree_parent FROM forest GROUP BY neuron
   UNION ALL SELECT s.neuron, f.parent, s.id FROM spine s JOIN forest f ON f.neuron = s.neuron AND f.id = s.id WHERE f.parent <> -1)""",
     recursive=True, select="SELECT f.neuron, f.id, coalesce(s.tree_parent, f.parent) AS tree_parent FROM forest f LEFT JOIN spine s USING (neuron, id)")
+for _name in ("branch_order", "root_distance", "subtree_cable", "parent_first_order"):
+    ORACLES[f"{_name}_short_runs"] = ORACLES[_name]
+_LOOPED = FOREST.replace("forest AS (", "base AS (") + """,
+forest AS (SELECT * REPLACE (CASE WHEN neuron % 5 = 2 AND id = 1 THEN 40 WHEN neuron % 5 = 2 AND id = 90 THEN -1 WHEN neuron % 5 = 2 AND id = 130 THEN id ELSE parent END AS parent) FROM base)"""
+put("looped_forest_measures", _LOOPED, EDGE, """
+rd AS (SELECT neuron, id, id AS root, CAST(0 AS BIGINT) AS hops, CAST(0 AS DOUBLE) AS d FROM forest WHERE parent = -1
+  UNION ALL SELECT e.neuron, e.id, r.root, r.hops + 1, r.d + e.len FROM rd r JOIN edge e ON e.neuron = r.neuron AND e.parent = r.id),
+anc AS (SELECT neuron, id, id AS a FROM rd
+  UNION ALL SELECT n.neuron, n.id, f.parent FROM anc n JOIN forest f ON f.neuron = n.neuron AND f.id = n.a WHERE f.parent <> -1),
+below AS (SELECT anc.neuron, anc.a AS id, sum(coalesce(len, 0)) AS cable, count(*) AS n_nodes FROM anc LEFT JOIN edge ON edge.neuron = anc.neuron AND edge.id = anc.id GROUP BY 1, 2)""",
+    recursive=True, select=f"""
+SELECT neuron, id, root, hops, {r('d', 'root_distance', 4)}, n_nodes, {r('cable', 'cable_length', 4)}, root IS NULL AS looped FROM forest LEFT JOIN rd USING (neuron, id) LEFT JOIN below USING (neuron, id)""")
+ORACLES["looped_forest_measures_short_runs"] = ORACLES["looped_forest_measures"]
+
+
+def _deflection(scale: int) -> str:
+    """Angles by a walk of one recursion step per hop."""
+    length = lambda a, b: f"sqrt(({a}.x-{b}.x)*({a}.x-{b}.x) + ({a}.y-{b}.y)*({a}.y-{b}.y) + ({a}.z-{b}.z)*({a}.z-{b}.z))"
+    move = lambda name, links: f"""
+  UNION ALL SELECT w.neuron, w.sid, CASE WHEN l.nxt IS NULL OR (l.len > 0 AND w.w + l.len >= 2) THEN NULL ELSE l.nxt END,
+    CASE WHEN l.nxt IS NULL THEN w.w WHEN l.len > 0 AND w.w + l.len >= 2 THEN 2 ELSE w.w + l.len END,
+    {', '.join(f'CASE WHEN l.nxt IS NULL THEN w.{c} WHEN l.len > 0 AND w.w + l.len >= 2 THEN w.{c} + (l.{c} - w.{c}) * (2 - w.w) / l.len ELSE l.{c} END' for c in 'xyz')}
+  FROM {name} w LEFT JOIN {links} l ON l.neuron = w.neuron AND l.id = w.cur WHERE w.cur IS NOT NULL"""
+    return f"""
+um AS (SELECT neuron, id, parent, n_children, x/{scale} AS x, y/{scale} AS y, z/{scale} AS z FROM kids),
+ul AS MATERIALIZED (SELECT c.neuron, c.id, p.id AS nxt, p.x, p.y, p.z, {length('c', 'p')} AS len FROM um c JOIN um p ON p.neuron = c.neuron AND p.id = c.parent),
+turn AS (SELECT c.neuron, m.id, c.id AS nxt, c.x, c.y, c.z, {length('c', 'm')} AS len,
+    CASE WHEN coalesce({length('m', 'g')}, 0) > 0 THEN CASE WHEN {length('c', 'm')} > 0 THEN ({' + '.join(f'(m.{k}-g.{k})*(c.{k}-m.{k})' for k in 'xyz')}) / {length('m', 'g')} / {length('c', 'm')} ELSE CAST('-inf' AS DOUBLE) END ELSE 0 END AS aligned
+  FROM um m JOIN um c ON c.neuron = m.neuron AND c.parent = m.id LEFT JOIN um g ON g.neuron = m.neuron AND g.id = m.parent),
+dl AS MATERIALIZED (SELECT neuron, id, nxt, x, y, z, len FROM turn QUALIFY row_number() OVER (PARTITION BY neuron, id ORDER BY aligned DESC, nxt) = 1),
+up(neuron, sid, cur, w, x, y, z) AS (SELECT f.neuron, f.id, f.id, CAST(0 AS DOUBLE), f.x, f.y, f.z FROM um f SEMI JOIN ul ON ul.neuron = f.neuron AND ul.id = f.id WHERE f.n_children >= 2 {move('up', 'ul')}),
+arriving AS (SELECT f.neuron, f.id AS fork, f.x, f.y, f.z, f.x - u.x AS ax, f.y - u.y AS ay, f.z - u.z AS az FROM up u JOIN um f ON f.neuron = u.neuron AND f.id = u.sid WHERE u.cur IS NULL AND u.w > 0),
+dn(neuron, sid, cur, w, x, y, z) AS (SELECT c.neuron, c.id, CASE WHEN l.len >= 2 THEN NULL ELSE c.id END, least(l.len, 2),
+    {', '.join(f'CASE WHEN l.len >= 2 THEN a.{k} + (c.{k} - a.{k}) * 2 / l.len ELSE c.{k} END' for k in 'xyz')}
+  FROM um c JOIN arriving a ON a.neuron = c.neuron AND a.fork = c.parent JOIN ul l ON l.neuron = c.neuron AND l.id = c.id {move('dn', 'dl')}),
+leaving AS (SELECT d.neuron, d.sid AS child, a.ax, a.ay, a.az, d.x - a.x AS dx, d.y - a.y AS dy, d.z - a.z AS dz
+  FROM dn d JOIN um c ON c.neuron = d.neuron AND c.id = d.sid JOIN arriving a ON a.neuron = d.neuron AND a.fork = c.parent WHERE d.cur IS NULL AND d.w > 0),
+angles AS (SELECT neuron, child, degrees(acos(greatest(least((ax*dx + ay*dy + az*dz) / sqrt(ax*ax + ay*ay + az*az) / sqrt(dx*dx + dy*dy + dz*dz), 1), -1))) AS angle_deg
+  FROM leaving WHERE ax*ax + ay*ay + az*az > 0 AND dx*dx + dy*dy + dz*dz > 0)"""
+
+
+put("deflection_angle", FOREST, KIDS, _deflection(1000), recursive=True, select=f"SELECT neuron, child, {r('angle_deg', 'angle_deg', 4)} FROM angles")
+put("deflection_close_up", FOREST, KIDS, _deflection(100_000), recursive=True, select=f"SELECT neuron, child, {r('angle_deg', 'angle_deg', 4)} FROM angles")
+ORACLES["deflection_close_up_short_runs"] = ORACLES["deflection_close_up"]
+_FEATURE = """
+counted AS (SELECT neuron, count(*) FILTER (n_children >= 2) AS n_branch_points, count(*) FILTER (n_children = 2) AS degree_2, count(*) FILTER (n_children = 3) AS degree_3,
+    count(*) FILTER (n_children = 4) AS degree_4, count(*) FILTER (n_children = 5) AS degree_5, count(*) FILTER (n_children >= 6) AS degree_ge6 FROM kids GROUP BY neuron),
+feature AS (SELECT c.*, coalesce(n, 0) AS n_deflection_angles, mean AS mean_deflection_angle_deg, median AS median_deflection_angle_deg
+  FROM counted c LEFT JOIN (SELECT neuron, count(*) AS n, avg(angle_deg) AS mean, quantile_cont(angle_deg, 0.5) AS median FROM angles GROUP BY neuron) USING (neuron))"""
+put("deflection_features", FOREST, KIDS, _deflection(1000), _FEATURE, recursive=True, select=f"""
+SELECT * REPLACE (round(mean_deflection_angle_deg, 4) + 0.0 AS mean_deflection_angle_deg, round(median_deflection_angle_deg, 4) + 0.0 AS median_deflection_angle_deg) FROM feature""")
+put("deflection_summary", FOREST, KIDS, _deflection(1000), _FEATURE, recursive=True, select=f"""
+SELECT neuron % 3 AS dataset, count(*) AS n_neurons, CAST(sum(n_branch_points) AS BIGINT) AS n_branch_points, CAST(sum(n_deflection_angles) AS BIGINT) AS n_angles,
+  {r('avg(mean_deflection_angle_deg)', 'mean_neuron_angle', 4)}, {r('quantile_cont(mean_deflection_angle_deg, 0.5)', 'median_neuron_angle', 4)} FROM feature GROUP BY 1""")
 _PROX = """
 small AS (SELECT * REPLACE (x/20 AS x, y/20 AS y, z/20 AS z) FROM kids),
 rd AS (SELECT neuron, id, CAST(0 AS FLOAT) AS d FROM small WHERE parent = -1 AND type = 1
