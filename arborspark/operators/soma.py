@@ -9,27 +9,18 @@ that does not grow with the neuron.
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from arborspark.operators import ordering, topology
 from arborspark.operators.repair import retype_zero_five
+from arborspark.operators.soma_growth import Rules, core_of
 from arborspark.schema import NM_PER_UM
 from arborspark.session import land
 
-# Fixed values of the soma detection.
-NEURITE_RATIO = 1.5
-SOMA_RATIO = 2.0
-ZONE_UM = 20.0
-NEAR_WINDOW, NEAR_MIN, NEAR_SHARE = 5, 4, 0.80
-AHEAD_WINDOW, AHEAD_MIN, AHEAD_SHARE = 10, 6, 0.75
-MIN_SAMPLES = 3
-EPS_QUANTILE, EPS_FACTOR, CORE_FACTOR = 0.30, 2.0, 8.0
-PATH_SHARE, PATH_ALLOWANCE = 0.40, 2
-MAX_ROUNDS, MAX_SEARCHED = 20, 10_000
-SMALL_CABLE_UM, SMALL_REACH_UM, SMALL_RATIO = 20.0, 5.0, 1.8
+# Fixed values of the soma pruning.
+NEURITE_RATIO, SOMA_RATIO = Rules.neurite_ratio, Rules.soma_ratio
+ZONE_UM, AHEAD_WINDOW = Rules.zone_um, Rules.ahead[0]
 MAX_SPAN_RATIO = 0.10
 MAJOR_RATIO = 0.30
 LONG_EXIT_SPANS = 5.0
@@ -97,195 +88,7 @@ def node_facts(nodes: DataFrame, roots: DataFrame, rows: int | None = None) -> D
 
 # ------------------------------------------------------------- core growth
 
-def _pairwise(a: np.ndarray, b: np.ndarray):
-    """Distance rows of ``a`` against ``b`` in slices of bounded size."""
-    step = max(1, 4_000_000 // max(len(b), 1))
-    for start in range(0, len(a), step):
-        part = a[start:start + step]
-        yield start, np.sqrt(((part[:, None, :] - b[None, :, :]) ** 2).sum(axis=2))
-
-
-def _density_clusters(points: np.ndarray, eps: float) -> np.ndarray:
-    """DBSCAN labels; a point counts itself, border points join the first cluster."""
-    near = [None] * len(points)
-    for start, rows in _pairwise(points, points):
-        for i, row in enumerate(rows <= eps):
-            near[start + i] = np.flatnonzero(row)
-    dense = np.array([len(n) >= MIN_SAMPLES for n in near])
-    label = np.full(len(points), -1)
-    found = 0
-    for seed in np.flatnonzero(dense):
-        if label[seed] >= 0:
-            continue
-        label[seed], queue = found, [seed]
-        while queue:
-            for j in near[queue.pop()]:
-                if label[j] < 0:
-                    label[j] = found
-                    if dense[j]:
-                        queue.append(j)
-        found += 1
-    return label
-
-
-class _Zone:
-    """The surroundings of one soma as arrays in file order."""
-
-    def __init__(self, pdf: pd.DataFrame):
-        pdf = pdf.sort_values("row_idx", kind="stable")
-        self.ids = pdf["id"].to_numpy()
-        self.xyz = pdf[["x", "y", "z"]].to_numpy(float)
-        self.dist, self.edge = pdf["soma_dist"].to_numpy(float), pdf["edge_length"].to_numpy(float)
-        self.ratio, self.radius = pdf["ratio"].to_numpy(float), pdf["radius"].to_numpy(float)
-        self.up = topology._parent_rows(pdf["neuron"], self.ids, pdf["parent"].to_numpy())
-        self.soma = int(np.flatnonzero(pdf["type"].to_numpy() == 1)[0])
-        n = len(self.ids)
-        self.kids: list[list[int]] = [[] for _ in range(n)]
-        for i, p in enumerate(self.up):
-            if p >= 0:
-                self.kids[p].append(i)
-        cable = pdf["cable"].to_numpy(float)
-        self.next = np.array([max(k, key=lambda c: cable[c]) if k else n for k in self.kids] + [n])
-        self.exit_like = self._exit_like()
-
-    def _exit_like(self) -> np.ndarray:
-        """Nodes from which the dominant path ahead looks like a thin neurite."""
-        n = len(self.ids)
-        ratio = np.append(self.ratio, np.nan)
-        path = np.empty((n, AHEAD_WINDOW), dtype=int)
-        path[:, 0] = np.arange(n)
-        for step in range(1, AHEAD_WINDOW):
-            path[:, step] = self.next[path[:, step - 1]]
-        values = ratio[path]
-
-        def thin(block: np.ndarray, least: int, share: float) -> np.ndarray:
-            known = np.isfinite(block)
-            count = known.sum(axis=1)
-            enough = count >= least
-            out = np.zeros(n, bool)
-            sub = block[enough]
-            low = (np.where(np.isfinite(sub), sub, np.inf) <= NEURITE_RATIO).sum(axis=1) / count[enough]
-            out[enough] = (np.nanmedian(sub, axis=1) <= NEURITE_RATIO) & (low >= share) if enough.any() else False
-            return out
-
-        thick = np.isfinite(self.ratio) & (self.ratio >= SOMA_RATIO)
-        return ~thick & thin(values[:, :NEAR_WINDOW], NEAR_MIN, NEAR_SHARE) & thin(values, AHEAD_MIN, AHEAD_SHARE)
-
-    def scan(self, core: set[int]) -> tuple[list[int], bool]:
-        """Exit-like nodes met first on every way out of the core, in preorder."""
-        frontier = sorted(c for node in core for c in self.kids[node] if c not in core)
-        stack, found, seen = frontier[::-1], [], 0
-        while stack:
-            node = stack.pop()
-            if node in core or self.dist[node] > ZONE_UM:
-                continue
-            seen += 1
-            if seen > MAX_SEARCHED:
-                return found, True
-            if self.exit_like[node]:
-                found.append(node)
-            else:
-                stack.extend(c for c in reversed(self.kids[node]) if c not in core and self.dist[c] <= ZONE_UM)
-        return found, False
-
-    def way_to(self, core: set[int], node: int) -> list[int]:
-        way = []
-        while node >= 0 and node not in core:
-            way.append(node)
-            node = self.up[node]
-        return way if node >= 0 else []
-
-    def soma_like_way(self, way: list[int]) -> bool:
-        thin = sum(1 for w in way if self.ratio[w] <= NEURITE_RATIO)
-        allowed = max(PATH_ALLOWANCE, int(np.ceil(len(way) * PATH_SHARE)))
-        return bool(way) and all(self.dist[w] <= ZONE_UM for w in way) and thin <= allowed
-
-    def absorbable(self, core: set[int], found: list[int]) -> list[int]:
-        """Members of the best cluster of exit-like nodes that belong to the soma."""
-        if len(found) < MIN_SAMPLES:
-            return []
-        at = np.array(found)
-        points = self.xyz[at]
-        closest = np.concatenate([np.partition(d, 1, axis=1)[:, 1] for _, d in _pairwise(points, points)])
-        closest = closest[np.isfinite(closest) & (closest > 0)]
-        if not len(closest):
-            return []
-        eps = float(np.quantile(closest, EPS_QUANTILE)) * EPS_FACTOR
-        if not np.isfinite(eps) or eps <= 0:
-            return []
-        label = _density_clusters(points, eps)
-        core_points = self.xyz[sorted(core)]
-        to_core = np.concatenate([d.min(axis=1) for _, d in _pairwise(points, core_points)])
-        best = None
-        for cluster in range(label.max() + 1):
-            member = label == cluster
-            accepted = [int(a) for a in at[member] if self.soma_like_way(self.way_to(core, int(a)))]
-            if len(accepted) < MIN_SAMPLES or to_core[member].min() > CORE_FACTOR * eps:
-                continue
-            spread = np.linalg.norm(points[member] - points[member].mean(axis=0), axis=1)
-            rank = (float(np.median(to_core[member])), -len(accepted), float(np.median(spread)))
-            if best is None or rank < best[0]:
-                best = (rank, accepted)
-        return best[1] if best else []
-
-    def grow(self) -> tuple[set[int], bool, bool]:
-        """(core, search truncated, stopped by the round limit)."""
-        core, truncated, rounds, last_found = {self.soma}, False, 0, False
-        while rounds < MAX_ROUNDS:
-            rounds += 1
-            found, cut = self.scan(core)
-            truncated |= cut
-            members = self.absorbable(core, found)
-            last_found = bool(members)
-            added = {w for m in members for w in self.way_to(core, m)}
-            if not added:
-                break
-            core |= added
-        found, cut = self.scan(core)
-        limited = rounds >= MAX_ROUNDS and last_found
-        truncated |= cut or (rounds >= MAX_ROUNDS and bool(self.absorbable(core, found)))
-        return core, truncated, limited
-
-    def thick_neighbours(self) -> set[int]:
-        """Fallback for small somas: thick nodes connected to the soma close by."""
-        core, queue = {self.soma}, [(c, self.edge[c]) for c in self.kids[self.soma]]
-        for node, cable in queue:
-            if node in core or cable > SMALL_CABLE_UM or self.dist[node] > SMALL_REACH_UM or not self.ratio[node] >= SMALL_RATIO:
-                continue
-            core.add(node)
-            queue.extend((c, cable + self.edge[c]) for c in self.kids[node])
-        return core
-
-    def span(self, core: set[int]) -> float:
-        """Largest centre distance plus both radii over the core."""
-        at = sorted(core)
-        r = self.radius[at]
-        r = np.where(np.isfinite(r) & (r > 0), r, 0.0)
-        widest = 2.0 * float(r.max())
-        points = self.xyz[at]
-        for start, d in _pairwise(points, points):
-            reach = d + r[start:start + len(d), None] + r[None, :]
-            reach[np.arange(len(d)), start + np.arange(len(d))] = 0.0
-            widest = max(widest, float(reach.max()))
-        return widest
-
-
-def _core_of(pdf: pd.DataFrame) -> pd.DataFrame:
-    zone = _Zone(pdf)
-    core, truncated, limited = zone.grow()
-    fallback = 0
-    if len(core) == 1:
-        core = zone.thick_neighbours()
-        fallback = len(core) - 1
-    return pd.DataFrame(
-        {
-            "neuron": pdf["neuron"].iloc[0], "id": zone.ids[sorted(core)], "soma_span_um": zone.span(core),
-            "fallback_added": fallback, "search_truncated": truncated, "growth_limited": limited,
-        }
-    )
-
-
-def soma_core(facts: DataFrame) -> DataFrame:
+def soma_core(facts: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """Core nodes of every neuron with the growth facts repeated on each row."""
     inside = facts.filter(F.col("connected") & (F.col("soma_dist") <= ZONE_UM))
     reached = topology.root_paths(inside, carry=["type"]).filter("top_type = 1").select("neuron", "id", F.lit(True).alias("_in"))
@@ -296,7 +99,7 @@ def soma_core(facts: DataFrame) -> DataFrame:
     )
     kind = facts.schema["neuron"].dataType.simpleString()
     return view.groupBy("neuron").applyInPandas(
-        _core_of,
+        lambda pdf: core_of(pdf, rules),
         f"neuron {kind}, id bigint, soma_span_um double, fallback_added bigint, search_truncated boolean, growth_limited boolean",
     )
 

@@ -6,11 +6,12 @@ import math
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from arborspark.functions import stats
-from arborspark.operators import relink, repair, soma, statistics, topology
+from arborspark.operators import relink, repair, soma, soma_growth, statistics, topology
 
 
 def star(lengths, radius=1.0):
@@ -187,9 +188,117 @@ def test_soma_pruning(make):
     assert orphans.count() == 0
 
 
+def plain_clusters(points, eps, least):
+    """Density clusters by growing one after the other from all pairs."""
+    near = [[j for j, q in enumerate(points) if math.dist(p, q) <= eps] for p in points]
+    label, found = {}, 0
+    for i in range(len(points)):
+        if i in label or len(near[i]) < least:
+            continue
+        todo = [i]
+        label[i] = found
+        for at in todo:
+            if len(near[at]) >= least:
+                for j in near[at]:
+                    if j not in label:
+                        label[j] = found
+                        todo.append(j)
+        found += 1
+    return [label.get(i, -1) for i in range(len(points))]
+
+
 def test_density_clusters():
     line = np.array([[0.0, 0, 0], [1, 0, 0], [2, 0, 0], [10, 0, 0], [11, 0, 0], [12, 0, 0], [30, 0, 0]])
-    assert list(soma._density_clusters(line, 1.0)) == [0, 0, 0, 1, 1, 1, -1]
+    assert list(soma_growth.grid_clusters(line, 1.0, 3)) == [0, 0, 0, 1, 1, 1, -1]
+    rng = np.random.default_rng(2)
+    for n in (1, 5, 40, 150, 300):
+        for eps in (0.3, 1.0, 2.5):
+            points = np.round(rng.normal(0, 3, (n, 3)), 1)
+            assert list(soma_growth.grid_clusters(points, eps, 3)) == plain_clusters(points.tolist(), eps, 3)
+    chain = np.c_[np.arange(3000) * 0.9, np.zeros((3000, 2))]
+    assert set(soma_growth.grid_clusters(chain, 1.0, 3)) == {0}
+
+
+def plain_core(rows, rules):
+    """Core growth node by node with sets; rows: id -> (parent, xyz, edge, cable, soma distance, ratio), soma first."""
+    kids = {i: [c for c in rows if rows[c][0] == i] for i in rows}
+    ratio = {i: r[5] for i, r in rows.items()}
+
+    def thin_ahead(node):
+        path = [node]
+        while len(path) < 10 and kids[path[-1]]:
+            path.append(max(kids[path[-1]], key=lambda c: rows[c][3]))
+        if ratio[node] >= 2:
+            return False
+        for length, least, share in ((5, 4, 0.8), (10, 6, 0.75)):
+            told = [ratio[p] for p in path[:length] if not math.isnan(ratio[p])]
+            if len(told) < least or np.median(told) > 1.5 or sum(v <= 1.5 for v in told) / len(told) < share:
+                return False
+        return True
+
+    soma_id = next(iter(rows))
+    core = {soma_id}
+    while True:
+        found, ways = [], {}
+        for gate in sorted(c for i in core for c in kids[i] if c not in core):
+            todo = [(gate, [gate])]
+            while todo:
+                node, way = todo.pop()
+                if rows[node][4] > 20:
+                    continue
+                if thin_ahead(node):
+                    found.append(node)
+                    ways[node] = way
+                else:
+                    todo += [(c, [*way, c]) for c in reversed(kids[node]) if c not in core]
+        best = None
+        if len(found) >= 3:
+            points = [rows[f][1] for f in found]
+            gaps = [g for i, p in enumerate(points) if (g := min(math.dist(p, q) for j, q in enumerate(points) if j != i)) > 0]
+            eps = 2 * float(np.quantile(gaps, 0.3)) if gaps else 0
+            if eps > 0:
+                label = plain_clusters(points, eps, 3)
+                to_core = [min(math.dist(p, rows[c][1]) for c in core) for p in points]
+                for k in range(max(label) + 1):
+                    own = [i for i in range(len(found)) if label[i] == k]
+                    good = [found[i] for i in own if sum(ratio[w] <= 1.5 for w in ways[found[i]]) <= max(2, math.ceil(0.4 * len(ways[found[i]])))]
+                    if len(good) >= 3 and min(to_core[i] for i in own) <= 8 * eps:
+                        middle = np.mean([points[i] for i in own], axis=0)
+                        rank = (float(np.median([to_core[i] for i in own])), -len(good), float(np.median([math.dist(points[i], middle) for i in own])), k)
+                        if best is None or rank < best[0]:
+                            best = (rank, good)
+        if best is None:
+            break
+        core |= {w for g in best[1] for w in ways[g]}
+    if len(core) == 1:
+        todo = [(c, rows[c][2]) for c in kids[soma_id]]
+        for node, cable in todo:
+            if cable <= 20 and rows[node][4] <= 5 and ratio[node] >= 1.8:
+                core.add(node)
+                todo += [(c, cable + rows[c][2]) for c in kids[node]]
+    return core
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_core_growth_equals_plain_sets(seed):
+    rng = random.Random(seed)
+    n = rng.choice([3, 30, 120, 250])
+    at, parent = {0: (0.0, 0.0, 0.0)}, {0: -1}
+    step = rng.choice([0.3, 0.8])
+    for i in range(1, n):
+        parent[i] = rng.choice([i - 1] * 6 + [rng.randrange(i)] * rng.choice([1, 3]))
+        at[i] = tuple(c + rng.gauss(0, step) for c in at[parent[i]])
+    edge = {i: math.dist(at[i], at[max(parent[i], 0)]) for i in at}
+    cable = dict(edge)
+    for i in range(n - 1, 0, -1):
+        cable[parent[i]] += cable[i]
+    thick = rng.choice([0.3, 0.6])
+    ratio = {i: float("nan") if i == 0 or rng.random() < 0.05 else (rng.uniform(1.6, 4) if rng.random() < thick * math.exp(-math.dist(at[i], at[0]) / 3) else rng.uniform(0.5, 1.6)) for i in at}
+    rows = {i: (parent[i], at[i], edge[i], cable[i], math.dist(at[i], at[0]), ratio[i]) for i in at}
+    pdf = pd.DataFrame([("n", i, i, p, 1 if i == 0 else 0, *xyz, 1.0, e, c, d, r) for i, (p, xyz, e, c, d, r) in rows.items()],
+        columns=["neuron", "id", "row_idx", "parent", "type", "x", "y", "z", "radius", "edge_length", "cable", "soma_dist", "ratio"])
+    got = soma_growth.core_of(pdf.sample(frac=1, random_state=seed))
+    assert set(got["id"]) == plain_core(rows, soma_growth.Rules())
 
 
 def test_release_rules(make):
