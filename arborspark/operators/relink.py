@@ -5,6 +5,11 @@ what it changes lies there too.  Two such nodes can influence each other only
 when one is at most nine steps below the other, so the work splits into
 clusters of mutually reachable nodes.  Each cluster, with the few nodes in
 view, is one group; nothing larger than that is ever gathered.
+
+Within a cluster every node keeps its branch, hops and path from the node being
+resolved, and moves are entries of a cost matrix, branches by anchors.  A move
+shifts the moved branch's hops and paths by one number each and drops one row
+and one column; only the branch that takes it is measured anew.
 """
 
 from __future__ import annotations
@@ -25,7 +30,8 @@ MAX_HOPS, MAX_PATH_UM = 8, 8.0
 DIRECTION_HOPS, DIRECTION_UM = 8, 8.0
 W_PATH, W_ANGLE, W_LENGTH, W_CROSSING = 0.45, 0.35, 0.15, 0.05
 CROSSING_TOLERANCE_UM = 0.05
-VIEW_HOPS = max(MAX_HOPS, DIRECTION_HOPS) + 1
+LOOK_HOPS = max(MAX_HOPS, DIRECTION_HOPS) + 1
+VIEW_HOPS = LOOK_HOPS + 1  # and the edges that leave what is looked at
 
 
 def clusters(nodes: DataFrame) -> DataFrame:
@@ -38,137 +44,174 @@ def clusters(nodes: DataFrame) -> DataFrame:
     targets = counted.filter("is_target").select("neuron", "id", "parent")
     higher = above.select("neuron", F.col("id").alias("parent"), F.col("marked").alias("higher"), F.col("marked_hops").alias("h"))
     linked = targets.join(higher, ["neuron", "parent"], "left")
-    heads = linked.filter(F.col("higher").isNull() | (F.col("h") + 1 > VIEW_HOPS)).select("neuron", "id", F.lit(True).alias("_head"))
+    heads = linked.filter(F.col("higher").isNull() | (F.col("h") + 1 > LOOK_HOPS)).select("neuron", "id", F.lit(True).alias("_head"))
     marked = counted.join(heads, ["neuron", "id"], "left")
     cluster_of = topology.nearest_marked(marked, F.col("_head")).select("neuron", F.col("id").alias("marked"), F.col("marked").alias("cluster"))
     view = above.filter(F.col("marked_hops") <= VIEW_HOPS).join(cluster_of, ["neuron", "marked"])
-    return counted.join(view.select("neuron", "id", "cluster"), ["neuron", "id"])
-
-
-def _unit(v: np.ndarray) -> np.ndarray:
-    n = float(np.linalg.norm(v))
-    return v / n if n > 1e-12 else np.zeros(3)
-
-
-def _segment_gap(p0, p1, q0, q1) -> float:
-    """Smallest distance between two segments."""
-    best = np.inf
-    for a, b, others in ((p0, p1, (q0, q1)), (q0, q1, (p0, p1))):
-        d = b - a
-        dd = float(d @ d)
-        for o in others:
-            t = min(1.0, max(0.0, float((o - a) @ d) / dd)) if dd > 0 else 0.0
-            best = min(best, float(np.linalg.norm(a + t * d - o)))
+    parents = counted.select("neuron", F.col("id").alias("parent"), *[F.col(c).alias(f"p_{c}") for c in "xyz"])
+    return counted.join(view.select("neuron", "id", "cluster"), ["neuron", "id"]).join(parents, ["neuron", "parent"], "left")
+
+
+def _units(v: np.ndarray) -> np.ndarray:
+    """Vectors scaled to length one; shorter than 1e-12 they become zero."""
+    size = np.sqrt((v**2).sum(axis=-1, keepdims=True))
+    return np.where(size > 1e-12, v / np.where(size > 1e-12, size, 1.0), 0.0)
+
+
+def segment_gaps(p0: np.ndarray, p1: np.ndarray, q0: np.ndarray, q1: np.ndarray) -> np.ndarray:
+    """Smallest distances between segments p and q, row by row: ends to segments, or the crossing of their lines."""
+    dot = lambda a, b: (a * b).sum(axis=-1)
+    size = lambda a: np.sqrt(dot(a, a))
+    out = np.full(np.broadcast_shapes(p0.shape, q0.shape)[:-1], np.inf)
+    for start, end, others in ((p0, p1, (q0, q1)), (q0, q1, (p0, p1))):
+        along = end - start
+        square = dot(along, along)
+        for other in others:
+            share = np.clip(dot(other - start, along) / np.where(square > 0, square, 1.0), 0.0, 1.0)
+            out = np.minimum(out, size(start + share[..., None] * along - other))
     u, v, w = p1 - p0, q1 - q0, p0 - q0
-    a, b, c, d, e = u @ u, u @ v, v @ v, u @ w, v @ w
+    a, b, c, d, e = dot(u, u), dot(u, v), dot(v, v), dot(u, w), dot(v, w)
     det = a * c - b * b
-    if det > 1e-15:
-        s, t = (b * e - c * d) / det, (a * e - b * d) / det
-        if 0 <= s <= 1 and 0 <= t <= 1:
-            best = min(best, float(np.linalg.norm(w + s * u - t * v)))
-    return best
+    fine = det > 1e-15
+    det = np.where(fine, det, 1.0)
+    s, t = (b * e - c * d) / det, (a * e - b * d) / det
+    inner = fine & (s >= 0) & (s <= 1) & (t >= 0) & (t <= 1)
+    return np.where(inner, np.minimum(out, size(w + s[..., None] * u - t[..., None] * v)), out)
+
+
+class _View:
+    """What one multifurcation sees: its branches, level by level, and the cost of every move."""
+
+    def __init__(self, cluster: _Cluster, source: int):
+        self.c, self.source = cluster, source
+        rows, branch, hop, path, over = [], [], [], [], []
+        level = [(k, b, -1) for b, k in enumerate(cluster.kids[source])]
+        for depth in range(1, VIEW_HOPS + 1):
+            at = len(rows)
+            for k, b, above in level:
+                start = 0.0 if above < 0 else path[above]
+                rows.append(k)
+                branch.append(b)
+                hop.append(depth)
+                over.append(above)
+                path.append(start + float(np.linalg.norm(cluster.xyz[k] - cluster.xyz[source if above < 0 else rows[above]])))
+            level = [(g, b, at + i) for i, (k, b, _) in enumerate(level) for g in cluster.kids.get(k, ())]
+            if not level:
+                break
+        self.rows, self.branch, self.hop = np.array(rows), np.array(branch), np.array(hop)
+        self.path, self.over = np.array(path), np.array(over)
+        self.n_kids = np.array([len(cluster.kids.get(k, ())) for k in rows])
+        self.heads = np.array(cluster.kids[source])
+        self.live = np.ones(len(self.heads), dtype=bool)
+        reach = (self.hop <= MAX_HOPS) & (self.path <= MAX_PATH_UM)
+        self.anchors = np.flatnonzero(reach & (self.n_kids == 1) & ~np.isin(cluster.type[self.rows], EXCLUDED_TYPES))
+        here, place = cluster.xyz[self.heads], cluster.xyz[self.rows[self.anchors]]
+        self.old_edge = np.sqrt(((here - cluster.xyz[source]) ** 2).sum(axis=1))
+        self.new_edge = np.sqrt(((here[:, None] - place[None]) ** 2).sum(axis=2))
+        self.angle = np.zeros(self.new_edge.shape)
+        for b in range(len(self.heads)):
+            self._aim(b)
+
+    def _aim(self, b: int) -> None:
+        """Turning cost of branch ``b`` at every anchor, by the point 8 micrometres along its unbranched run."""
+        xyz, own = self.c.xyz, np.flatnonzero(self.branch == b)
+        head = own[self.rows[own] == self.heads[b]][0]
+        run, below = [head], {int(self.over[i]): int(i) for i in own if self.over[i] >= 0}
+        while len(run) <= DIRECTION_HOPS and self.n_kids[run[-1]] == 1 and run[-1] in below:
+            run.append(below[run[-1]])
+        points, path = xyz[self.rows[run]], self.path[run]
+        point = np.array([np.interp(DIRECTION_UM, path, points[:, k]) for k in range(3)])
+        cosine = _units(point - xyz[self.rows[self.anchors]]) @ _units(point - xyz[self.source])
+        self.angle[b] = 0.5 * (1.0 - np.clip(cosine, -1.0, 1.0))
+
+    def _crossings(self) -> np.ndarray:
+        """For every move, how near its new edge comes to the edges in view that it doesn't touch, 1 at contact."""
+        c, kept = self.c, (self.hop <= MAX_HOPS) & (self.path <= MAX_PATH_UM)
+        near = np.append(self.rows[(self.over < 0) | kept[self.over]], self.source)
+        ends = np.union1d(near, self.rows[np.isin(c.up_of(self.rows), near)])
+        ends = ends[c.has_parent[ends]]
+        out = np.zeros(self.new_edge.shape)
+        low, high = np.minimum(c.xyz[ends], c.above[ends]) - CROSSING_TOLERANCE_UM, np.maximum(c.xyz[ends], c.above[ends]) + CROSSING_TOLERANCE_UM
+        for b in np.flatnonzero(self.live):
+            head = self.heads[b]
+            for column, anchor in enumerate(self.rows[self.anchors]):
+                p, q = c.xyz[anchor], c.xyz[head]
+                meet = ((np.minimum(p, q) <= high) & (np.maximum(p, q) >= low)).all(axis=1)
+                meet &= ~np.isin(ends, (anchor, head)) & ~np.isin(c.up_of(ends), (anchor, head))
+                if meet.any():
+                    gap = segment_gaps(p[None], q[None], c.xyz[ends[meet]], c.above[ends[meet]]).min()
+                    out[b, column] = max(0.0, 1.0 - gap / CROSSING_TOLERANCE_UM)
+        return out
+
+    def cheapest(self) -> dict | None:
+        """The move of least cost; by path, new edge and ids among equals."""
+        c, at = self.c, self.anchors
+        open_to = (self.n_kids[at] == 1) & (self.hop[at] <= MAX_HOPS) & (self.path[at] <= MAX_PATH_UM)
+        allowed = self.live[:, None] & open_to[None, :] & (self.branch[at][None, :] != np.arange(len(self.heads))[:, None])
+        if not allowed.any():
+            return None
+        length = np.maximum(0.0, self.new_edge - self.old_edge[:, None]) / MAX_PATH_UM
+        crossing = self._crossings() if c.check_crossing else np.zeros(length.shape)
+        cost = W_PATH * (self.path[at] / MAX_PATH_UM)[None, :] + W_ANGLE * self.angle + W_LENGTH * length + W_CROSSING * crossing
+        least = np.argwhere(allowed & (cost == cost[allowed].min()))
+        b, k = min(least, key=lambda m: (self.path[at[m[1]]], self.new_edge[m[0], m[1]], c.ids[self.heads[m[0]]], c.ids[self.rows[at[m[1]]]]))
+        anchor = at[k]
+        return {
+            "branch": b, "anchor": anchor, "moved_child": c.ids[self.heads[b]], "new_parent": c.ids[self.rows[anchor]],
+            "anchor_root": c.ids[self.heads[self.branch[anchor]]], "anchor_hops": int(self.hop[anchor]), "anchor_path_distance_um": float(self.path[anchor]),
+            "anchor_original_type": int(c.type[self.rows[anchor]]), "original_edge_um": float(self.old_edge[b]), "new_edge_um": float(self.new_edge[b, k]),
+            "angular_cost": float(self.angle[b, k]), "length_cost": float(length[b, k]), "crossover_cost": float(crossing[b, k]), "total_cost": float(cost[b, k]),
+        }
+
+    def move(self, b: int, anchor: int, new_edge: float) -> None:
+        """Hang branch ``b`` under ``anchor``: its nodes join the anchor's branch, farther by one stretch."""
+        own = self.branch == b
+        taker = self.branch[anchor]
+        head = np.flatnonzero(own & (self.rows == self.heads[b]))[0]
+        self.path[own] += self.path[anchor] + new_edge - self.old_edge[b]
+        self.hop[own] += self.hop[anchor]
+        self.branch[own], self.over[head] = taker, anchor
+        self.n_kids[anchor] += 1
+        self.live[b] = False
+        self.c.rehang(int(self.heads[b]), self.source, int(self.rows[anchor]))
+        self._aim(int(taker))
 
 
 class _Cluster:
+    """Nodes in view of some multifurcations, in file order."""
+
     def __init__(self, pdf: pd.DataFrame, check_crossing: bool):
         pdf = pdf.sort_values("row_idx", kind="stable")
-        self.at = dict(zip(pdf["id"].tolist(), pdf[["x", "y", "z"]].to_numpy(float) / NM_PER_UM))
-        self.type = dict(zip(pdf["id"].tolist(), pdf["type"].tolist()))
-        self.targets = pdf.loc[pdf["is_target"], "id"].tolist()
-        self.parent = dict(zip(pdf["id"].tolist(), pdf["parent"].tolist()))
+        self.ids, self.type = pdf["id"].to_numpy(), pdf["type"].to_numpy().copy()
+        self.xyz = pdf[["x", "y", "z"]].to_numpy(float) / NM_PER_UM
+        self.above = pdf[["p_x", "p_y", "p_z"]].to_numpy(float) / NM_PER_UM
+        self.has_parent = ~np.isnan(self.above).any(axis=1)
+        self.up = topology._parent_rows(pdf["neuron"], self.ids, pdf["parent"].to_numpy())
         self.kids: dict[int, list[int]] = {}
-        for i, p in self.parent.items():
-            if p != -1:
-                self.kids.setdefault(p, []).append(i)
-        self.check_crossing = check_crossing
-
-    def gap(self, a: int, b: int) -> float:
-        return float(np.linalg.norm(self.at[a] - self.at[b]))
-
-    def direction_point(self, start: int, source: int) -> np.ndarray:
-        """Point along the unbranched run of a branch, at most 8 um or 8 steps out."""
-        here, gone = start, self.gap(start, source)
-        for _ in range(DIRECTION_HOPS):
-            kids = self.kids.get(here, [])
-            if len(kids) != 1:
-                break
-            edge = self.gap(kids[0], here)
-            if edge > 0 and gone + edge > DIRECTION_UM:
-                share = max(0.0, DIRECTION_UM - gone) / edge
-                return self.at[here] + share * (self.at[kids[0]] - self.at[here])
-            here, gone = kids[0], gone + edge
-            if gone >= DIRECTION_UM:
-                break
-        return self.at[here]
-
-    def anchors(self, root: int, source: int) -> tuple[list[tuple[int, int, float]], set[int]]:
-        """Nodes of a branch that may take another child: (node, steps, path)."""
-        found, seen = [], set()
-        stack = [(root, 1, self.gap(root, source))]
-        while stack:
-            node, steps, path = stack.pop()
-            seen.add(node)
-            if steps > MAX_HOPS or path > MAX_PATH_UM:
-                continue
-            kids = self.kids.get(node, [])
-            if len(kids) == 1 and self.type[node] not in EXCLUDED_TYPES:
-                found.append((node, steps, path))
-            stack.extend((k, steps + 1, path + self.gap(k, node)) for k in kids if k in self.at)
-        return found, seen
-
-    def crossing(self, anchor: int, child: int, near: set[int]) -> float:
-        """Share of close segments among the local edges not touching the new one."""
-        if not self.check_crossing:
-            return 0.0
-        edges = [(n, self.parent[n]) for n in near if self.parent.get(n) in self.at]
-        edges = [e for e in edges if anchor not in e and child not in e]
-        hits = sum(_segment_gap(self.at[anchor], self.at[child], self.at[a], self.at[b]) <= CROSSING_TOLERANCE_UM for a, b in edges)
-        return 1.0 if hits else 0.0
-
-    def best_move(self, source: int):
-        branches = self.kids[source]
-        reach = {b: self.anchors(b, source) for b in branches}
-        near = {source}.union(*(seen for _, seen in reach.values()))
-        best = None
-        for child in branches:
-            point = self.direction_point(child, source)
-            before, old_edge = _unit(point - self.at[source]), self.gap(child, source)
-            for root in branches:
-                if root == child:
-                    continue
-                for anchor, steps, path in reach[root][0]:
-                    cosine = float(np.clip(before @ _unit(point - self.at[anchor]), -1.0, 1.0))
-                    angle, new_edge = 0.5 * (1.0 - cosine), self.gap(child, anchor)
-                    length = max(0.0, new_edge - old_edge) / MAX_PATH_UM
-                    crossing = self.crossing(anchor, child, near)
-                    cost = W_PATH * (path / MAX_PATH_UM) + W_ANGLE * angle + W_LENGTH * length + W_CROSSING * crossing
-                    rank = (cost, path, new_edge, child, anchor)
-                    if best is None or rank < best[0]:
-                        best = (rank, root, steps, old_edge, angle, length, crossing)
-        return best
+        for row in np.flatnonzero(self.up >= 0):
+            self.kids.setdefault(int(self.up[row]), []).append(int(row))
+        self.targets, self.check_crossing = np.flatnonzero(pdf["is_target"].to_numpy(dtype=bool)), check_crossing
+
+    def up_of(self, rows: np.ndarray) -> np.ndarray:
+        return self.up[rows]
+
+    def rehang(self, child: int, old: int, new: int) -> None:
+        self.kids[old].remove(child)
+        self.kids.setdefault(new, []).append(child)
+        self.up[child], self.above[child], self.type[new] = new, self.xyz[new], TARGET_TYPE
 
     def resolve(self) -> list[dict]:
-        steps = []
+        """Moves of all targets in file order, up to the first that has no way out."""
+        out = []
         for source in self.targets:
-            n = 0
-            while len(self.kids[source]) > 2:
-                move = self.best_move(source)
-                if move is None:
-                    return [*steps, {"type5_node": source, "failed": True}]
-                (cost, path, new_edge, child, anchor), root, hops, old_edge, angle, length, crossing = move
-                n += 1
-                steps.append(
-                    {
-                        "type5_node": source, "failed": False, "step": n, "moved_child": child, "new_parent": anchor,
-                        "anchor_root": root, "anchor_hops": hops, "anchor_path_distance_um": path,
-                        "anchor_original_type": self.type[anchor], "original_edge_um": old_edge, "new_edge_um": new_edge,
-                        "angular_cost": angle, "length_cost": length, "crossover_cost": crossing, "total_cost": cost,
-                    }
-                )
-                self.kids[source].remove(child)
-                self.kids[anchor].append(child)
-                self.parent[child], self.type[anchor] = anchor, TARGET_TYPE
-        return steps
+            view, step = _View(self, int(source)), 0
+            while view.live.sum() > 2:
+                told, step = view.cheapest(), step + 1
+                if told is None:
+                    return [*out, {"type5_node": self.ids[source], "failed": True}]
+                view.move(told.pop("branch"), told.pop("anchor"), told["new_edge_um"])
+                out.append({"type5_node": self.ids[source], "failed": False, "step": step, **told})
+        return out
 
 
 _STEP = (
@@ -181,7 +224,7 @@ _STEP_COLUMNS = [c.strip().split()[0] for c in _STEP.split(",")]
 
 def relink_steps(nodes: DataFrame, check_crossing: bool = False) -> DataFrame:
     """Every move, in order per node; a row with ``failed`` where a node has no way out."""
-    view = clusters(nodes).select("neuron", "cluster", "id", "row_idx", "parent", "type", "x", "y", "z", "is_target")
+    view = clusters(nodes).select("neuron", "cluster", "id", "row_idx", "parent", "type", "x", "y", "z", "p_x", "p_y", "p_z", "is_target")
 
     def resolve(pdf: pd.DataFrame) -> pd.DataFrame:
         out = pd.DataFrame(_Cluster(pdf, check_crossing).resolve(), columns=_STEP_COLUMNS)

@@ -594,6 +594,19 @@ def relink_steps(spark, folder):
     return tidy(relink.relink_steps(inputs.tangled_forest(spark, folder)))
 
 
+@query
+def relink_steps_crossing(spark, folder):
+    """Moves chosen with the cost of edges that pass within the crossing tolerance."""
+    return tidy(relink.relink_steps(inputs.tangled_forest(spark, folder), check_crossing=True))
+
+
+@query
+def relink_node_records(spark, folder):
+    nodes = inputs.tangled_forest(spark, folder)
+    out, steps, _ = relink.relink(nodes, rows=inputs.forest(spark, folder).count())
+    return relink.node_records(nodes, out, steps)
+
+
 @query
 def relink_source_summary(spark, folder):
     nodes = inputs.tangled_forest(spark, folder)

@@ -79,8 +79,45 @@ def relink_tree(seed):
     return rows
 
 
-def plain_relink(rows):
+def sampled_gap(p, q, r, s, steps=400):
+    """Distance of two segments by alternating projections from many starts."""
+    best = np.inf
+    for a, b, c, d in ((p, q, r, s), (r, s, p, q)):
+        t = np.linspace(0, 1, steps)[:, None]
+        on = a + t * (b - a)
+        along = d - c
+        share = np.clip((on - c) @ along / max(float(along @ along), 1e-300), 0, 1)[:, None]
+        best = min(best, float(np.linalg.norm(on - (c + share * along), axis=1).min()))
+    return best
+
+
+def test_segment_gaps():
+    rng = np.random.default_rng(8)
+    for scale in (1.0, 0.01):
+        p, q, r, s = (rng.normal(0, 1, (60, 3)) * [1, 1, scale] for _ in range(4))
+        q[:5], s[3:8] = p[:5], r[3:8]
+        got = relink.segment_gaps(p, q, r, s)
+        for i in range(60):
+            want = sampled_gap(p[i], q[i], r[i], s[i])
+            assert got[i] <= want + 1e-12 and want - got[i] < 0.01
+    assert relink.segment_gaps(*(np.array([v], float) for v in ([0, 0, 0], [2, 0, 0], [1, -1, 0], [1, 1, 0])))[0] == 0
+
+
+def plain_penalty(at, parent, kids, source, child, anchor):
+    """Crossing cost of one move over the edges at and around what the search visits."""
+    near, todo = {source}, [(k, 1, math.dist(at[k], at[source])) for k in kids[source]]
+    for node, hops, path in todo:
+        near.add(node)
+        if hops <= 8 and path <= 8:
+            todo += [(k, hops + 1, path + math.dist(at[k], at[node])) for k in kids.get(node, [])]
+    ends = [n for n in parent if parent[n] in at and (n in near or parent[n] in near) and not {n, parent[n]} & {anchor, child}]
+    gaps = [float(relink.segment_gaps(*(v[None] for v in (at[anchor], at[child], at[n], at[parent[n]])))[0]) for n in ends]
+    return max([0.0, *(1 - g / 0.05 for g in gaps)])
+
+
+def plain_relink(rows, crossing=False):
     """The greedy search on whole trees, one target after the other."""
+    parent = {r[0]: r[6] for r in rows}
     at = {r[0]: np.array(r[2:5]) / 1000 for r in rows}
     kind = {r[0]: r[1] for r in rows}
     kids = {}
@@ -120,13 +157,15 @@ def plain_relink(rows):
                         continue
                     angle = 0.5 * (1 - float(np.clip(unit(point - at[source]) @ unit(point - at[anchor]), -1, 1)))
                     length = max(0.0, gap(child, anchor) - gap(child, source)) / 8
-                    rank = (0.45 * path / 8 + 0.35 * angle + 0.15 * length, path, gap(child, anchor), child, anchor)
+                    met = plain_penalty(at, parent, kids, source, child, anchor) if crossing else 0.0
+                    rank = (0.45 * path / 8 + 0.35 * angle + 0.15 * length + 0.05 * met, path, gap(child, anchor), child, anchor)
                     best = rank if best is None or rank < best else best
             if best is None:
                 return None
             *_, child, anchor = best
             kids[source].remove(child)
             kids[anchor].append(child)
+            parent[child] = anchor
             kind[anchor] = 5
             moves.append((source, child, anchor))
     return moves
@@ -150,8 +189,15 @@ def test_clustered_relinking_equals_whole_tree_search(make):
         assert r.unresolved == 0 or want[r.neuron] is None
     records = {(r.neuron, r.type5_node): r for r in relink.node_records(nodes, out, steps).collect()}
     assert all(r.n_direct_children_after == 2 and r.n_direct_children_before == 2 + r.n_relinked_branches for r in records.values())
-    crossed = relink.relink_steps(nodes, check_crossing=True)
-    assert crossed.filter("crossover_cost > 1").count() == 0
+    flat = {f"f{s}": [(i, k, x * 0.2, y * 0.2, 20 * math.sin(i), r, p) for i, k, x, y, _, r, p in relink_tree(s)] for s in range(8)}
+    for trees in (groups, flat):
+        crossed = {n: set() for n in trees}
+        for s in relink.relink_steps(make(trees), check_crossing=True).filter("NOT failed").collect():
+            assert 0 <= s.crossover_cost <= 1
+            crossed[s.neuron].add((s.type5_node, s.moved_child, s.new_parent))
+        for n, rows in trees.items():
+            moves = plain_relink(rows, crossing=True)
+            assert moves is None or crossed[n] == set(moves)
 
 
 def thick_core(stub_um=3.0, soma_type=1, stubs=4):
