@@ -226,13 +226,13 @@ def _extended(measures: list[str], tags: list[str]) -> list[Column]:
 def _close_paths(local: DataFrame, measures: list[str], tags: list[str]) -> DataFrame:
     """Prolong every node's path by what lies above the top of its run."""
     links = local.filter((F.col("id") == F.col("top")) & (F.col("link") != -1) & ~F.col("looped")).select("neuron", "id", "link")
+    if links.isEmpty():
+        return local
     above = local.select("neuron", F.col("id").alias("link"), "looped", *measures, *tags)
     step = links.join(above, ["neuron", "link"])
     step = step.withColumn("hops", F.col("hops") + 1).withColumn("jump", F.col("top")).drop("link")
     step = land(step, "tops")
     size = step.count()
-    if size == 0:
-        return local
     for _ in range(size.bit_length() + 1):
         far = step.select("neuron", F.col("id").alias("jump"), F.col("jump").alias("_jump"), F.col("looped").alias("_looped"), *[F.col(c).alias(f"_{c}") for c in [*measures, *tags]])
         grown = step.join(far, ["neuron", "jump"], "left")
@@ -254,10 +254,10 @@ def _close_totals(local: DataFrame, labelled: DataFrame, paths: DataFrame, add:
     """
     downs = [*add, *peak]
     links = local.filter((F.col("id") == F.col("root")) & (F.col("root_link") != -1) & ~F.col("ringed")).select("neuron", "id", F.col("root_link").alias("link"))
+    if links.isEmpty():
+        return paths
     attach = land(links.join(local.select("neuron", F.col("id").alias("link"), F.col("root").alias("jump"), "_run", F.col("ringed").alias("_under")), ["neuron", "link"]), "attach")
     size = attach.count()
-    if size == 0:
-        return paths
     tops = local.filter(F.col("id") == F.col("root")).select("neuron", "id", "ringed", *downs)
     step = tops.join(attach, KEY, "left").withColumn("ringed", F.col("ringed") | F.coalesce("_under", F.lit(False))).drop("_under")
     step = land(step, "hang")
