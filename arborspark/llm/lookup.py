@@ -31,3 +31,19 @@ def lookup(df: DataFrame, small: DataFrame, on: Sequence[str], how: str = "left"
     same = [df[c].eqNullSafe(renamed[f"_on_{c}"]) for c in on]
     joined = df.join(renamed, same, how)
     return joined.drop(*[f"_on_{c}" for c in on])
+
+
+SALTS = 16
+
+
+def spread_join(df: DataFrame, small: DataFrame, on: Sequence[str], by: str) -> DataFrame:
+    """Inner join of ``df`` with ``small`` (landed, unique on ``on``), whose keys may be hot in ``df``.
+
+    Broadcast within ``BROADCAST_BYTES``; beyond, a key's rows are dealt over
+    ``SALTS`` tasks by their ``by`` and ``small`` is repeated for each.
+    """
+    if measured_bytes(small) <= BROADCAST_BYTES:
+        return df.join(F.broadcast(small), list(on))
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int"))
+    repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(repeated, [*on, "_salt"]).drop("_salt")
