@@ -27,16 +27,28 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group of near-duplicates: five words, similarity 0.8 or more.
 
-    The smallest doc_id of a group stays, once; documents without doc_id stay.
+    The smallest doc_id of a group stays.  Different texts under one doc_id are
+    documents of their own, equal ones are one; documents without doc_id stay.
     """
-    found = land(jaccard.similar(docs, width=5, percent=80), "classes")
-    doubles = land(found.filter("doc_id <> component_id").select("doc_id").distinct(), "doubles")
-    left = docs.join(within_bound(doubles), "doc_id", "left_anti")
-    repeated = land(found.filter("doc_id = component_id").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated")
-    if not repeated.isEmpty():
-        once = left.join(within_bound(repeated), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-        left = left.join(within_bound(repeated), "doc_id", "left_anti").unionByName(once)
-    return left.select(docs.columns)
+    repeated = land(docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated")
+    once = docs.join(within_bound(repeated), "doc_id", "left_anti")
+    again = docs.join(within_bound(repeated), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    # texts of a repeated doc_id go by numbers below all doc_ids
+    floor = min(docs.agg(F.min("doc_id")).first()[0] or 0, 0) - 1
+    again = land(again.withColumn("_node", F.lit(floor) - F.monotonically_increasing_id()), "again")
+    nodes = once.select("doc_id", "text").unionByName(again.select(F.col("_node").alias("doc_id"), "text"))
+    found = land(jaccard.similar(nodes, width=5, percent=80), "classes")
+    own = land(found.join(within_bound(again.select(F.col("_node").alias("doc_id"), F.col("doc_id").alias("real"))), "doc_id", "left").filter("real is not null"), "own")
+    mixed = land(own.select("component_id").distinct(), "mixed")
+    # the smallest node stays, but where numbers of repeated ids take part the smallest real doc_id
+    members = found.join(within_bound(mixed), "component_id", "left_semi").join(within_bound(own.select("doc_id", "real")), "doc_id", "left")
+    members = members.withColumn("real", F.coalesce("real", "doc_id"))
+    stays = land(members.groupBy("component_id").agg(F.min(F.struct("real", "doc_id")).alias("m")).select(F.col("m.doc_id").alias("doc_id")), "stays")
+    plain = found.join(within_bound(mixed), "component_id", "left_anti").filter("doc_id <> component_id").select("doc_id")
+    other = members.select("doc_id").join(within_bound(stays), "doc_id", "left_anti")
+    doubles = within_bound(land(plain.unionByName(other).distinct(), "doubles"))
+    left = once.join(doubles, "doc_id", "left_anti").select(docs.columns)
+    return left.unionByName(again.withColumnRenamed("doc_id", "_id").withColumnRenamed("_node", "doc_id").join(doubles, "doc_id", "left_anti").withColumn("doc_id", F.col("_id")).select(docs.columns))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
