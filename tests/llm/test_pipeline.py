@@ -45,6 +45,14 @@ def test_stage_decisions(spark, stages):
     assert all(set(t.columns) == set(stages[0].columns) for t in stages[:-1])
 
 
+def test_texts_under_one_id_are_documents_of_their_own(spark):
+    text = lambda word: " ".join(f"{word}{i}" for i in range(40))
+    rows = [(5, "a"), (5, "b"), (7, "a"), (9, "a"), (9, "c"), (9, "c"), (3, "d"), (None, "d"), (-4, "c")]
+    docs = spark.createDataFrame([(i, text(w), "en", "s", 1) for i, w in rows] + [(11, text("b") + " x", "en", "s", 1), (12, None, None, None, None)], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.jaccard_join(spark, docs, SF).collect()
+    assert sorted(((r.doc_id, r.text and r.text[0]) for r in kept), key=str) == [(-4, "c"), (12, None), (3, "d"), (5, "a"), (5, "b"), (None, "d")]
+
+
 def test_empty_tables(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
@@ -55,6 +63,6 @@ def test_empty_tables(spark):
 def test_run_is_registered(spark):
     import __spark_entry__
 
-    assert {"pipeline", *(f"op{i}" for i in range(1, 11))} <= {n.split("_")[0] for n in __spark_entry__.queries()}
+    assert {"pipeline", *(f"op{i}" for i in range(1, 14))} <= {n.split("_")[0] for n in __spark_entry__.queries()}
     out = __spark_entry__.queries()["pipeline"](spark, SF)
     assert out.agg(F.sum("n_tokens")).first()[0] > 0
