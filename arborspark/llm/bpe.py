@@ -12,9 +12,12 @@ import json
 import re
 import unicodedata
 from functools import cached_property
+from heapq import heapify, heappop, heappush
 
 #: Beyond so many words, a worker's memo of word results is emptied.
 MEMO_WORDS = 1 << 18
+#: Symbols of a word up to which merging scans it for its lowest pair.
+SCANNED = 64
 END = "</w>"
 #: Stands before byte characters; no valid text holds it.
 MARK = "\ud800"
@@ -100,8 +103,14 @@ class WordBpe:
         return "".join(map(BYTE_CHARS.__getitem__, piece.encode("utf-8")))
 
     def merge(self, word: str) -> list[str]:
-        """Exact merging: the lowest rank first, the leftmost of equal ranks."""
+        """Exact merging: the lowest rank first, the leftmost of equal ranks.
+
+        Short words are scanned for their lowest pair; long ones keep their pairs
+        in a heap over a linked list, so a word of any length takes n log n steps.
+        """
         tokens = [*word[:-1], word[-1] + END]
+        if len(tokens) > SCANNED or not self.ordered:
+            return self._merge_by_heap(tokens)
         ranks = self.ranks
         while len(tokens) > 1:
             found = [ranks.get(p, 1 << 60) for p in zip(tokens, tokens[1:])]
@@ -120,6 +129,26 @@ class WordBpe:
             tokens = merged
         return tokens
 
+    def _merge_by_heap(self, tokens: list[str | None]) -> list[str]:
+        size, rank = len(tokens), self.ranks.get
+        after, before = list(range(1, size + 1)), list(range(-1, size - 1))
+        heap = [(r, i) for i, p in enumerate(zip(tokens, tokens[1:])) if (r := rank(p)) is not None]
+        heapify(heap)
+        while heap:
+            r, i = heappop(heap)
+            j = after[i]
+            if tokens[i] is None or j >= size or rank((tokens[i], tokens[j])) != r:
+                continue  # one of the two has been merged since
+            tokens[i], tokens[j] = tokens[i] + tokens[j], None
+            after[i] = after[j]
+            if after[i] < size:
+                before[after[i]] = i
+                if (r := rank((tokens[i], tokens[after[i]]))) is not None:
+                    heappush(heap, (r, i))
+            if before[i] >= 0 and (r := rank((tokens[before[i]], tokens[i]))) is not None:
+                heappush(heap, (r, before[i]))
+        return [t for t in tokens if t is not None]
+
     @cached_property
     def ordered(self) -> bool:
         """Every merge joins tokens that lower ranks made, so ranks only rise while merging."""

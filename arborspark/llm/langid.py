@@ -29,7 +29,8 @@ UNKNOWN = "und"
 
 
 def words(text: str) -> list[str]:
-    return _LETTERS.findall(text.lower())
+    """Runs of letters in lower case; a run of signs that are no letters (``²``, ``½``) is none."""
+    return [w for w in _LETTERS.findall(text.lower()) if w.isalpha() or any(map(str.isalpha, w))]
 
 
 def grams(word: str, n: int) -> list[str]:

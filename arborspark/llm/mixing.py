@@ -1,13 +1,15 @@
 """Mixing sources to target weights by entropy balancing.
 
-Every document gets a rate r = min(cap, exp(multiplier . x)), x = (1, features),
-the rates closest in entropy to 1 whose tokens meet the token target of each
-source (and keep the token-weighted mean of each listed feature).  The convex
-dual is solved by Newton steps: Spark sums gradient and Hessian over all
-documents per source, each source then solves its own small system.  Rates
-become copies by systematic rounding over documents sorted by size, which
-keeps a source within about half its largest document of its target, and a few
-single-copy repairs close what remains.
+Every document gets a rate, of all those that meet its source's token target
+the one closest in entropy to 1.  With the token target alone
+(``tilted``) that is min(cap, exp(multiplier x size)): the constraint acts on
+documents, so long ones are tilted most.  With listed ``features`` (``rates``)
+the token-weighted means of these are kept as well and the rate is
+min(cap, exp(multiplier . x)), x = (1, features).  The convex dual is solved by
+Newton steps: Spark sums gradient and Hessian over all documents, each source
+takes its own step.  Rates become copies by systematic rounding over documents
+sorted by size, which keeps a source within about half its largest document of
+its target, and a few single-copy repairs close what remains.
 """
 
 from __future__ import annotations
@@ -101,6 +103,50 @@ def rates(docs: DataFrame, targets: DataFrame, cap: float, features: Sequence[st
     return held.withColumn("rate", F.least(F.lit(float(cap)), F.exp(power))).drop("multiplier", "wanted")
 
 
+def tilted(docs: DataFrame, targets: DataFrame, cap: float, tolerance: float = 1e-9, rounds: int = 60) -> DataFrame:
+    """``docs`` (g, size) plus ``rate``: the rates nearest to one, by entropy over documents, that meet the token target.
+
+    Under the constraint sum(rate x size) = target the dual has one multiplier a
+    source, and a document's rate is exp(multiplier x size), at most ``cap``.
+    The multipliers of all sources take Newton steps at once, one aggregate over
+    the documents a round; a step that leaves the bracket known so far is
+    replaced by its middle.  Sizes count in units of their source's mean.
+    """
+    size = F.col("size").cast("double")
+    means = docs.groupBy("g").agg(F.sum(size).alias("_all"), F.avg(size).alias("scale"))
+    top = F.log(F.lit(float(cap))) * F.col("scale")  # every document of one word or more at the cap
+    capped = F.col("target") >= F.col("_all") * (float(cap) * (1 - 1e-12))
+    state = means.join(targets.select("g", "target"), "g").select(
+        "g", "target", F.when(F.col("scale") > 0, F.col("scale")).otherwise(1.0).alias("scale"), F.when(capped & (F.col("_all") > 0), top).otherwise(0.0).alias("at"),
+        F.lit(None).cast("double").alias("low"), top.alias("high"),
+    )
+    state = land(state, "dual")
+
+    def rate() -> tuple[Column, Column]:
+        power = F.col("at") * size / F.col("scale")
+        return power, F.when(power < F.log(F.lit(float(cap))), F.exp(power)).otherwise(float(cap))
+
+    for _ in range(rounds):
+        held = lookup(docs.filter("size > 0").groupBy("g", "size").agg(F.count(F.lit(1)).alias("c")), state, ["g"])
+        power, r = rate()
+        words = F.col("c") * size * r
+        slope = F.when(power < F.log(F.lit(float(cap))), words * size / F.col("scale")).otherwise(0.0)
+        found = state.join(held.groupBy("g").agg(F.sum(words).alias("got"), F.sum(slope).alias("slope")), "g", "left").fillna(0.0, ["got", "slope"])
+        gap = F.col("target") - F.col("got")
+        off = F.when(F.col("got") > 0, F.abs(gap) / F.greatest(F.lit(1.0), F.col("target"))).otherwise(0.0)
+        low, high = F.when(gap > 0, F.col("at")).otherwise(F.col("low")), F.when(gap < 0, F.col("at")).otherwise(F.col("high"))
+        newton = F.col("at") + gap / F.nullif(F.col("slope"), F.lit(0.0))
+        fits = newton.isNotNull() & (F.coalesce(newton > low, F.lit(True))) & (newton < high)
+        between = F.when(low.isNull(), 2 * F.col("at") - 1).otherwise((low + high) / 2)
+        moved = found.select("g", "target", "scale", off.alias("off"), F.when(off <= tolerance, F.col("at")).when(fits, newton).otherwise(between).alias("at"), low.alias("low"), high.alias("high"))
+        moved = land(moved, "dual")
+        state = moved.drop("off")
+        if (moved.agg(F.max("off")).first()[0] or 0.0) <= tolerance:
+            break
+    # nine digits, so that the order in which sums were added can't show in the copies
+    return lookup(docs, state.select("g", F.round("at", 9).alias("at"), "scale"), ["g"]).withColumn("rate", rate()[1]).drop("at", "scale")
+
+
 def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), cap: int = 3, features: Sequence[str] = ()) -> DataFrame:
     """Copies of every document: (doc_id, source, size, source_size, target, copies, taken).
 
@@ -113,7 +159,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), cap: int = 3, fea
     base = land(docs.select("doc_id", "source", F.coalesce("size", F.lit(0)).cast("long").alias("size"), *features, F.monotonically_increasing_id().alias("_row")), "sizes")
     targets = land(token_targets(base.groupBy("source").agg(F.sum("size").alias("source_size")), weights, cap), "targets")
     placed = lookup(base, targets.select("source", "g"), ["source"])
-    rated = rates(placed, targets, cap, features).select("doc_id", "source", "size", "g", "_row", F.round(F.col("rate") * SCALE).cast("long").alias("_rate"), (-F.col("size")).alias("_down"), F.xxhash64("doc_id").alias("_mixed"))
+    rated = (rates(placed, targets, cap, features) if features else tilted(placed, targets, cap)).select("doc_id", "source", "size", "g", "_row", F.round(F.col("rate") * SCALE).cast("long").alias("_rate"), (-F.col("size")).alias("_down"), F.xxhash64("doc_id").alias("_mixed"))
     run = prefix_sums(rated, ["g"], ["_down", "_mixed", "doc_id", "_row"], {"_upto": F.col("_rate")})
     slot = lambda c: F.floor((c + SCALE // 2) / SCALE)
     cut = land(run.select("doc_id", "source", "size", "g", "_row", "_mixed", (slot(F.col("_upto")) - slot(F.col("_upto") - F.col("_rate"))).alias("copies")), "copies")

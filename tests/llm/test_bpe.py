@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 from tokenizers import Tokenizer
@@ -68,3 +69,16 @@ def test_guesses_pass_only_when_right(book):
     assert 0 < merged < len(words)
     for word in words:
         assert [book.strings[i] for i in speculator.memo[word]] == book.merge(word)
+
+
+def test_very_long_words_equal_the_library(book):
+    rng, library = random.Random(9), Tokenizer.from_file(PATH)
+    texts = ["".join(rng.choice("etaoinsrhldcum") for _ in range(n)) for n in (65, 300, 5000)] + ["ab" * 2000, "a" * 3001, "thethe" * 700, "été" * 900]
+    for text in texts:
+        want = library.encode(text, add_special_tokens=False).tokens
+        assert [t for p in book.pieces(text) for t in book.merge(book.symbols(p))] == want
+        short = text[:60]
+        assert book._merge_by_heap([*book.symbols(short)[:-1], book.symbols(short)[-1] + "</w>"]) == book.merge(book.symbols(short))
+    started = time.time()
+    book.merge("".join(rng.choice("acgt") for _ in range(1_000_000)))
+    assert time.time() - started < 30

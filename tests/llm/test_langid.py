@@ -29,3 +29,7 @@ def test_odd_texts_and_backoff(spark):
     assert langid.identify(odd.limit(0), model).count() == 0
     nothing = langid.fit(train.limit(0))
     assert {r.lang_pred for r in langid.identify(odd, nothing).collect()} == {"und"}
+
+
+def test_signs_that_are_no_letters_are_no_words():
+    assert langid.words("² ½ ①²") == [] and langid.words("x² Ünï") == ["x²", "ünï"]

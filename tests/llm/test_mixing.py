@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -48,6 +49,31 @@ def test_targets_cap_and_reruns(docs):
     assert key(mixing.mix(docs).collect()) == key(got)
 
 
+def plain_rates(sizes, target, cap):
+    """Rates min(cap, exp(m x size / mean)) whose tokens meet the target, m by bisection."""
+    sizes = np.array(sizes, dtype=float)
+    x = sizes / sizes.mean()
+    rate = lambda m: np.exp(np.minimum(m * x, np.log(cap)))
+    low, high = -1e4, np.log(cap) / x[x > 0].min() + 1
+    for _ in range(200):
+        middle = (low + high) / 2
+        low, high = (middle, high) if (rate(middle) * sizes).sum() < target else (low, middle)
+    return rate(high)
+
+
+def test_rates_solve_the_dual_per_document(spark):
+    sizes = {1: [(i * 7919) % 900 + 1 for i in range(400)], 2: [3, 5, 8, 2000, 40_000, 1, 1], 3: [10] * 30, 4: [0, 7, 12, 300]}
+    factor = {1: 0.37, 2: 1.6, 3: 2.2, 4: 3.0}
+    docs = spark.createDataFrame([(g, i, s) for g, own in sizes.items() for i, s in enumerate(own)], "g long, i long, size long")
+    targets = spark.createDataFrame([(g, float(sum(own)) * factor[g]) for g, own in sizes.items()], "g long, target double")
+    got = {(r.g, r.i): r.rate for r in mixing.tilted(docs, targets, 3.0).collect()}
+    for g, own in sizes.items():
+        want = plain_rates(own, sum(own) * factor[g], 3.0)
+        np.testing.assert_allclose([got[g, i] for i in range(len(own))], want, rtol=1e-5)
+        assert sum(got[g, i] * s for i, s in enumerate(own)) == pytest.approx(sum(own) * factor[g], rel=1e-6)
+    assert len({round(got[1, i], 6) for i in range(400)}) > 100
+
+
 def test_feature_means_are_kept(spark):
     rows = [(i, i % 2 + 1, 100 + i % 300, (i % 10) / 10) for i in range(2000)]
     docs = spark.createDataFrame(rows, "doc_id long, g long, size long, f double")
