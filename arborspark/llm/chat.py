@@ -119,9 +119,9 @@ def linear(conversations: DataFrame) -> DataFrame:
     """Conversations by turn as reply trees without side branches.
 
     The reply to a turn is the next row of the conversation by turn, role and
-    text; repeated rows stay separate messages.  Rows without conv_id or turn
-    belong to no conversation and are left out.
+    text, rows without a turn first; repeated rows stay separate messages.  Rows
+    without conv_id belong to no conversation and are left out.
     """
-    rows = conversations.filter("conv_id is not null and turn is not null").select("conv_id", "turn", "role", "text")
-    at = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", F.col("role").asc_nulls_first(), F.col("text").asc_nulls_first())).cast("long")
+    rows = conversations.filter("conv_id is not null").select("conv_id", "turn", "role", "text")
+    at = F.row_number().over(Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), F.col("role").asc_nulls_first(), F.col("text").asc_nulls_first())).cast("long")
     return rows.select(F.col("conv_id").alias("tree"), at.alias("node"), F.when(at > 1, at - 1).alias("parent"), F.lit(1.0).alias("score"), "role", "text")

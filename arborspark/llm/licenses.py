@@ -4,7 +4,8 @@ A notice of which at most k edits are allowed is split into k + 1 pieces; by
 the pigeonhole principle one of them stands unchanged in every match.  One
 automaton finds the pieces of all notices, and only around those seeds the
 regex library's bounded-error matching verifies the notice and gives its span.
-Each seed has its own window, so a match hides no worse one beside it.
+Each seed has its own window, so a match hides no worse one beside it.  A match
+begins and ends at borders of words.
 Text is matched as its words joined by one space, so punctuation and line
 breaks between words cost no edits.
 """
@@ -16,6 +17,7 @@ import heapq
 import re
 from collections.abc import Iterator, Sequence
 from functools import cached_property
+from itertools import accumulate
 
 import ahocorasick
 import pandas as pd
@@ -39,6 +41,22 @@ NOTICES = {
     "mozilla public license": "mpl",
     "all rights reserved": "proprietary",
     "this work is dedicated to the public domain": "public-domain",
+    "gnu affero general public license": "agpl",
+    "under the terms of the gnu general public license": "gpl",
+    "distributed under the apache license": "apache",
+    "licensed under the mit license": "mit",
+    "the software is provided as is without warranty of any kind": "mit",
+    "permission to use copy modify and or distribute this software": "isc",
+    "neither the name of the copyright holder nor the names of its contributors": "bsd",
+    "subject to the terms of the mozilla public license": "mpl",
+    "eclipse public license": "epl",
+    "boost software license": "bsl",
+    "creative commons attribution sharealike": "cc-by-sa",
+    "creative commons attribution noncommercial": "cc-by-nc",
+    "creative commons zero": "cc0",
+    "no rights reserved": "cc0",
+    "this is free and unencumbered software released into the public domain": "unlicense",
+    "may not be reproduced without permission": "proprietary",
 }
 
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -71,7 +89,7 @@ class Scanner:
 
     @cached_property
     def patterns(self) -> list[regex.Pattern]:
-        return [regex.compile(f"(?:{regex.escape(n)}){{e<={self.edits(n)}}}", regex.BESTMATCH) for n, _ in self.notices]
+        return [regex.compile(f"(?<![^ ])(?:{regex.escape(n)}){{e<={self.edits(n)}}}(?![^ ])", regex.BESTMATCH) for n, _ in self.notices]
 
     def fuzzy(self, joined: str) -> list[tuple[int, int, int, int]]:
         """(notice, start, end, edits) of verified matches in joined words; those of one notice never overlap."""
@@ -90,9 +108,16 @@ class Scanner:
         queue: list[tuple[int, int, int, int, int]] = []
 
         def search(lo: int, hi: int) -> None:
+            # a match holds whole words, so words cut by the window are left out
+            if lo and joined[lo - 1] != " ":
+                lo = joined.find(" ", lo, hi) + 1 or hi
+            if hi < len(joined) and joined[hi] != " ":
+                hi = max(joined.rfind(" ", lo, hi), lo)
             if hi - lo < len(notice) - k:
                 return
             at = joined.find(notice, lo, hi)
+            while at >= 0 and not ((not at or joined[at - 1] == " ") and joined[at + len(notice) : at + len(notice) + 1] in ("", " ")):
+                at = joined.find(notice, at + 1, hi)
             if at >= 0:
                 heapq.heappush(queue, (0, at, at + len(notice), lo, hi))
             elif k and (m := self.patterns[i].search(joined, lo, hi)):
@@ -128,13 +153,14 @@ class Scanner:
         labels = {label for _, label in places}
         found = self.fuzzy(joined)
         starts = [m.start() for m in _WORD.finditer(low)] if found else []
-        ends = [m.end() for m in _WORD.finditer(low)] if found else []
+        # where each word begins in the joined text
+        begins = list(accumulate((len(w) + 1 for w in words), initial=0))[:-1] if found or places else []
         spans = []
         for i, lo, hi, edits in found:
-            first, last = joined.count(" ", 0, lo), joined.count(" ", 0, max(lo, hi - 1))
-            spans.append((self.notices[i][1], self.notices[i][0], starts[min(first, len(starts) - 1)], ends[min(last, len(ends) - 1)], first, last, edits))
+            first, last = bisect.bisect_right(begins, lo) - 1, bisect.bisect_right(begins, max(lo, hi - 1)) - 1
+            spans.append((self.notices[i][1], self.notices[i][0], starts[first], starts[last] + len(words[last]), first, last, edits))
         near = max((1 - e / len(self.notices[i][0]) for i, _, _, e in found), default=0.0)
-        at_word = sorted(framed.count(" ", 0, at) for at, _ in places)
+        at_word = sorted(bisect.bisect_left(begins, at) for at, _ in places)
         return (
             len(words), len(places), at_word[0] if places else None, at_word[-1] if places else None,
             ",".join(sorted(labels)), ",".join(sorted(labels | {s[0] for s in spans})), 1.0 if places else near, spans,

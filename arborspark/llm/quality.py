@@ -1,18 +1,18 @@
 """Quality rules with risk-controlled thresholds, in DataFrame functions only.
 
 Each rule rejects documents whose measure exceeds a cutoff.  Cutoffs are chosen
-on labelled documents per stratum and rule: the strictest of a fixed grid whose
-false-rejection rate among good documents is, by the exact binomial tail, below
-``risk`` with the error probability ``delta`` shared among all tests made
-(every stratum, rule and grid point).  A stratum without enough evidence gets
-no cutoff and rejects nothing by that rule.
+on labelled documents per stratum from a fixed grid: exact binomial tails bound
+the false rejections of every cutoff, with the error probability ``delta``
+shared among all tests made, and the bounds of a stratum's rules add up to at
+most ``risk``.  A rule that rejects no bad document, and a stratum without
+enough evidence, gets no cutoff.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from arborspark.llm.lookup import lookup
@@ -23,6 +23,8 @@ _WORD = r"[^\x20\x09-\x0D]"
 #: Cutoffs tried; every measure is a share, larger is worse, so one grid serves all.
 GRID = tuple(round(0.1 + 0.04 * i, 2) for i in range(23))
 RISK, DELTA = 0.02, 0.05
+#: Parts of the risk at which a cutoff is tested.
+LEVELS = 5
 
 
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -81,25 +83,40 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
 
 
 def cutoffs(labelled: DataFrame, stratum: str, rules: Sequence[str], grid: Sequence[float] = GRID, risk: float = RISK, delta: float = DELTA) -> DataFrame:
-    """(stratum, rule, cutoff): the smallest cutoff proven safe; rows only where one exists.
+    """(stratum, rule, cutoff): the rules' cutoffs, which together reject at most ``risk`` of a stratum's good documents.
 
     ``labelled`` has the stratum, one share per rule and ``good`` (boolean);
-    good documents are the holdout on which false rejections are counted.  For
-    each rule and stratum the grid is counted in one pass.  The number of tests
-    is strata x rules x grid points.  k above the ``risk`` share of n can never
-    pass, so its tail is not summed.
+    good documents are the holdout on which false rejections are counted, the
+    others show what a cutoff is worth.  For each rule and stratum the grid is
+    counted in one pass.  Every (stratum, rule, cutoff, level) is one exact
+    binomial test, levels being parts of the risk, and the lowest level passed
+    bounds the cutoff's false rejections; with Bonferroni's correction over all
+    tests the bounds hold together, so any choice whose bounds add up to the
+    risk is safe.  A rule takes the loosest cutoff that rejects as many bad
+    documents as its smallest safe one, and none if that rejects none; rules
+    are taken by bad documents rejected while their bounds fit into the risk.
+    k above a level's share of n can never pass, so its tail is not summed.
     """
     step = F.array(*[F.lit(float(g)) for g in grid])
     # how many grid points lie below a share: it is rejected by those
     above = lambda r: F.size(F.filter(step, lambda g: F.col(r) > g))
-    good = labelled.filter("good").select(stratum, F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), above(r).alias("over")) for r in rules])).alias("_m")).select(stratum, "_m.*")
-    counted = good.groupBy(stratum, "rule", "over").agg(F.count(F.lit(1)).alias("c"))
-    at = counted.groupBy(stratum, "rule").agg(F.sum("c").alias("n"), F.collect_list(F.struct("over", "c")).alias("_cs"))  # at most one entry per grid point
-    tests = at.select(stratum).distinct().count() * len(rules) * len(grid)
-    spread = at.select(stratum, "rule", "n", F.explode(F.transform(step, lambda g, i: F.struct(g.alias("cutoff"), F.aggregate("_cs", F.lit(0).cast("long"), lambda s, e: s + F.when(e["over"] > i, e["c"]).otherwise(F.lit(0).cast("long"))).alias("k")))).alias("_g"))
-    spread = spread.select(stratum, "rule", "n", "_g.cutoff", "_g.k")
-    safe = spread.filter((F.col("k") < F.col("n") * risk)).filter(binomial_tail(F.col("k"), F.col("n"), risk) <= delta / max(tests, 1))
-    return safe.groupBy(stratum, "rule").agg(F.min("cutoff").alias("cutoff"))
+    held = labelled.select(stratum, "good", F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), above(r).alias("over")) for r in rules])).alias("_m")).select(stratum, "good", "_m.*")
+    counted = held.groupBy(stratum, "rule", "over").agg(F.count_if("good").alias("c"), F.count_if(~F.col("good")).alias("d"))
+    at = land(counted.groupBy(stratum, "rule").agg(F.sum("c").alias("n"), F.collect_list(F.struct("over", "c", "d")).alias("_cs")), "counted")  # at most one entry per grid point
+    tests = at.select(stratum).distinct().count() * len(rules) * len(grid) * LEVELS
+    zero = F.lit(0).cast("long")
+    beyond = lambda c, i: F.aggregate("_cs", zero, lambda s, e: s + F.when(e["over"] > i, e[c]).otherwise(zero))
+    spread = at.select(stratum, "rule", "n", F.explode(F.transform(step, lambda g, i: F.struct(g.alias("cutoff"), beyond("c", i).alias("k"), beyond("d", i).alias("bad")))).alias("_g"))
+    spread = spread.select(stratum, "rule", "n", "_g.cutoff", "_g.k", "_g.bad")
+    level = F.lit(None).cast("int")
+    for i in range(LEVELS, 0, -1):
+        p = risk * i / LEVELS
+        passed = F.when(F.col("k") < F.col("n") * p, binomial_tail(F.col("k"), F.col("n"), p) <= delta / max(tests, 1)).otherwise(False)
+        level = F.when(passed, F.lit(i)).otherwise(level)
+    safe = spread.withColumn("level", level).filter("level is not null and bad > 0")
+    rule = safe.groupBy(stratum, "rule").agg(F.max(F.struct("bad", "cutoff", (-F.col("level")).alias("less"))).alias("_best"))
+    fits = Window.partitionBy(stratum).orderBy(F.desc("_best.bad"), F.desc("_best.less"), "rule").rowsBetween(Window.unboundedPreceding, 0)
+    return rule.withColumn("_spent", F.sum(-F.col("_best.less")).over(fits)).filter(F.col("_spent") <= LEVELS).select(stratum, "rule", F.col("_best.cutoff").alias("cutoff"))
 
 
 def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", grid: Sequence[float] = GRID, risk: float = RISK, delta: float = DELTA, text: str = "text", keep_text: bool = False) -> DataFrame:
@@ -109,8 +126,9 @@ def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", grid: Seque
     document labelled twice counts as good only if all its labels say so, other
     and null labels are not used.  base_failed: fewer than 10 words, or more
     than a fifth of the words in repeated windows.  kept: not base_failed and
-    no share above its stratum's cutoff.  The method's total false-rejection
-    risk per stratum is at most ``risk`` per rule.  A null stratum is one of
+    no share above its stratum's cutoff.  All rules
+    together falsely reject at most ``risk`` of a stratum, with confidence 1 -
+    ``delta`` over all strata.  A null stratum is one of
     its own; repeated rows are judged each.
     """
     measured = land(measure(docs, text) if keep_text else measure(docs, text).drop(text), "measured")

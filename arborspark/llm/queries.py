@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arborspark.llm import bpe_codec, chat, jaccard, langid, licenses, manifest, mixing, pii, quality, token_counts, vectors, warc, whitening
@@ -55,17 +55,18 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages as records against a second replica in which some records were turned, cut or lost."""
+    """Pages as records against a replica with a layout of its own, in which some records were turned, lengthened or lost."""
     html, kind = F.coalesce("html", F.lit("")), F.length(F.coalesce("html", F.lit(""))) % 97
     turned = F.concat(F.substring(html, 2, 1 << 30), F.substring(html, 1, 1))
     other = F.when(kind == 3, turned).when(kind == 4, F.concat(html, F.lit("?"))).otherwise(html)
-    pages = table(spark, sf_dir, "pages").select(
-        F.col("page_id").alias("record_id"), F.octet_length(warc.record(F.col("url"), html)).cast("long").alias("n_bytes"),
-        F.sha2(warc.record(F.col("url"), html), 256).alias("digest"), F.when(kind != 5, F.sha2(warc.record(F.col("url"), other), 256)).alias("copy"),
-    )
-    laid = land(warc.lay_out(pages), "archive")
-    primary = laid.select("record_id", "offset", "digest")
-    replica = laid.filter("copy is not null").select("record_id", "offset", F.col("copy").alias("digest"))
+    pages = table(spark, sf_dir, "pages")
+
+    def store(rows: DataFrame, body: Column) -> DataFrame:
+        whole = warc.record(F.col("url"), body)
+        records = rows.select(F.col("page_id").alias("record_id"), F.octet_length(whole).cast("long").alias("n_bytes"), F.sha2(whole, 256).alias("digest"))
+        return land(warc.lay_out(records).select("record_id", "offset", "digest"), "archive")
+
+    primary, replica = store(pages, html), store(pages.filter(kind != 5), other)
     return warc.audit(primary, replica).select(F.col("record_id").alias("page_id"), "offset", "leaf", "status", "digest_a", "digest_b")
 
 
@@ -143,13 +144,13 @@ QUERIES = {
 ORACLES = {
     "op2_chat_format": r"""
 WITH msg AS (
-  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
   UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
 esc AS (SELECT *, length(regexp_replace(role, '([<\[])(\\*)(/?s>|/?INST\])', '\1\\\2\3', 'g')) + length(regexp_replace(text, '([<\[])(\\*)(/?s>|/?INST\])', '\1\\\2\3', 'g')) + 20 AS n FROM msg)
 SELECT CAST(conv_id AS BIGINT) AS conv_id, count(*) AS n_turns,
-  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
   CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
-  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
   CAST(sum(n) AS BIGINT) AS formatted_chars
 FROM esc GROUP BY conv_id""",
     "op5_jaccard_join": r"""

@@ -1,15 +1,18 @@
 """Merkle fixity audit of replicated web archives.
 
-A store lists records with offset and digest.  Records are hashed into leaves
-by offset range, leaves by ``fanout`` into a tree; both replicas' trees are
+A store lists records with offset and digest.  The primary is cut into ordered
+offset ranges; the first record of every range bounds a key range, and both
+stores' records are hashed into the leaf their key falls in, leaves by
+``fanout`` into a tree.  A replica may so have a layout of its own: a record of
+another length moves every later offset, but changes one leaf.  Both trees are
 built side by side, one small table per level.  The audit compares the roots
-and goes down only where two nodes differ, so it reads the records of broken
-ranges alone.
+and goes down only where two nodes differ, so it compares the records of
+broken ranges alone.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from arborspark.operators.ordering import prefix_sums
@@ -33,25 +36,42 @@ def lay_out(records: DataFrame) -> DataFrame:
     return laid.select(*records.columns, (F.col("_upto") - F.col("n_bytes")).alias("offset"))
 
 
+def place(primary: DataFrame, replica: DataFrame, leaf_bytes: int) -> DataFrame:
+    """(side, record_id, digest, n, offset, node): both stores' distinct records with their count and leaf.
+
+    A leaf begins at the first record of an offset range of the primary.  The
+    number of range starts up to a record is a running sum over both stores in
+    key order, so no range meets all records and a hot id spreads over tasks.
+    """
+    sides = [s.select(F.lit(name).alias("side"), "record_id", "digest", "offset") for name, s in (("a", primary), ("b", replica))]
+    rows = sides[0].union(sides[1]).groupBy("side", "record_id", "digest").agg(F.count(F.lit(1)).alias("n"), F.min("offset").alias("offset"))
+    first = primary.filter("offset is not null").groupBy(F.floor(F.col("offset") / leaf_bytes).alias("at")).agg(F.min(F.struct("record_id", "digest")).alias("f"))
+    edges = first.select("f.*").distinct().select(F.lit("").alias("side"), "record_id", "digest", F.lit(0).cast("long").alias("n"), F.lit(None).cast("long").alias("offset"))
+    begun = prefix_sums(rows.union(edges), [], ["record_id", "digest", "side"], {"_begun": F.when(F.col("side") == "", 1).otherwise(0).cast("long")})
+    return begun.filter("side <> ''").select("side", "record_id", "digest", "n", "offset", F.greatest(F.col("_begun") - 1, F.lit(0)).cast("long").alias("node"))
+
+
+def _leaf(entry: Column, mine: Column) -> Column:
+    """Hash of a set of entries' SHA-256 digests, summed in eight lanes of 32 bits; null without any.
+
+    Sums need no list, so a leaf may hold any number of records.
+    """
+    lanes = [F.sum(F.when(mine, F.conv(F.substring(entry, 8 * i + 1, 8), 16, 10).cast("long"))).cast("string") for i in range(8)]
+    return F.when(F.count_if(mine) > 0, F.sha2(F.concat_ws(",", F.count_if(mine).cast("string"), *lanes), 256))
+
+
 def _node(entries: Column) -> Column:
-    """Hash of ordered (place, digest) entries; null without any."""
+    """Hash of at most ``fanout`` (place, digest) entries in order; null without any."""
     listed = F.sort_array(entries)
     return F.when(F.size(listed) > 0, F.sha2(F.array_join(F.transform(listed, lambda e: F.concat(e["place"].cast("string"), F.lit(":"), e["digest"])), ","), 256))
 
 
-def tree(primary: DataFrame, replica: DataFrame, leaf_bytes: int, fanout: int) -> list[DataFrame]:
-    """Levels from leaves to root of both trees: (node, a, b), a null where a side is empty.
-
-    Equal rows of one place are counted, not listed, so a repeated row cannot
-    fill a leaf; otherwise a leaf holds at most the records of its byte range.
-    """
-    key = F.floor(F.col("offset") / leaf_bytes).cast("long").alias("node")
-    digest = F.concat_ws("|", F.coalesce(F.col("record_id").cast("string"), F.lit("")), F.coalesce("digest", F.lit("")))
-    sides = [s.filter("offset is not null").select(key, F.lit(name).alias("side"), F.col("offset").alias("place"), digest.alias("digest")) for name, s in (("a", primary), ("b", replica))]
-    counted = sides[0].union(sides[1]).groupBy("node", "side", "place", "digest").count()
-    entry = F.struct("place", F.concat_ws("|", "digest", F.col("count").cast("string")).alias("digest"))
-    hashed = lambda of: [_node(F.collect_list(F.when(F.col("side") == s, of))).alias(s) for s in ("a", "b")]
-    levels = [land(counted.groupBy("node").agg(*hashed(entry)), "leaves")]
+def tree(placed: DataFrame, fanout: int) -> list[DataFrame]:
+    """Levels from leaves to root of both trees: (node, a, b), a null where a side is empty."""
+    shown = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("record_id", "digest")]
+    entry = F.sha2(F.concat_ws("|", *shown, F.col("record_id").isNull().cast("string"), F.col("digest").isNull().cast("string"), F.col("n").cast("string")), 256)
+    hashed = placed.select("node", "side", entry.alias("entry"))
+    levels = [land(hashed.groupBy("node").agg(*[_leaf(F.col("entry"), F.col("side") == s).alias(s) for s in ("a", "b")]), "leaves")]
     top = levels[0].agg(F.max("node")).first()[0] or 0
     while top > 0:
         below = levels[-1].select(F.floor(F.col("node") / fanout).cast("long").alias("up"), "node", "a", "b")
@@ -79,19 +99,22 @@ def audit(primary: DataFrame, replica: DataFrame, leaf_bytes: int = 1 << 16, fan
 
     Returns (record_id, offset, leaf, status, digest_a, digest_b); status is
     ``changed``, ``missing`` (only in the primary) or ``extra`` (only in the
-    replica).  Rows are matched by offset and record id, nulls equal; a row
-    repeated on one side only is listed as missing or extra once.  Rows without
-    an offset have no place in a tree and are not audited.
+    replica).  Rows are matched by record id and digest, nulls equal, wherever
+    they lie; of one id the digests that stand on one side alone are paired in
+    order as changed.  A row found on both sides in different numbers is listed
+    as missing or extra once.  ``offset`` is the primary's, an extra's its own,
+    null if it has none; ``leaf`` is the offset range it lies in.
     """
-    leaf = F.floor(F.col("offset") / leaf_bytes).cast("long")
-    broken = broken_leaves(tree(primary, replica, leaf_bytes, fanout), fanout)
-    near = lambda s: s.filter("offset is not null").withColumn("leaf", leaf).join(broken.select(F.col("node").alias("leaf")), "leaf", "left_semi")
-    side = lambda s, name: near(s).groupBy("record_id", "offset", "leaf", "digest").agg(F.count(F.lit(1)).alias("n")).groupBy("record_id", "offset", "leaf").agg(F.sort_array(F.collect_list(F.struct("digest", "n"))).alias(name))
-    a, b = side(primary, "a"), side(replica, "b")
-    both = a.alias("x").join(b.alias("y"), F.col("x.record_id").eqNullSafe(F.col("y.record_id")) & (F.col("x.offset") == F.col("y.offset")), "full")
-    both = both.filter(~F.col("a").eqNullSafe(F.col("b")))
-    status = F.when(F.col("b").isNull(), "missing").when(F.col("a").isNull(), "extra").when(F.col("a.digest") != F.col("b.digest"), "changed").when(F.aggregate("a", F.lit(0).cast("long"), lambda s, e: s + e["n"]) > F.aggregate("b", F.lit(0).cast("long"), lambda s, e: s + e["n"]), "missing").otherwise("extra")
-    return both.select(
-        F.coalesce("x.record_id", "y.record_id").alias("record_id"), F.coalesce("x.offset", "y.offset").alias("offset"), F.coalesce("x.leaf", "y.leaf").alias("leaf"),
-        status.alias("status"), F.get("a.digest", 0).alias("digest_a"), F.get("b.digest", 0).alias("digest_b"),
-    )
+    placed = land(place(primary, replica, leaf_bytes), "placed")
+    broken = broken_leaves(tree(placed, fanout), fanout)
+    near = placed.join(broken, "node", "left_semi")
+    of = lambda s, c: F.when(F.col("side") == s, F.col(c))
+    met = near.groupBy("record_id", "digest").agg(*[F.coalesce(F.sum(of(s, "n")), F.lit(0)).alias(s) for s in ("a", "b")], F.min(of("a", "offset")).alias("at_a"), F.min(of("b", "offset")).alias("at_b"))
+    differ = met.filter("a <> b").withColumns({"only": F.expr("CASE WHEN b = 0 THEN 'a' WHEN a = 0 THEN 'b' END")})
+    counted = differ.filter("only is null").select("record_id", F.coalesce("at_a", "at_b").alias("offset"), F.when(F.col("a") > F.col("b"), "missing").otherwise("extra").alias("status"), F.col("digest").alias("digest_a"), F.col("digest").alias("digest_b"))
+    nth = F.row_number().over(Window.partitionBy("record_id", "only").orderBy("digest"))
+    lone = differ.filter("only is not null").withColumn("nth", nth)
+    pair = lone.groupBy("record_id", "nth").agg(*[F.max(F.when(F.col("only") == s, F.struct(F.col(f"at_{s}").alias("at"), "digest"))).alias(s) for s in ("a", "b")])
+    status = F.when(F.col("b").isNull(), "missing").when(F.col("a").isNull(), "extra").otherwise("changed")
+    paired = pair.select("record_id", F.when(F.col("a").isNotNull(), F.col("a.at")).otherwise(F.col("b.at")).alias("offset"), status.alias("status"), F.col("a.digest").alias("digest_a"), F.col("b.digest").alias("digest_b"))
+    return counted.union(paired).select("record_id", "offset", F.floor(F.col("offset") / leaf_bytes).cast("long").alias("leaf"), "status", "digest_a", "digest_b")

@@ -36,9 +36,16 @@ def test_linear_long_and_nulls(spark):
     m = chat.linear(df)
     out = chat.format_paths(chat.branches(m), m).select("tree", chat.read_turns(F.col("formatted")).alias("turns"), chat.masked(F.col("formatted"), F.col("loss_spans")).alias("loss"))
     by = {r.tree: r for r in out.collect()}
-    assert set(by) == {1, 2}
+    assert set(by) == {1, 2, 3}
     assert [tuple(t) for t in by[1].turns] == [(r[2], r[3]) for r in rows[:300]]
     assert by[1].loss == "".join(r[3] for r in rows[:300] if r[2] == "assistant")
     assert [tuple(t) for t in by[2].turns] == [("", "")] * 2
     assert chat.branches(chat.linear(df.limit(0))).count() == 0
     assert hashlib.sha256(by[1].loss.encode()).hexdigest()
+
+
+def test_rows_without_turn_come_first(spark):
+    rows = [(1, 0, "user", "a"), (1, None, "user", "z"), (1, 1, "assistant", None), (None, 0, "user", "none")]
+    messages = chat.linear(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    (out,) = chat.format_paths(chat.branches(messages), messages).select(chat.read_turns(F.col("formatted")).alias("t")).collect()
+    assert [tuple(t) for t in out.t] == [("user", "z"), ("user", "a"), ("assistant", "")]

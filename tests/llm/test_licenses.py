@@ -1,3 +1,4 @@
+import time
 import re
 
 import pytest
@@ -95,3 +96,25 @@ def test_dense_notices_are_all_found():
             assert len(found) == len(parts)
             for m, part in zip(found, parts):
                 assert m[3] == distance(part, notice)
+
+
+def test_matches_hold_whole_words():
+    scanner = licenses.Scanner(licenses.BASE, licenses.NOTICES, 12)
+    for text in ("overall rights reservedly", "premozilla public licenses", "xall rights reserved", "small rights reserved x"):
+        assert scanner.scan(text)[5:] == ("", 0.0, []), text
+    for text, edits in (("so all rights reserved", 0), ("all right reserved.", 1), ("mozilla publik license", 1), ("all rights reservedly all rights reserved", 0)):
+        (span,) = scanner.scan(text)[7]
+        assert span[6] == edits, text
+        assert text[span[2] : span[3]].split()[0] == "all" or text[span[2] : span[3]] == "mozilla publik license"
+
+
+def test_dense_notices_take_linear_time():
+    scanner = licenses.Scanner(licenses.BASE, licenses.NOTICES, 12)
+    scanner.scan("warm up all rights reserved")
+    for phrase in ("mit license ", "all rights reserved. "):
+        text = phrase * (2_000_000 // len(phrase))
+        began = time.perf_counter()
+        n, base, first, last, *_, spans = scanner.scan(text)
+        took = time.perf_counter() - began
+        assert took < 30
+        assert (base or len(spans)) == 2_000_000 // len(phrase)
