@@ -144,7 +144,7 @@ def to_samples(surface: DataFrame, samples: DataFrame, cell: float = 2000.0) ->
 def sample_surface(faces: DataFrame, count: int = SURFACE_COUNT, seed: int = SURFACE_SEED, rows: int | None = None) -> DataFrame:
     """``count`` points per neuron spread over the faces in proportion to area.
 
-    Positions come from seeded hashes, so the same mesh gives the same points
+    Positions come from seeded digests of neuron and point, so the same mesh gives the same points
     on any cluster.
     """
     e, f = _sub("v", "u"), _sub("w", "u")
@@ -157,8 +157,9 @@ def sample_surface(faces: DataFrame, count: int = SURFACE_COUNT, seed: int = SUR
     first, last = slot(F.col("_upto") - F.col("area")), slot(F.col("_upto")) - 1
     points = share.withColumns({"_f": F.greatest(first, F.lit(0)), "_l": F.least(last, F.lit(count - 1))}).filter("_l >= _f")
     points = points.withColumn("point_id", F.explode(F.sequence("_f", "_l")))
-    roll = lambda salt: F.pmod(F.xxhash64("neuron", "point_id", F.lit(seed), F.lit(salt)), F.lit(1 << 30)) / float(1 << 30)
-    points = points.withColumns({"_a": F.sqrt(roll(1)), "_b": roll(2)})
+    points = points.withColumn("_h", F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("neuron").cast("string"), F.col("point_id").cast("string"))))
+    roll = lambda i: F.conv(F.substring("_h", 1 + 7 * i, 7), 16, 10).cast("double") / float(1 << 28)
+    points = points.withColumns({"_a": F.sqrt(roll(0)), "_b": roll(1)})
     at = lambda c: (1 - F.col("_a")) * F.col(f"u{c}") + F.col("_a") * (1 - F.col("_b")) * F.col(f"v{c}") + F.col("_a") * F.col("_b") * F.col(f"w{c}")
     return points.select("neuron", "point_id", "face_id", *[at(c).alias(f"p{c}") for c in "xyz"])
 

@@ -222,8 +222,23 @@ def fingerprint(files: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def sample_names(files: DataFrame, name: str, n: int, seed: int) -> DataFrame:
-    """A reproducible sample without replacement: the n smallest seeded hashes."""
-    return files.orderBy(F.xxhash64(F.col(name).cast("string"), F.lit(seed)), name).limit(n)
+    """A reproducible sample without replacement: the n smallest seeded digests."""
+    return files.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col(name).cast("string"))), name).limit(n)
+
+
+def paired_sample(repaired: DataFrame, raw: DataFrame, name: str, n: int, seed: int) -> DataFrame:
+    """(name, has_raw): a sample of the repaired names and whether the raw side has the partner."""
+    there = raw.select(name).distinct().withColumn("has_raw", F.lit(True))
+    return sample_names(repaired.select(name).distinct(), name, n, seed).join(there, name, "left").fillna({"has_raw": False})
+
+
+def sample_report(sample: DataFrame, name: str) -> DataFrame:
+    """One row: sampled, raw_found, raw_missing and the missing names in order."""
+    gone = ~F.col("has_raw")
+    return sample.agg(
+        F.count(F.lit(1)).alias("sampled"), F.count_if("has_raw").alias("raw_found"), F.count_if(gone).alias("raw_missing"),
+        F.array_join(F.sort_array(F.collect_list(F.when(gone, F.col(name)))), ",").alias("missing"),
+    )
 
 
 def source_summary(log: DataFrame) -> DataFrame:

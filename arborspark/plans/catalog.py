@@ -698,6 +698,13 @@ def surface_samples(spark, folder):
     return points.groupBy("neuron").agg(F.count(F.lit(1)).alias("n_points"), F.countDistinct("point_id").alias("n_ids"))
 
 
+@query
+def surface_positions(spark, folder):
+    """Positions of 500 points a neuron."""
+    faces = inputs.box_mesh(inputs.neuron_boxes(spark, folder), "neuron")
+    return tidy(mesh.sample_surface(faces, count=500, rows=12 * inputs.table(spark, folder, "supplier").count()), 3)
+
+
 @query
 def mesh_overlap(spark, folder):
     faces = inputs.box_mesh(inputs.neuron_boxes(spark, folder).withColumn("hi_x", F.col("hi_x") - (F.col("neuron") % 5) * 9000.0), "neuron")
@@ -806,6 +813,14 @@ def minhash_top_candidates(spark, folder):
     return tidy(_pairs(spark, folder))
 
 
+@query
+def retrieval_incomplete(spark, folder):
+    """Queries against every third original: most lack the original of their name, small tables also competitors."""
+    raw, fixed = _retrieval_nodes(spark, folder)
+    q, c = (inputs.land(retrieval.signatures(retrieval.voxels(n)), "signatures") for n in (fixed, raw.filter("neuron % 3 = 0")))
+    return retrieval.incomplete(q, retrieval.with_pair(q, c, retrieval.top_candidates(q, c, 30)), 30)
+
+
 def _jaccard_ranks(spark, folder):
     raw, fixed = _retrieval_nodes(spark, folder)
     scored = retrieval.exact_jaccard(_pairs(spark, folder), retrieval.voxels(fixed), retrieval.voxels(raw))
@@ -877,6 +892,21 @@ def seeded_sample(spark, folder):
     return qc.sample_names(names, "neuron", 50, 42)
 
 
+def _paired_sample(spark, folder):
+    repaired = inputs.forest(spark, folder)
+    return qc.paired_sample(repaired, repaired.filter("neuron % 7 <> 3"), "neuron", 50, 42)
+
+
+@query
+def paired_sample(spark, folder):
+    return _paired_sample(spark, folder)
+
+
+@query
+def paired_sample_report(spark, folder):
+    return qc.sample_report(_paired_sample(spark, folder), "neuron")
+
+
 @query
 def long_segment_sort(spark, folder):
     out = qc.long_child_screen(inputs.forest(spark, folder)).filter("matched")

@@ -7,6 +7,7 @@ neuron for nearest nodes), so it shares nothing with the Spark plans.
 
 from __future__ import annotations
 
+from arborspark.operators.mesh import SURFACE_SEED
 from arborspark.schema import NEUROPIL_GROUPS, NEUROPIL_ORDER
 
 ORACLES: dict[str, str] = {}
@@ -640,6 +641,19 @@ JOIN (SELECT neuron, count(*) FILTER (k = 0) AS n_edges, sum(weight)/1000 AS cab
 JOIN (SELECT neuron, count(*) AS n_surface_samples, {', '.join(f"avg(CASE WHEN error <= {t} THEN 1 ELSE 0 END) AS sf{t}" for t in _TH)},
   {', '.join(f"quantile_cont(error, {p/100}) AS s{p}" for p in (50, 90, 95))}, quantile_cont(excess, 0.9) AS sx90 FROM back GROUP BY 1) USING (neuron)
 JOIN ({wquant('error', 'center', _CE)}) USING (neuron) JOIN ({wquant('center_dist', 'center', {'d50': 0.5})}) USING (neuron) JOIN ({wquant('excess', 'center', {'x90': 0.9})}) USING (neuron)""")
+# Corners of the two triangles of every box side.
+_SIDES = "(0,0,2,6), (1,0,6,4), (2,1,5,7), (3,1,7,3), (4,0,4,5), (5,0,5,1), (6,2,3,7), (7,2,7,6), (8,0,1,3), (9,0,3,2), (10,4,6,7), (11,4,7,5)"
+_CORNERS = ", ".join(f"CASE WHEN {n} & {bit} > 0 THEN hi_{c} ELSE lo_{c} END AS {n}{c}" for n in "uvw" for bit, c in ((1, "x"), (2, "y"), (4, "z")))
+put("surface_positions", FOREST, _NBOX, f"""
+tri AS (SELECT neuron, face_id, {_CORNERS} FROM nbox CROSS JOIN (VALUES {_SIDES}) s(face_id, u, v, w)),
+side AS (SELECT *, vx-ux AS ex, vy-uy AS ey, vz-uz AS ez, wx-ux AS fx, wy-uy AS fy, wz-uz AS fz FROM tri),
+sized AS (SELECT *, sqrt((ey*fz-ez*fy)**2 + (ez*fx-ex*fz)**2 + (ex*fy-ey*fx)**2) / 2 AS area FROM side),
+ran AS (SELECT *, sum(area) OVER (PARTITION BY neuron ORDER BY face_id) AS upto, sum(area) OVER (PARTITION BY neuron) AS total FROM sized),
+slots AS (SELECT *, greatest(ceil(round((upto - area) / total * 500, 9) - 0.5), 0) AS f, least(ceil(round(upto / total * 500, 9) - 0.5), 500) AS l FROM ran WHERE total > 0 AND area > 0),
+pts AS (SELECT *, unnest(range(CAST(f AS BIGINT), CAST(l AS BIGINT))) AS point_id FROM slots),
+hashed AS (SELECT *, md5('{SURFACE_SEED}:' || neuron || ':' || point_id) AS h FROM pts),
+rolled AS (SELECT *, sqrt(CAST('0x' || substr(h, 1, 7) AS BIGINT) / 268435456.0::DOUBLE) AS a, CAST('0x' || substr(h, 8, 7) AS BIGINT) / 268435456.0::DOUBLE AS b FROM hashed)""",
+    select=f"SELECT neuron, point_id, CAST(face_id AS BIGINT) AS face_id, {', '.join(r(f'(1-a)*u{c} + a*(1-b)*v{c} + a*b*w{c}', f'p{c}', 3) for c in 'xyz')} FROM rolled")
 put("surface_samples", select="SELECT DISTINCT l_suppkey AS neuron, CAST(200 AS BIGINT) AS n_points, CAST(200 AS BIGINT) AS n_ids FROM lineitem")
 put("mesh_overlap", FOREST, EDGE, _SAMPLES, _NBOX, select=f"""
 SELECT neuron, {r('f', 'inside_fraction', 4)}, {r('w', 'center_in_mesh_aabb_fraction', 4)}, CASE WHEN f < 0.1 THEN 'error' WHEN f < 0.9 THEN 'warning' ELSE 'ok' END AS overlap
@@ -677,6 +691,9 @@ summ AS (
 put("minhash_signature", FOREST, _sig("c", ""), select="SELECT neuron, CAST(i AS INTEGER) AS i, h FROM sc")
 _Q = (FOREST, _sig("q", "WHERE id % 11 <> 10"), _sig("c", ""), _TOPK)
 put("minhash_top_candidates", *_Q, select=f"SELECT query, candidate, {r('j', 'minhash_jaccard')}, same AS is_same_name_original FROM prs")
+put("retrieval_incomplete", FOREST, _sig("q", "WHERE id % 11 <> 10"), _sig("c", "WHERE neuron % 3 = 0"), _TOPK, select="""
+SELECT * FROM (SELECT query, n_hard, paired, CASE WHEN NOT paired THEN 'no original of the same name' WHEN n_hard < 30 THEN 'needs 30 competitors, found ' || n_hard END AS error
+  FROM (SELECT query, count(*) FILTER (NOT same) AS n_hard, bool_or(same) AS paired FROM prs GROUP BY query)) WHERE error IS NOT NULL""")
 put("voxel_jaccard_topk", *_Q, _RANK, select=f"SELECT query, candidate, shared, {r('jaccard', 'jaccard')}, exact_rank FROM ranks")
 put("rerank_rank", *_Q, _RANK, select=f"""
 SELECT query, {r('paired_score', 'paired_score')}, paired_exact_rank, best_unmatched, {r('best_unmatched_score', 'best_unmatched_score')},
@@ -698,6 +715,12 @@ put("listing_fingerprint", select="""
 WITH s AS (SELECT l_suppkey || '|' || count(*) AS line FROM lineitem GROUP BY l_suppkey),
 t AS (SELECT count(*) AS n, sum(CAST(('0x' || substr(sha256(line), 1, 13)) AS HUGEINT)) AS total FROM s)
 SELECT n AS n_files, sha256(n || '|' || total) AS signature FROM t""")
+_PICKED = "picked AS (SELECT neuron, neuron % 7 <> 3 AS has_raw FROM (SELECT DISTINCT neuron FROM forest) ORDER BY md5('42:' || neuron), neuron LIMIT 50)"
+put("seeded_sample", FOREST, _PICKED, select="SELECT neuron FROM picked")
+put("paired_sample", FOREST, _PICKED, select="SELECT neuron, has_raw FROM picked")
+put("paired_sample_report", FOREST, _PICKED, select="""
+SELECT count(*) AS sampled, count(*) FILTER (has_raw) AS raw_found, count(*) FILTER (NOT has_raw) AS raw_missing,
+  coalesce(string_agg(neuron, ',' ORDER BY neuron) FILTER (NOT has_raw), '') AS missing FROM picked""")
 put("long_segment_sort", FOREST, EDGE, _SCREEN, select="SELECT neuron, n_matching_parents, n_matching_long_segments FROM screen WHERE matched")
 put("root_id_from_name", select="""
 SELECT c_custkey, CASE WHEN c_custkey % 4 IN (0, 1) THEN CAST(720575940600000000 + c_custkey AS VARCHAR)

@@ -1,5 +1,6 @@
 """Nearest joins, mesh distances, walks and retrieval against brute force."""
 
+import hashlib
 import math
 import random
 
@@ -7,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from arborspark.operators import mesh, morphology, nearest, retrieval, synapse
+from arborspark.operators import mesh, morphology, nearest, qc, retrieval, synapse
 
 
 def test_nearest_matches_brute_force(spark):
@@ -165,7 +166,9 @@ def test_minhash_tracks_jaccard_and_rerank_finds_itself(make, spark):
     rv, mv = retrieval.voxels(rn), retrieval.voxels(mn)
     c, q = retrieval.signatures(rv), retrieval.signatures(mv)
     pairs = retrieval.with_pair(q, c, retrieval.top_candidates(q, c, 3))
-    assert retrieval.incomplete(pairs, 3).count() == 0 and retrieval.incomplete(pairs, 4).count() == 6
+    assert retrieval.incomplete(q, pairs, 3).count() == 0
+    assert {r.error for r in retrieval.incomplete(q, retrieval.with_pair(q, c, retrieval.top_candidates(q, c, 6)), 6).collect()} == {"needs 6 competitors, found 5"}
+    assert {r.error for r in retrieval.incomplete(q, pairs.limit(0), 3).collect()} == {"no original of the same name"}
     scored = retrieval.exact_jaccard(pairs, mv, rv).collect()
     sets = lambda rows: {tuple(math.floor(v / 5000) for v in r[2:5]) for r in rows}
     for r in scored:
@@ -198,3 +201,27 @@ def test_full_size_mesh_queries(spark, tmp_path):
     out = QUERIES["mesh_agreement_full"](spark, folder).collect()
     assert len(out) == 1 and out[0].n_surface_samples == 80_000 and out[0].n_center_samples == sum(r.n for r in edges.values())
     assert 0 <= out[0].cable_fit_fraction_250nm <= out[0].cable_fit_fraction_1000nm <= 1
+
+
+def test_top_candidates_equal_all_pairs(spark):
+    rng = random.Random(5)
+    # few values, so many are held by more than two candidates; some neurons share nothing with any other
+    sigs = {f"n{i:02}": [rng.randrange(4) if i % 5 else 100 * i + j for j in range(16)] for i in range(40)}
+    table = spark.createDataFrame(list(sigs.items()), "neuron string, signature array<bigint>")
+    for k in (3, 30, 50):
+        got = {}
+        for r in retrieval.top_candidates(table, table, k, split=2).orderBy("nth").collect():
+            got.setdefault(r.query, []).append((r.candidate, r.minhash_jaccard))
+        for q, a in sigs.items():
+            scored = sorted((-sum(x == y for x, y in zip(a, b)) / 16, c) for c, b in sigs.items() if c != q)[:k]
+            assert got[q] == [(c, -s) for s, c in scored]
+    assert retrieval.top_candidates(table.limit(0), table, 3).count() == 0 and retrieval.top_candidates(table, table.limit(0), 3).count() == 0
+
+
+def test_paired_sample(spark):
+    names = spark.range(40).selectExpr("id AS neuron")
+    sample = qc.paired_sample(names.union(names), names.filter("neuron % 3 > 0"), "neuron", 15, 7)
+    order = sorted(range(40), key=lambda i: hashlib.md5(f"7:{i}".encode()).hexdigest())[:15]
+    assert {r.neuron: r.has_raw for r in sample.collect()} == {i: i % 3 > 0 for i in order}
+    gone = sorted(i for i in order if i % 3 == 0)
+    assert tuple(qc.sample_report(sample, "neuron").first()) == (15, 15 - len(gone), len(gone), ",".join(map(str, gone)))
