@@ -38,7 +38,8 @@ def _prepared(faces: DataFrame) -> DataFrame:
     columns |= {
         "nx": e["y"] * f["z"] - e["z"] * f["y"], "ny": e["z"] * f["x"] - e["x"] * f["z"], "nz": e["x"] * f["y"] - e["y"] * f["x"]
     }
-    return faces.withColumns(columns).filter("nx <> 0")
+    columns |= {f"{side}{a}": f(f"u{a}", f"v{a}", f"w{a}") for a in "xyz" for side, f in (("lo", F.least), ("hi", F.greatest))}
+    return faces.withColumns(columns)
 
 
 def _crosses() -> Column:
@@ -46,7 +47,29 @@ def _crosses() -> Column:
     c = F.col
     hand = lambda s: (c(f"{s}_dy") * (c("pz") - c(f"{s}_z")) - c(f"{s}_dz") * (c("py") - c(f"{s}_y")) >= 0) != c(f"{s}_turned")
     met = c("ux") - (c("ny") * (c("py") - c("uy")) + c("nz") * (c("pz") - c("uz"))) / c("nx")
-    return (hand("uv") == hand("vw")) & (hand("vw") == hand("wu")) & (met > c("px"))
+    return (c("nx") != 0) & (hand("uv") == hand("vw")) & (hand("vw") == hand("wu")) & (met > c("px"))
+
+
+def _bounded() -> Column:
+    inside = [F.col(f"p{a}").between(F.col(f"lo{a}"), F.col(f"hi{a}")) for a in "xyz"]
+    return inside[0] & inside[1] & inside[2]
+
+
+def _touches() -> Column:
+    """Does the prepared face hold (px, py, pz), a point within its bounds, its sides and corners included?
+
+    Plane and bounds are exact; only at a slanting side rounding is allowed for,
+    so that no gap opens between two faces sharing it.
+    """
+    c = F.col
+    d = {a: c(f"p{a}") - c(f"u{a}") for a in "xyz"}
+    held = c("nx") * d["x"] + c("ny") * d["y"] + c("nz") * d["z"] == 0
+    area = c("nx") * c("nx") + c("ny") * c("ny") + c("nz") * c("nz")
+    for a, b in ("uv", "vw", "wu"):
+        s, q = {x: c(f"{b}{x}") - c(f"{a}{x}") for x in "xyz"}, {x: c(f"p{x}") - c(f"{a}{x}") for x in "xyz"}
+        turn = sum((c(f"n{x}") * (s[y] * q[z] - s[z] * q[y]) for x, y, z in ("xyz", "yzx", "zxy")), F.lit(0.0))
+        held = held & (turn >= area * -1e-12)
+    return held & (area > 0)
 
 
 def regions_of_points(points: DataFrame, faces: DataFrame, cell: float = 8.0) -> DataFrame:
@@ -54,15 +77,19 @@ def regions_of_points(points: DataFrame, faces: DataFrame, cell: float = 8.0) ->
 
     ``points``: pid, px, py, pz.  Faces are listed under every (y, z) cell their
     projection touches and points meet only the faces of their own cell; an odd
-    number of crossings along +x means inside.
+    number of crossings along +x means inside, and so does a place on a face.
     """
     span = lambda a: F.sequence(
         F.floor(F.least(f"u{a}", f"v{a}", f"w{a}") / cell), F.floor(F.greatest(f"u{a}", f"v{a}", f"w{a}") / cell)
     )
     listed = land(_prepared(faces).withColumn("gy", F.explode(span("y"))).withColumn("gz", F.explode(span("z"))), "faces")
     placed = points.withColumns({"gy": F.floor(F.col("py") / cell), "gz": F.floor(F.col("pz") / cell)})
-    hits = placed.join(listed, ["gy", "gz"]).filter(_crosses())
-    return hits.groupBy("pid", "region").agg(F.count(F.lit(1)).alias("n")).filter("n % 2 = 1").select("pid", "region")
+    met = placed.join(listed, ["gy", "gz"])
+    # two short filters: one long one would defeat the JIT
+    hits = met.filter(_crosses()).select("pid", "region", F.lit(False).alias("t"))
+    held = met.filter(_bounded()).filter(_touches()).select("pid", "region", F.lit(True).alias("t"))
+    told = hits.unionByName(held).groupBy("pid", "region").agg(F.count_if(~F.col("t")).alias("n"), F.max("t").alias("on"))
+    return told.filter("on OR n % 2 = 1").select("pid", "region")
 
 
 def regions_of_boxes(points: DataFrame, boxes: DataFrame, cell: float = 8.0) -> DataFrame:

@@ -112,3 +112,20 @@ def test_stream_ingest(spark, tmp_path):
     got = spark.read.parquet(str(tmp_path / "nodes")).groupBy("neuron").count().orderBy("neuron").collect()
     assert got == [("11", 4), ("12", 1)]
     assert topology.child_counts(spark.read.parquet(str(tmp_path / "nodes"))).filter("n_children = 2").count() == 1
+
+
+def test_a_point_on_the_mesh_is_inside(spark):
+    """Sides, edges and corners of a box count as the SQL's BETWEEN does, whatever the cells."""
+    from itertools import product
+
+    from arborspark.operators import neuropil
+    from arborspark.plans.forest import box_mesh
+
+    box = spark.createDataFrame([("r", 0.25, 11.25, 20.5, 41.5, 0.05, 70.05)], "region string, lo_x double, hi_x double, lo_y double, hi_y double, lo_z double, hi_z double")
+    axes = [(0.0, 0.25, 3.7, 11.25, 12.0), (20.4, 20.5, 27.3, 41.5, 41.6), (0.0, 0.05, 33.3, 70.05, 70.1)]
+    rows = [(i, *map(float, p)) for i, p in enumerate(product(*axes))]
+    points = spark.createDataFrame(rows, "pid long, px double, py double, pz double")
+    inside = {i for i, x, y, z in rows if 0.25 <= x <= 11.25 and 20.5 <= y <= 41.5 and 0.05 <= z <= 70.05}
+    for cell in (8.0, 0.5):
+        got = [r.pid for r in neuropil.regions_of_points(points, box_mesh(box, "region"), cell=cell).collect()]
+        assert len(got) == len(set(got)) and set(got) == inside
