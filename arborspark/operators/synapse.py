@@ -17,14 +17,11 @@ def assign(nodes: DataFrame, synapses: DataFrame, cell_um: float = 4.0) -> DataF
     without nodes are absent.
     """
     um = lambda c: F.col(c) / F.lit(NM_PER_UM)
-    probes = synapses.select("neuron", F.col("syn_id").alias("pid"), *[um(a).alias(f"p{a}") for a in "xyz"])
+    probes = synapses.select("neuron", F.col("syn_id").alias("pid"), "syn_type", *[um(a).alias(f"p{a}") for a in "xyz"])
     items = nodes.select("neuron", "row_idx", "id", "type", *[um(a).alias(a) for a in "xyz"])
-    hit = nearest(probes, items, ["neuron"], cell=cell_um, carry=("id", "type", "x", "y", "z"))
-    points = synapses.select(
-        "neuron", F.col("syn_id").alias("pid"), "syn_type", *[um(a).alias(f"syn_{a}_um") for a in "xyz"]
-    )
-    return points.join(hit, ["neuron", "pid"]).select(
-        "neuron", "syn_type", F.col("pid").alias("syn_id"), "syn_x_um", "syn_y_um", "syn_z_um",
+    hit = nearest(probes, items, ["neuron"], cell=cell_um, carry=("id", "type", "x", "y", "z"), keep=("syn_type", "px", "py", "pz"))
+    return hit.select(
+        "neuron", "syn_type", F.col("pid").alias("syn_id"), *[F.col(f"p{a}").alias(f"syn_{a}_um") for a in "xyz"],
         F.col("row_idx").alias("assigned_node_row"), F.col("id").alias("assigned_node_id"),
         F.col("type").alias("assigned_node_type"),
         *[F.col(a).alias(f"assigned_{a}_um") for a in "xyz"],

@@ -225,3 +225,37 @@ def test_paired_sample(spark):
     assert {r.neuron: r.has_raw for r in sample.collect()} == {i: i % 3 > 0 for i in order}
     gone = sorted(i for i in order if i % 3 == 0)
     assert tuple(qc.sample_report(sample, "neuron").first()) == (15, 15 - len(gone), len(gone), ",".join(map(str, gone)))
+
+
+@pytest.mark.parametrize("n", [1, 3])
+def test_nearest_in_frames_slices_and_cells_agree(spark, monkeypatch, n):
+    """Keys that fit a task, keys of many probes (in slices) and keys too large for a task, against all pairs."""
+    rng = random.Random(n)
+    place = lambda: tuple(rng.choice([rng.uniform(0, 9), float(rng.randrange(9))]) for _ in range(3))
+    items = [(k, i, *place()) for k, many in (("a", 5), ("b", 1500), ("c", 90), ("lonely", 3)) for i in range(many)]
+    probes = [(k, i, *place()) for k, many in (("a", 300), ("b", 200), ("c", 40), ("none", 3)) for i in range(many)]
+    left, right = spark.createDataFrame(probes, "k string, pid long, px double, py double, pz double"), spark.createDataFrame(items, "k string, row_idx long, x double, y double, z double")
+    want = {}
+    for k, i, *p in probes:
+        far = sorted((sum((a - b) ** 2 for a, b in zip(p, q)), j) for key, j, *q in items if key == k)[:n]
+        want |= {(k, i, nth): (j, round(d**0.5, 9)) for nth, (d, j) in enumerate(far, 1)}
+    for pack in (1 << 18, 64):
+        monkeypatch.setattr(nearest, "PACK", pack)
+        monkeypatch.setattr(nearest, "FRAME_ROWS", 128)
+        got = nearest.nearest(left, right, ["k"], k=n, cell=1.0, keep=("px",)).collect()
+        assert {(r.k, r.pid, r.nth): (r.row_idx, round(r.distance, 9)) for r in got} == want and len(got) == len(want)
+        assert all(r.px == probes[[p[:2] for p in probes].index((r.k, r.pid))][2] for r in got[:20])
+
+
+def test_triangle_squares_are_those_of_the_column(spark):
+    rng = np.random.default_rng(5)
+    corners = rng.uniform(-3, 3, (40, 9)).round(1)
+    corners[::9, 3:6] = corners[::9, :3]  # without area
+    faces = spark.createDataFrame([("n", i, *map(float, c)) for i, c in enumerate(corners)], "neuron string, face_id long, " + ", ".join(f"{v}{c} double" for v in "uvw" for c in "xyz"))
+    prepared = mesh._prepared(faces)
+    places = rng.uniform(-4, 4, (30, 3)).round(1)
+    probes = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(places)], "pid long, px double, py double, pz double")
+    want = {(r.pid, r.face_id): r.d for r in probes.crossJoin(prepared).select("pid", "face_id", mesh.triangle_distance2().alias("d")).collect()}
+    told = prepared.orderBy("face_id").toPandas()
+    got = mesh.triangle_squares(places, {c: told[c].to_numpy(dtype=float) for c in mesh.FACE_FIELDS})
+    assert all(got[i, j] == d for (i, j), d in want.items())
