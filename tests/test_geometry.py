@@ -259,3 +259,30 @@ def test_triangle_squares_are_those_of_the_column(spark):
     told = prepared.orderBy("face_id").toPandas()
     got = mesh.triangle_squares(places, {c: told[c].to_numpy(dtype=float) for c in mesh.FACE_FIELDS})
     assert all(got[i, j] == d for (i, j), d in want.items())
+
+
+def test_candidates_by_parts_match_all_pairs(spark, monkeypatch):
+    rng = random.Random(8)
+    sig = {f"n{i:02d}": [rng.randrange(4) for _ in range(16)] for i in range(40)}
+    monkeypatch.setattr(retrieval, "TILE", 3)
+    table = lambda names: spark.createDataFrame([(n, sig[n]) for n in names], "neuron string, signature array<bigint>")
+    queries, held = list(sig)[:25], list(sig)[5:]
+    for split in (4096, 7):
+        got = {}
+        for r in retrieval.top_candidates(table(queries), table(held), 6, split=split).collect():
+            got.setdefault(r.query, {})[r.candidate] = r.minhash_jaccard
+        for q in queries:
+            far = sorted((-sum(a == b for a, b in zip(sig[q], sig[c])) / 16, c) for c in held if c != q)[:6]
+            assert got[q] == {c: -d for d, c in far}
+    plan = retrieval.top_candidates(table(queries), table(held), 6)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan  # candidates never meet once per equal place
+
+
+def test_exact_jaccard_across_blocks(spark):
+    rng = random.Random(9)
+    cells = {n: {tuple(rng.randrange(-70, 70) // 30 * 30 + rng.randrange(3) for _ in range(3)) for _ in range(300)} for n in "abc"}
+    vox = spark.createDataFrame([(n, *v) for n, vs in cells.items() for v in vs], "neuron string, vx long, vy long, vz long")
+    pairs = spark.createDataFrame([(a, b) for a in "abc" for b in "abc"], "query string, candidate string")
+    for r in retrieval.exact_jaccard(pairs, vox, vox).collect():
+        a, b = cells[r.query], cells[r.candidate]
+        assert r.shared == len(a & b) and r.jaccard == len(a & b) / len(a | b)
