@@ -186,3 +186,10 @@ def test_hot_key_windows_match_plain_ones(spark, monkeypatch):
         assert list(a)[1:] == pytest.approx(list(b)[1:])
     total = ordering.running(df, [], ["v", "tie"], {"n": F.lit(1)})
     assert total.agg(F.max("n"), F.countDistinct("n")).first()[:] == (4000, 4000)
+
+
+def test_short_runs_share_frames_and_change_nothing(make):
+    nodes = make({f"n{i:03d}": random_forest(i, n=40) for i in range(30)} | {"big": random_forest(99, n=900)})
+    assert topology.frames(nodes, run_rows=16).select("_frame").distinct().count() <= 2
+    told = lambda run: sorted(tuple(r) for r in topology.traverse(nodes, sums={"size": topology.F.lit(1.0)}, run_rows=run).collect())
+    assert told(16) == told(None)
