@@ -1,10 +1,13 @@
 """Traversals against plain Python walks, whole and cut into short runs."""
 
+import os
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from arborspark.operators import ordering, topology
+from arborspark.session import land
 
 
 def random_forest(seed, n=120, roots=2):
@@ -193,3 +196,16 @@ def test_short_runs_share_frames_and_change_nothing(make):
     assert topology.frames(nodes, run_rows=16).select("_frame").distinct().count() <= 2
     told = lambda run: sorted(tuple(r) for r in topology.traverse(nodes, sums={"size": topology.F.lit(1.0)}, run_rows=run).collect())
     assert told(16) == told(None)
+
+
+def test_packed_node_tables_are_not_broadcast(spark):
+    """A landed table of many nodes packs into a file under the broadcast limit; its join must not go through the driver."""
+    n = 400_000
+    i = F.col("id")
+    nodes = land(spark.range(n).select(
+        F.floor(i / 400).alias("neuron"), (i % 400).alias("id"), (i % 400).alias("row_idx"), F.when(i % 400 == 0, -1).otherwise(i % 400 - 1).alias("parent")
+    ))
+    sizes = topology.subtree_totals(nodes.withColumn("size", F.lit(1.0)), ["size"])
+    assert sum(os.path.getsize(f.removeprefix("file:")) for f in sizes.inputFiles()) < 10 << 20
+    plan = nodes.join(sizes, ["neuron", "id"])._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" not in plan
