@@ -286,3 +286,39 @@ def test_exact_jaccard_across_blocks(spark):
     for r in retrieval.exact_jaccard(pairs, vox, vox).collect():
         a, b = cells[r.query], cells[r.candidate]
         assert r.shared == len(a & b) and r.jaccard == len(a & b) / len(a | b)
+
+
+def test_radius_quantiles_equal_those_of_all_samples(spark, make):
+    """Level edges, ties between edges, one value only, short edges: the narrowed search gives the quantiles of the whole window."""
+    rng = random.Random(5)
+    trees = {
+        name: [(1, 1, 0, 0, 0, radius(), -1)] + [(i, 0, *(rng.uniform(0, 9000) for _ in "xyz"), radius(), rng.randrange(1, i)) for i in range(2, 60)]
+        for name, radius in {"few": lambda: rng.choice([10.0, 20.0, 70.0]), "same": lambda: 5.0, "many": lambda: rng.uniform(-1, 100), "wide": lambda: 10 ** rng.uniform(-9, 9)}.items()
+    }
+    trees["pair"] = [(1, 1, 0, 0, 0, 3, -1), (2, 0, 100, 0, 0, 4, 1)]
+    edges = mesh.sampled_edges(make(trees), spacing=100.0, most=16)
+    probs = {"q0": 0.0, "q10": 0.1, "q50": 0.5, "q90": 0.9, "q100": 1.0}
+    whole = mesh.weighted_quantiles(mesh.samples_of(edges), ["neuron"], "radius", "weight", probs, ["child_id", "k"], rows=1)
+    want = {r["neuron"]: r for r in whole.collect()}
+    for rounds in (1, 2, 3):
+        got = {r["neuron"]: r for r in mesh.radius_quantiles(edges, probs, bands=4, rounds=rounds).collect()}
+        assert got.keys() == want.keys()
+        for n in want:
+            assert [got[n][q] for q in probs] == pytest.approx([want[n][q] for q in probs], rel=1e-9), n
+
+
+def test_few_faces_with_many_points_spread_over_tasks(spark):
+    corners = [[0.0, 0, 0, 1, 0, 0, 0, 1, 0]]
+    faces = spark.createDataFrame([("n", 0, *map(float, corners[0]))], "neuron string, face_id bigint, " + ", ".join(f"{v}{c} double" for v in "uvw" for c in "xyz"))
+    points = mesh.sample_surface(faces, count=3_000_000, rows=1)
+    sizes = [r["n"] for r in points.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert sum(sizes) == 3_000_000 and max(sizes) <= 2_000_000
+
+
+def test_edge_overlap_equals_that_of_samples(spark, make):
+    rng = random.Random(2)
+    nodes = make([(1, 1, 0, 0, 0, 1, -1)] + [(i, 0, *(rng.uniform(0, 9000) for _ in "xyz"), 1, rng.randrange(1, i)) for i in range(2, 40)])
+    faces = spark.createDataFrame([("n", 0, 1.0, 2.0, 3.0, 5000.0, 2.0, 3.0, 1.0, 4000.0, 6000.0)], "neuron string, face_id bigint, " + ", ".join(f"{v}{c} double" for v in "uvw" for c in "xyz"))
+    edges = mesh.sampled_edges(nodes)
+    got, want = mesh.edge_overlap(edges, faces).first(), mesh.overlap(mesh.samples_of(edges), faces).first()
+    assert tuple(got)[1:] == pytest.approx(tuple(want)[1:])
