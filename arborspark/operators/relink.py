@@ -30,6 +30,7 @@ MAX_HOPS, MAX_PATH_UM = 8, 8.0
 DIRECTION_HOPS, DIRECTION_UM = 8, 8.0
 W_PATH, W_ANGLE, W_LENGTH, W_CROSSING = 0.45, 0.35, 0.15, 0.05
 CROSSING_TOLERANCE_UM = 0.05
+PAIRS = 1 << 20  # moves by edges held at a time
 LOOK_HOPS = max(MAX_HOPS, DIRECTION_HOPS) + 1
 VIEW_HOPS = LOOK_HOPS + 1  # and the edges that leave what is looked at
 
@@ -124,23 +125,27 @@ class _View:
         cosine = _units(point - xyz[self.rows[self.anchors]]) @ _units(point - xyz[self.source])
         self.angle[b] = 0.5 * (1.0 - np.clip(cosine, -1.0, 1.0))
 
-    def _crossings(self) -> np.ndarray:
-        """For every move, how near its new edge comes to the edges in view that it doesn't touch, 1 at contact."""
+    def _crossings(self, moves: np.ndarray) -> np.ndarray:
+        """For every (branch, anchor) in ``moves``, how near its new edge comes to the edges in view that it doesn't touch, 1 at contact."""
         c, kept = self.c, (self.hop <= MAX_HOPS) & (self.path <= MAX_PATH_UM)
         near = np.append(self.rows[(self.over < 0) | kept[self.over]], self.source)
         ends = np.union1d(near, self.rows[np.isin(c.up_of(self.rows), near)])
         ends = ends[c.has_parent[ends]]
-        out = np.zeros(self.new_edge.shape)
-        low, high = np.minimum(c.xyz[ends], c.above[ends]) - CROSSING_TOLERANCE_UM, np.maximum(c.xyz[ends], c.above[ends]) + CROSSING_TOLERANCE_UM
-        for b in np.flatnonzero(self.live):
-            head = self.heads[b]
-            for column, anchor in enumerate(self.rows[self.anchors]):
-                p, q = c.xyz[anchor], c.xyz[head]
-                meet = ((np.minimum(p, q) <= high) & (np.maximum(p, q) >= low)).all(axis=1)
-                meet &= ~np.isin(ends, (anchor, head)) & ~np.isin(c.up_of(ends), (anchor, head))
-                if meet.any():
-                    gap = segment_gaps(p[None], q[None], c.xyz[ends[meet]], c.above[ends[meet]]).min()
-                    out[b, column] = max(0.0, 1.0 - gap / CROSSING_TOLERANCE_UM)
+        over, here, there = c.up_of(ends), c.xyz[ends], c.above[ends]
+        low, high = np.minimum(here, there) - CROSSING_TOLERANCE_UM, np.maximum(here, there) + CROSSING_TOLERANCE_UM
+        out, step = np.zeros(len(moves)), max(1, PAIRS // max(len(ends), 1))
+        for start in range(0, len(moves), step):
+            head, anchor = self.heads[moves[start : start + step, 0]], self.rows[self.anchors[moves[start : start + step, 1]]]
+            p, q = c.xyz[anchor], c.xyz[head]
+            meet = np.ones((len(head), len(ends)), dtype=bool)
+            for axis in range(3):
+                meet &= (np.minimum(p, q)[:, axis, None] <= high[None, :, axis]) & (np.maximum(p, q)[:, axis, None] >= low[None, :, axis])
+            for own in (head, anchor):
+                meet &= (ends[None, :] != own[:, None]) & (over[None, :] != own[:, None])
+            move, end = np.nonzero(meet)
+            closest = np.full(len(head), np.inf)
+            np.minimum.at(closest, move, segment_gaps(p[move], q[move], here[end], there[end]))
+            out[start : start + step] = np.maximum(0.0, 1.0 - closest / CROSSING_TOLERANCE_UM)
         return out
 
     def cheapest(self) -> dict | None:
@@ -151,8 +156,12 @@ class _View:
         if not allowed.any():
             return None
         length = np.maximum(0.0, self.new_edge - self.old_edge[:, None]) / MAX_PATH_UM
-        crossing = self._crossings() if c.check_crossing else np.zeros(length.shape)
-        cost = W_PATH * (self.path[at] / MAX_PATH_UM)[None, :] + W_ANGLE * self.angle + W_LENGTH * length + W_CROSSING * crossing
+        cost, crossing = W_PATH * (self.path[at] / MAX_PATH_UM)[None, :] + W_ANGLE * self.angle + W_LENGTH * length, np.zeros(length.shape)
+        if c.check_crossing:  # a crossing costs W_CROSSING at most, so dearer moves cannot win
+            allowed &= cost <= cost[allowed].min() + W_CROSSING
+            moves = np.argwhere(allowed)
+            crossing[moves[:, 0], moves[:, 1]] = self._crossings(moves)
+        cost = cost + W_CROSSING * crossing
         least = np.argwhere(allowed & (cost == cost[allowed].min()))
         b, k = min(least, key=lambda m: (self.path[at[m[1]]], self.new_edge[m[0], m[1]], c.ids[self.heads[m[0]]], c.ids[self.rows[at[m[1]]]]))
         anchor = at[k]

@@ -417,3 +417,19 @@ def test_permutations_equal_plain_loops(spark):
     assert statistics.label_permutation(pairs.limit(0)).first()[:] == (0, None, None)
     told = statistics.same_or_different(pairs).first()
     assert (told.n1, told.n2) == (6, 30) and told.same_mean == pytest.approx(np.mean([similar[n, n] for n in names]), abs=1e-9)
+
+
+def test_crossings_of_a_step_are_measured_together(monkeypatch):
+    """The gaps of all moves that can still win are one array job a step, however many branches and anchors there are."""
+    rng, calls = random.Random(11), []
+    gaps = relink.segment_gaps
+    monkeypatch.setattr(relink, "segment_gaps", lambda *a: calls.append(len(a[0])) or gaps(*a))
+    rows = [(0, 0, -1, 0)] + [(i, i, 0 if i < 6 else i - 5, 5) for i in range(1, 26)]
+    at = {i: [rng.uniform(-900, 900) for _ in "xyz"] for i in range(26)}
+    pdf = pd.DataFrame([
+        {"neuron": 1, "cluster": 0, "id": i, "row_idx": r, "parent": p, "type": 5 if i == 0 else 0, "is_target": i == 0, **dict(zip("xyz", at[i])),
+         **{f"p_{c}": at[p][k] if p >= 0 else float("nan") for k, c in enumerate("xyz")}} for i, r, p, _ in rows
+    ])
+    steps = relink._Cluster(pdf, True).resolve()
+    assert len(steps) == 3 and not any(s["failed"] for s in steps)
+    assert len(calls) <= len(steps)
