@@ -101,6 +101,22 @@ def regions_of_boxes(points: DataFrame, boxes: DataFrame, cell: float = 8.0) ->
     return placed.join(listed, ["gx", "gy"]).filter(inside[0] & inside[1] & inside[2]).select("pid", "region")
 
 
+def label_in_boxes(points: DataFrame, boxes: DataFrame, cell: float = 8.0) -> DataFrame:
+    """``label_points`` of ``regions_of_boxes``: each point meets the list of its cell's boxes once and is not shuffled again."""
+    span = lambda a: F.explode(F.sequence(F.floor(F.col(f"lo_{a}") / cell), F.floor(F.col(f"hi_{a}") / cell)))
+    bounds = [f"{side}_{a}" for a in "xyz" for side in ("lo", "hi")]
+    listed = boxes.withColumn("gx", span("x")).withColumn("gy", span("y"))
+    listed = listed.groupBy("gx", "gy").agg(F.collect_list(F.struct("region", *bounds)).alias("_boxes"))
+    placed = points.withColumns({"gx": F.floor(F.col("px") / cell), "gy": F.floor(F.col("py") / cell)}).join(listed, ["gx", "gy"], "left")
+
+    def holds(b: Column) -> Column:
+        inside = [F.col(f"p{a}").between(b[f"lo_{a}"], b[f"hi_{a}"]) for a in "xyz"]
+        return inside[0] & inside[1] & inside[2]
+
+    names = F.array_join(F.array_sort(F.array_distinct(F.filter("_boxes", holds).region)), "|")
+    return placed.select(*points.columns, F.coalesce(F.nullif(names, F.lit("")), F.lit(OUTSIDE)).alias("neuropil"))
+
+
 def label_points(points: DataFrame, pairs: DataFrame) -> DataFrame:
     """Points with one label: region, several joined by ``|`` in name order, or OUTSIDE."""
     names = pairs.groupBy("pid").agg(F.array_join(F.array_sort(F.collect_set("region")), "|").alias("neuropil"))

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from arborspark.operators import mesh, morphology, nearest, qc, retrieval, synapse
+from arborspark.operators import mesh, morphology, nearest, neuropil, qc, retrieval, synapse
 
 
 def test_nearest_matches_brute_force(spark):
@@ -322,3 +322,18 @@ def test_edge_overlap_equals_that_of_samples(spark, make):
     edges = mesh.sampled_edges(nodes)
     got, want = mesh.edge_overlap(edges, faces).first(), mesh.overlap(mesh.samples_of(edges), faces).first()
     assert tuple(got)[1:] == pytest.approx(tuple(want)[1:])
+
+
+def test_points_labelled_in_their_cell_shuffle_nothing(spark):
+    """Labels equal those of the pair table, and the points go through no exchange."""
+    rng = random.Random(8)
+    boxes = spark.createDataFrame(
+        [(f"R{i % 9}", *(v for _ in "xyz" for lo in [rng.uniform(-20, 20)] for v in (lo, lo + rng.uniform(0, 15)))) for i in range(25)],
+        "region string, " + ", ".join(f"{side}_{a} double" for a in "xyz" for side in ("lo", "hi")),
+    )
+    points = spark.createDataFrame([(i, *(rng.uniform(-25, 40) for _ in "xyz")) for i in range(800)], "pid bigint, px double, py double, pz double")
+    told = neuropil.label_in_boxes(points, boxes)
+    want = neuropil.label_points(points, neuropil.regions_of_boxes(points, boxes))
+    assert {(r["pid"], r["neuropil"]) for r in told.collect()} == {(r["pid"], r["neuropil"]) for r in want.collect()}
+    plan = neuropil.label_in_boxes(points, F.broadcast(boxes))._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("Aggregate") <= 2 and plan.count("Join") == 1
