@@ -433,3 +433,27 @@ def test_crossings_of_a_step_are_measured_together(monkeypatch):
     steps = relink._Cluster(pdf, True).resolve()
     assert len(steps) == 3 and not any(s["failed"] for s in steps)
     assert len(calls) <= len(steps)
+
+
+def test_short_neurons_are_relinked_in_their_frame(make, monkeypatch):
+    """Neurons that fit a frame take no traversal by joins, and longer ones beside them come out the same."""
+    groups = {f"t{s}": relink_tree(s) for s in (0, 3, 5, 8)}
+    bush = [(1, 1, 0, 0, 0, 1, -1), (2, 5, 1000, 0, 0, 1, 1)] + [(i, 0, 2000 + i, 300 * i, 0, 1, 2 if i < 6 else i - 3) for i in range(3, 12)]
+    groups["bush"] = bush
+    groups["stuck"] = [(1, 1, 0, 0, 0, 1, -1), (2, 5, 1000, 0, 0, 1, 1)] + [(i, 6, 2000, 100 * i, 0, 1, 2) for i in (3, 4, 5)]
+    groups["twice"] = [*bush, bush[-1]]
+    groups["lost"] = [*bush, (40, 0, 0, 0, 0, 1, 39)]
+    groups["ring"] = [*bush, (40, 0, 0, 0, 0, 1, 41), (41, 0, 0, 0, 0, 1, 40)]
+    groups["late root"] = bush[::-1]
+    nodes = make(groups)
+    rows = lambda tables: [sorted(map(str, t.select(*sorted(t.columns)).collect())) for t in tables]
+    with monkeypatch.context() as patch:
+        patch.setattr(topology, "CHUNK_ROWS", 64)
+        mixed = rows(relink.relink(nodes))
+    by_joins = []
+    monkeypatch.setattr(topology, "traverse", lambda *a, **k: by_joins.append(a))
+    whole = relink.relink(nodes)
+    assert rows(whole) == mixed and not by_joins
+    method = {r.neuron: r.output_method for r in whole[2].collect()}
+    assert {n for n in ("bush", "stuck", "twice", "lost", "ring", "late root") if method[n] == "relinked"} == {"bush", "late root"}
+    assert whole[0].filter("neuron = 'twice' AND position <> row_idx").isEmpty() and whole[1].filter("neuron = 'bush'").count() == 1
