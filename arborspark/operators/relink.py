@@ -499,15 +499,23 @@ def node_records(nodes: DataFrame, relinked: DataFrame, steps: DataFrame) -> Dat
 
 
 def validate(nodes: DataFrame, relinked: DataFrame) -> DataFrame:
-    """Per neuron: lost or new ids, repeated ids, missing parents, Type-5 nodes with more than two children."""
-    before = nodes.select("neuron", "id").distinct().withColumn("_b", F.lit(True))
-    after = relinked.groupBy("neuron", "id").agg(F.count(F.lit(1)).alias("_n"))
-    ids = before.join(after, ["neuron", "id"], "full_outer").groupBy("neuron").agg(
-        F.count_if(F.col("_n").isNull() | F.col("_b").isNull()).alias("id_mismatch"), F.count_if(F.col("_n") > 1).alias("repeated_ids")
-    )
-    missing = relinked.filter("parent <> -1").join(after.select("neuron", F.col("id").alias("parent")), ["neuron", "parent"], "left_anti")
-    missing = missing.groupBy("neuron").agg(F.count(F.lit(1)).alias("missing_parents"))
-    crowded = topology.child_counts(relinked).groupBy("neuron").agg(
-        F.count_if((F.col("type") == TARGET_TYPE) & (F.col("n_children") > 2)).alias("unresolved")
+    """Per neuron: lost or new ids, repeated ids, missing parents, Type-5 nodes with more than two children.
+
+    A row per node before, after and as named by a child meet in one grouping.
+    """
+    zero = F.lit(0).cast("bigint")
+    flags = ("_before", "_after", "_crowd", "_kids")
+
+    def rows(df: DataFrame, node: str, **said) -> DataFrame:
+        return df.select("neuron", F.col(node).alias("id"), *[said.get(f, zero).cast("bigint").alias(f) for f in flags])
+
+    one = F.lit(1)
+    seen = rows(nodes, "id", _before=one).unionByName(
+        rows(relinked, "id", _after=one, _crowd=F.when(F.col("type") == TARGET_TYPE, 1).otherwise(0))
+    ).unionByName(rows(relinked.filter("parent <> -1"), "parent", _kids=one))
+    each = seen.groupBy("neuron", "id").agg(*[F.sum(f).alias(f) for f in flags])
+    return each.groupBy("neuron").agg(
+        F.count_if((F.col("_before") > 0) != (F.col("_after") > 0)).alias("id_mismatch"), F.count_if(F.col("_after") > 1).alias("repeated_ids"),
+        F.sum(F.when(F.col("_after") == 0, F.col("_kids")).otherwise(0)).alias("missing_parents"),
+        F.sum(F.when(F.col("_kids") > 2, F.col("_crowd")).otherwise(0)).alias("unresolved"),
     )
-    return ids.join(missing, "neuron", "left").join(crowded, "neuron", "left").fillna(0)

@@ -457,3 +457,11 @@ def test_short_neurons_are_relinked_in_their_frame(make, monkeypatch):
     method = {r.neuron: r.output_method for r in whole[2].collect()}
     assert {n for n in ("bush", "stuck", "twice", "lost", "ring", "late root") if method[n] == "relinked"} == {"bush", "late root"}
     assert whole[0].filter("neuron = 'twice' AND position <> row_idx").isEmpty() and whole[1].filter("neuron = 'bush'").count() == 1
+
+
+def test_relink_validation_is_one_grouping(make):
+    before = make({"a": [(i, 5, 0, 0, 0, 1, i - 1 if i > 1 else -1) for i in range(1, 5)], "b": [(1, 1, 0, 0, 0, 1, -1)], "c": [(1, 1, 0, 0, 0, 1, -1)]})
+    after = make({"a": [(1, 5, 0, 0, 0, 1, -1), (2, 5, 0, 0, 0, 1, 1), (3, 0, 0, 0, 0, 1, 1), (3, 0, 0, 0, 0, 1, 1), (9, 0, 0, 0, 0, 1, 8), (10, 0, 0, 0, 0, 1, 8)], "b": [(1, 1, 0, 0, 0, 1, -1)]})
+    told = relink.validate(before, after)
+    assert {r.neuron: r[1:] for r in told.collect()} == {"a": (3, 1, 2, 1), "b": (0, 0, 0, 0), "c": (1, 0, 0, 0)}
+    assert "Join" not in told._jdf.queryExecution().executedPlan().toString()
