@@ -337,3 +337,26 @@ def test_points_labelled_in_their_cell_shuffle_nothing(spark):
     assert {(r["pid"], r["neuropil"]) for r in told.collect()} == {(r["pid"], r["neuropil"]) for r in want.collect()}
     plan = neuropil.label_in_boxes(points, F.broadcast(boxes))._jdf.queryExecution().sparkPlan().toString()
     assert plan.count("Aggregate") <= 2 and plan.count("Join") == 1
+
+
+def _exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def _wild_forest(seed, n=90):
+    rng = random.Random(seed)
+    rows = [(1, 0, 0.0, 0.0, 0.0, 1, -1)]
+    for i in range(2, n):
+        base = rows[-1] if rng.random() < 0.7 else rng.choice(rows)
+        rows.append((i, 0, base[2] + rng.gauss(0, 500), base[3] + rng.gauss(0, 500), base[4] + rng.gauss(0, 500), 1, base[0]))
+    rows[40] = (*rows[40][:6], 70)  # may close a loop
+    return rows
+
+
+def test_deflection_of_whole_neurons_takes_one_shuffle_and_equals_that_of_runs(make):
+    nodes = make({f"n{i}": _wild_forest(i) for i in range(6)})
+    nodes = nodes.withColumn("x", morphology.F.expr("CASE WHEN neuron = 'n1' AND id = 30 THEN NULL ELSE x END"))
+    whole, runs = morphology.deflection_angles(nodes), morphology.deflection_angles(nodes, run_rows=16)
+    assert _exchanges(whole) <= 1
+    told = lambda df: sorted((r.neuron, r.fork, r.child, round(r.angle_deg, 6)) for r in df.collect())
+    assert told(whole) == told(runs) and len(told(runs)) > 100
