@@ -9,10 +9,18 @@ that does not grow with the neuron.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from arborspark.operators import ordering, topology
+from arborspark.operators.nearest import codes
 from arborspark.operators.repair import retype_zero_five
 from arborspark.operators.soma_growth import Rules, core_of
 from arborspark.schema import NM_PER_UM
@@ -50,13 +58,87 @@ def soma_roots(nodes: DataFrame) -> DataFrame:
     )
 
 
+def _valid_radius() -> Column:
+    valid = F.col("connected") & (F.col("radius") > 0) & ~F.isnan("radius") & (F.col("radius") < float("inf")) & (F.col("type") != 1)
+    return F.coalesce(valid, F.lit(False))
+
+
+def _medians(neuron: np.ndarray, values: np.ndarray, builtin: bool) -> np.ndarray:
+    """Median of the values of every neuron (a number), written as ``ordering.quantiles`` writes it; NaN without values."""
+    order = np.lexsort((values, neuron))
+    size = np.bincount(neuron)
+    start, at = np.cumsum(size) - size, (size - 1) * 0.5
+    lo = np.floor(at).astype(np.int64)
+    ranked = np.append(values[order], np.nan)
+    pick = lambda i: ranked[np.where(size > 0, start + i, len(values))]
+    a, b = pick(np.maximum(lo, 0)), pick(np.maximum(np.minimum(lo + 1, size - 1), 0))
+    if builtin:
+        return np.where((at == lo) | (a == b), a, (lo + 1 - at) * a + (at - lo) * b)
+    return a + (b - a) * (at - lo)
+
+
+def _survey(left: pa.Table, right: pa.Table, builtin: bool, shape: pa.Schema) -> pa.Table:
+    """``node_facts`` of the whole neurons of a frame, up to what follows from the columns alone."""
+    if not left.num_rows or not right.num_rows:
+        return shape.empty_table()
+    neuron, tops = codes(left, right, ["neuron"])
+    slot = np.full(max(neuron.max(), tops.max()) + 1, -1)
+    slot[tops] = np.arange(len(tops))
+    value = lambda table, c: table[c].to_numpy().astype(float)
+    order = np.argsort(left["row_idx"].to_numpy(), kind="stable")
+    order = order[slot[neuron[order]] >= 0]
+    left, neuron = left.take(pa.array(order)), neuron[order]
+    ids, parent, kind = (left[c].to_numpy() for c in ("id", "parent", "type"))
+    at = np.stack([value(left, c) for c in "xyz"], axis=1)
+    far = (at - np.stack([value(right, f"soma_{c}") for c in "xyz"], axis=1)[slot[neuron]]) / NM_PER_UM
+    at, n = at / NM_PER_UM, len(ids)
+    named = topology._parent_rows(pd.Series(neuron), ids, parent)
+    step = np.where(named[:, None] >= 0, at - at[named], np.nan)
+    length = np.nan_to_num(np.sqrt(step[:, 0] * step[:, 0] + step[:, 1] * step[:, 1] + step[:, 2] * step[:, 2]), nan=0.0)
+    over = np.where(parent == -1, -1, named)
+    leaf = (np.bincount(over[over >= 0], minlength=n) == 0).astype(float)
+    top, (root_dist,), looped = topology._climb(over, [length])
+    alive = lambda v: np.where(looped, np.nan, v)
+    (cable, n_below, n_leaves), (far_dist,) = topology._gather(over, [length, np.ones(n), leaf], [alive(root_dist)])
+    radius, top_type = value(left, "radius") / NM_PER_UM, alive(kind[top])
+    valid = (top_type == 1) & (radius > 0) & (kind != 1)
+    medians = np.append(_medians(neuron[valid], radius[valid], builtin), np.full(neuron.max(initial=0) + 1, np.nan))[neuron]
+    soma_dist = np.sqrt(far[:, 0] * far[:, 0] + far[:, 1] * far[:, 1] + far[:, 2] * far[:, 2])
+    doubles = [at[:, 0], at[:, 1], at[:, 2], radius, soma_dist, length, leaf, alive(root_dist), top_type, alive(cable), alive(n_below), alive(n_leaves), alive(far_dist), medians]
+    columns = [*[left[c] for c in ("neuron", "id", "row_idx", "parent", "type")], *[pa.array(v, pa.float64(), from_pandas=True) for v in doubles], pa.array(looped)]
+    return pa.table(columns, schema=shape)
+
+
 def node_facts(nodes: DataFrame, roots: DataFrame, rows: int | None = None) -> DataFrame:
     """Scaled nodes with everything the pruning needs to know about them.
 
     edge_length, cable / n_below / n_leaves (of the whole subtree, own edge
     included), root_dist, far_dist (largest root_dist below), soma_dist, ratio,
-    connected, leaf.
+    connected, leaf; ``baseline`` is null in neurons without a valid radius.
+    Neurons that a task can hold take one shuffle, others joins and traversals.
     """
+    nodes = nodes.select("neuron", "id", "row_idx", "parent", "type", "x", "y", "z", "radius")
+    roots = roots.select("neuron", "soma_x", "soma_y", "soma_z")
+    whole, longer, frame = topology.split_neurons(nodes, F.col("type").isNotNull() & topology.finite_or_null("x", "y", "z", "radius"))
+    parts = []
+    if whole is not None:
+        builtin = rows is not None and rows <= ordering.HOT_ROWS
+        doubles = "x y z radius soma_dist edge_length leaf root_dist top_type cable n_below n_leaves far_dist baseline".split()
+        shape = T.StructType([T.StructField(c, nodes.schema[c].dataType) for c in ("neuron", "id", "row_idx", "parent", "type")])
+        shape = T.StructType([*shape, *[T.StructField(c, T.DoubleType()) for c in doubles], T.StructField("looped", T.BooleanType())])
+        arrow = to_arrow_schema(shape)
+        # both sides stem from one table: columns of their own tell them apart
+        own = lambda df: df.select(*[F.col(c).alias(c) for c in df.columns]).groupBy("_frame")
+        met = own(whole).cogroup(own(roots.withColumn("_frame", frame)))
+        um = met.applyInArrow(lambda left, right: _survey(left, right, builtin, arrow), shape)
+        um = um.withColumn("connected", (F.col("top_type") == 1) & ~F.col("looped")).drop("top_type", "looped").withColumn("valid_radius", _valid_radius())
+        parts.append(um.withColumn("ratio", F.when(F.col("valid_radius"), F.col("radius") / F.col("baseline"))))
+    if longer is not None:
+        parts.append(_facts_by_joins(longer, roots, rows))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _facts_by_joins(nodes: DataFrame, roots: DataFrame, rows: int | None) -> DataFrame:
     um = nodes.join(roots.select("neuron", "soma_x", "soma_y", "soma_z"), "neuron")
     d = [(F.col(a) - F.col(f"soma_{a}")) / NM_PER_UM for a in "xyz"]
     um = um.select(
@@ -78,12 +160,9 @@ def node_facts(nodes: DataFrame, roots: DataFrame, rows: int | None = None) -> D
         F.col("leaf").alias("n_leaves"), F.col("root_dist").alias("far_dist"),
     )
     um = um.join(topology.subtree_totals(down, ["cable", "n_below", "n_leaves"], ["far_dist"]), ["neuron", "id"])
-    valid = F.col("connected") & (F.col("radius") > 0) & ~F.isnan("radius") & (F.col("radius") < float("inf")) & (F.col("type") != 1)
-    um = land(um.withColumn("valid_radius", F.coalesce(valid, F.lit(False))), "soma-tree")
+    um = land(um.withColumn("valid_radius", _valid_radius()), "soma-tree")
     base = ordering.quantiles(um.filter("valid_radius"), ["neuron"], "radius", {"baseline": 0.5}, rows)
-    return land(
-        um.join(base, "neuron", "left").withColumn("ratio", F.when(F.col("valid_radius"), F.col("radius") / F.col("baseline"))), "soma-facts"
-    )
+    return um.join(base, "neuron", "left").withColumn("ratio", F.when(F.col("valid_radius"), F.col("radius") / F.col("baseline")))
 
 
 # ------------------------------------------------------------- core growth
@@ -159,10 +238,9 @@ def prune_somas(nodes: DataFrame, rows: int | None = None) -> tuple[DataFrame, D
     and 5 are set anew.
     """
     roots = soma_roots(nodes)
-    usable = roots.filter("n_soma = 1 AND soma_parent = -1").select("neuron")
-    facts = node_facts(nodes.join(usable, "neuron", "left_semi"), roots, rows)
-    ready = facts.filter("valid_radius").select("neuron").distinct()
-    facts = facts.join(ready, "neuron", "left_semi")
+    usable = roots.filter("n_soma = 1 AND soma_parent = -1")
+    facts = land(node_facts(nodes, usable, rows).filter("baseline IS NOT NULL"), "soma-facts")
+    ready = facts.select("neuron").distinct()
     core = land(soma_core(facts), "core")
     exits = land(boundary_exits(facts, core), "exits")
     axis = primary_axis(facts, exits)

@@ -465,3 +465,24 @@ def test_relink_validation_is_one_grouping(make):
     told = relink.validate(before, after)
     assert {r.neuron: r[1:] for r in told.collect()} == {"a": (3, 1, 2, 1), "b": (0, 0, 0, 0), "c": (1, 0, 0, 0)}
     assert "Join" not in told._jdf.queryExecution().executedPlan().toString()
+
+
+def test_node_facts_of_whole_neurons_take_one_shuffle_and_equal_those_by_joins(make):
+    groups = {}
+    for seed in range(4):
+        rng = random.Random(seed)
+        rows = [(1, 1, 0.0, 0.0, 0.0, 900.0, -1)]
+        for i in range(2, 80):
+            rows.append((i, rng.choice([0, 5, 6]), *(rng.gauss(0, 9000) for _ in "xyz"), rng.choice([0.0, 50.0, 60.0, 300.0]), rng.randrange(1, i)))
+        groups[f"n{seed}"] = rows
+    groups["ring"] = [(1, 1, 0, 0, 0, 9, -1), (2, 0, 9, 0, 0, 5, 3), (3, 0, 9, 9, 0, 5, 2), (4, 0, 1, 0, 0, 5, 1), (5, 0, 3, 0, 0, 7, 4), (6, 0, 3, 0, 0, 5, 99)]
+    groups["bare"] = [(1, 1, 0, 0, 0, 9, -1), (2, 0, 9, 0, 0, 0, 1)]
+    groups["none"] = [(1, 0, 0, 0, 0, 9, -1)]
+    nodes = make(groups).withColumn("y", F.expr("CASE WHEN neuron = 'n2' AND id = 20 THEN NULL ELSE y END"))
+    roots = soma.soma_roots(nodes)
+    rows = lambda df: sorted(str([round(v, 9) if isinstance(v, float) else v for v in r]) for r in df.select(*sorted(df.columns)).collect())
+    for bound in (None, 100):
+        whole = soma.node_facts(nodes, roots, bound)
+        assert whole._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") <= 3
+        by_joins = rows(soma._facts_by_joins(nodes, roots.select("neuron", "soma_x", "soma_y", "soma_z"), bound))
+        assert rows(whole) == by_joins and len(by_joins) == 4 * 79 + 9
